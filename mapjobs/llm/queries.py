@@ -6,17 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mapjobs.llm import mixing
+from mapjobs.llm import mixing, tokens, winnow
 from mapjobs.session import table
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer file; also the default for workers, where it is installed alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = tokens.token_table(table(spark, sf_dir, "documents"), tokenizer=vocabulary("byte_bpe_50k.json"))
+    return written.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_mixing,)}
+    return {f.__name__: f for f in (op5_token_planes, op9_mixing, op10_winnowing)}
 
 
 def oracle_sql() -> dict[str, str]:
