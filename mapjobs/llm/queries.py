@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mapjobs.llm import mixing, tokens, winnow
+from mapjobs.llm import mixing, simhash, tokens, winnow
 from mapjobs.session import table
 
 
@@ -22,6 +22,10 @@ def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -32,7 +36,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_planes, op9_mixing, op10_winnowing)}
+    return {f.__name__: f for f in (op5_token_planes, op6_simhash, op9_mixing, op10_winnowing)}
 
 
 def oracle_sql() -> dict[str, str]:
