@@ -43,17 +43,15 @@ class Lattice:
             else:
                 ordinary.append(i)
         self.longest = max((len(self.pieces[i]) for i in ordinary), default=1)
-        self.power = np.ones(self.longest + 1, np.uint64)
-        for k in range(self.longest):
-            self.power[k + 1] = self.power[k] * BASE
+        self.power = np.multiply.accumulate(np.array([1] + [BASE] * self.longest, np.uint64))
         self.size = 1 << SLOT_BITS
         self.slot_key = np.zeros(self.size, np.uint64)
         self.slot_piece = np.full(self.size, -1, np.int32)
         for i in ordinary:
-            h = np.uint64(0)
+            h = 0
             for c in self.pieces[i]:
-                h = h * BASE + np.uint64(ord(c) + 1)
-            s = int((h * MIX) >> np.uint64(64 - SLOT_BITS))
+                h = (h * int(BASE) + ord(c) + 1) % (1 << 64)
+            s = (h * int(MIX)) % (1 << 64) >> (64 - SLOT_BITS)
             while self.slot_piece[s] >= 0:
                 s = (s + 1) % self.size
             self.slot_key[s], self.slot_piece[s] = h, i

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mapjobs.llm import mixing, simhash, tokens, winnow
+from mapjobs.llm import langid, lm, mixing, simhash, tokens, winnow
+from mapjobs.llm.common import crc_mod
 from mapjobs.session import table
 
 
@@ -17,6 +18,17 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 3) == 1
+    model = langid.train(docs, vocabulary("piece_bpe_32k.model"), allowed=~held_out)
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), held_out=crc_mod("doc_id", 5) == 1)
+
+
 def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = tokens.token_table(table(spark, sf_dir, "documents"), tokenizer=vocabulary("byte_bpe_50k.json"))
     return written.select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -36,7 +48,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_planes, op6_simhash, op9_mixing, op10_winnowing)}
+    return {f.__name__: f for f in (op2_langid, op4_lattice_lm, op5_token_planes, op6_simhash, op9_mixing, op10_winnowing)}
 
 
 def oracle_sql() -> dict[str, str]:
