@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mapjobs.llm import langid, lm, mixing, simhash, tokens, winnow
+from mapjobs.llm import langid, lm, mixing, simhash, tokens, toxicity, winnow
 from mapjobs.llm.common import crc_mod
 from mapjobs.session import table
 
@@ -18,6 +18,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), crc_mod("doc_id", 5) == 0
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), allowed=~held_out)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod("doc_id", 3) == 1
@@ -48,7 +55,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_langid, op4_lattice_lm, op5_token_planes, op6_simhash, op9_mixing, op10_winnowing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_langid, op4_lattice_lm, op5_token_planes, op6_simhash, op9_mixing, op10_winnowing)}
 
 
 def oracle_sql() -> dict[str, str]:
