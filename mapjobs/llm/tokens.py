@@ -22,6 +22,8 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ PARTS = "shard long, doc_no long, part int, doc_id long, at long, n long, crc lo
 
 #: Unicode white space, written out because regular expression engines differ on a few control characters.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: ASCII punctuation without the apostrophe, which can begin a contraction.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: The byte-level vocabulary never merges across these pieces of text.
 PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
@@ -43,33 +47,68 @@ class Encoder:
     """Ids of texts by a byte-level BPE of the tokenizers library.
 
     Its pre-tokenizer breaks before every run of white space and before the last blank in front of a word,
-    so the ids of a text are those of the pieces between these breaks. Pieces repeat, so each one is
-    encoded once and kept (``most`` of them at a time).
+    so the ids of a text are those of the pieces between these breaks. Pieces repeat, so the ids of each are
+    kept: ``most`` of them, after which those not met again are forgotten. It also breaks between letters and ASCII punctuation (but for the apostrophe), so
+    a piece of letters is one input of the BPE model, and one with such signs behind it is two. Any other new pieces are
+    encoded whole.
     """
 
-    def __init__(self, path: str, end_id: int, most: int = 200_000):
+    def __init__(self, path: str, end_id: int, most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.end, self.most, self.known = np.uint32(end_id).tobytes(), most, {}
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids, with the end id."""
-        if any(s in text for s in self.special):
-            return self._ids([text])[0] + self.end
-        pieces = PIECES.findall(text)
-        new = list(set(pieces).difference(self.known))
-        if new:
-            if len(self.known) + len(new) > self.most:
-                self.known.clear()
-                new = list(set(pieces))
-            for a in range(0, len(new), 50_000):
-                self.known.update(zip(new[a:a + 50_000], self._ids(new[a:a + 50_000])))
-        return b"".join(map(self.known.__getitem__, pieces)) + self.end
+        self.end, self.most, self.known, self.older = np.uint32(end_id).tobytes(), most, {}, {}
+        # the byte-level alphabet: a printable character for each byte, as the vocabulary file spells them
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in shown]
+        self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.bpe = self.tokenizer.model.tokenize
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _one(self, piece: str) -> bytes:
+        if piece.isascii() and piece[1:].isalpha():
+            spelt = "\u0120" + piece[1:] if piece[0] == " " else piece
+        else:
+            spelt = piece.encode().decode("latin-1").translate(self.alphabet)
+        found = self.bpe(spelt)
+        return pack(f"<{len(found)}I", *[x.id for x in found])
+
+    def _piece(self, piece: str) -> bytes:
+        word = piece.rstrip(SIGNS)
+        letters = word[1:] if word[:1] == " " else word
+        if not letters.isalpha():
+            return self._ids(piece)
+        if len(word) == len(piece):
+            return self._one(piece)
+        return self._kept(word, self._one) + self._kept(piece[len(word):], self._one)
+
+    def _kept(self, piece: str, make) -> bytes:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = self.known[piece] = self.older.get(piece) or make(piece)
+        return ids
+
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self.known) > self.most // 2:
+            self.known, self.older = {}, self.known
+        for p in pieces.difference(self.known):
+            self._kept(p, self._piece)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """For each text its little-endian unsigned 32-bit ids, with the end id."""
+        plain = [None if any(s in t for s in self.special) else PIECES.findall(t) for t in texts]
+        self._learn(set().union(*(p for p in plain if p)))
+        get = self.known.__getitem__
+        return [(self._ids(t) if p is None else b"".join(map(get, p))) + self.end for t, p in zip(texts, plain)]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str, end_id: int) -> Encoder:
+    """A worker process keeps one encoder over its tasks."""
+    return Encoder(path, end_id)
 
 
 def to_planes(ids: np.ndarray, planes: str, level: int) -> tuple[bytes, list[int]]:
@@ -112,7 +151,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int = 0,
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, shard = Encoder(tokenizer, end_id), TaskContext.get().partitionId()
+        encoder, shard = encoder_of(tokenizer, end_id), TaskContext.get().partitionId()
         chunk = first = filled = doc_no = 0
         held: list[bytes] = []
         rows: list[tuple] = []
@@ -126,10 +165,10 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int = 0,
             chunk, first, filled, held, rows = chunk + 1, first + filled, 0, [], []
             return out
 
-        for batch in slices(batches):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                ids, part = encoder.encode(text.decode("utf-8", "replace")), 0
-                at = 0
+        for batch in slices(batches, most=2 << 20):
+            coded = encoder.encode([t.decode("utf-8", "replace") for t in texts(batch)])
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coded):
+                at = part = 0
                 while at < len(ids):
                     took = ids[at:at + 4 * (block - filled)]
                     rows.append((doc_no, doc_id, filled, part))
