@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mapjobs.llm import html_text, langid, lm, mixing, simhash, tokens, toxicity, winnow
+from mapjobs.llm import ann, html_text, langid, lm, mixing, simhash, tokens, toxicity, winnow
 from mapjobs.llm.common import crc_mod
 from mapjobs.session import table
 
@@ -49,6 +49,10 @@ def op7_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -59,7 +63,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_langid, op4_lattice_lm, op5_token_planes, op6_simhash, op7_html_crf, op9_mixing, op10_winnowing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_langid, op4_lattice_lm, op5_token_planes, op6_simhash, op7_html_crf, op8_nn_descent, op9_mixing, op10_winnowing)}
 
 
 def oracle_sql() -> dict[str, str]:
