@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from mapjobs.plans import tag_plans
+from mapjobs.plans import graph_plans, tag_plans
 
-PLANS = (tag_plans,)
-FLAGSHIP = tag_plans.p1_road_class
+PLANS = (tag_plans, graph_plans)
+FLAGSHIP = graph_plans.t1_w6_b1_road_tiles
 
 
 def queries() -> dict:
