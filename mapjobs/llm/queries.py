@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mapjobs.llm import ann, html_text, langid, lm, mixing, simhash, tokens, toxicity, winnow
+from mapjobs.llm import ann, html_text, langid, lm, mixing, pii, simhash, tokens, toxicity, winnow
 from mapjobs.llm.common import crc_mod
 from mapjobs.session import table
 
@@ -32,6 +32,14 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+#: The query's key. A user passes their own and keeps it secret.
+KEY = b"mapjobs op3 example key"
+
+
+def op3_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(table(spark, sf_dir, "documents"), KEY).select("doc_id", "text", "n_values")
+
+
 def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), held_out=crc_mod("doc_id", 5) == 1)
 
@@ -63,7 +71,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_langid, op4_lattice_lm, op5_token_planes, op6_simhash, op7_html_crf, op8_nn_descent, op9_mixing, op10_winnowing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_langid, op3_feistel_pii, op4_lattice_lm, op5_token_planes, op6_simhash, op7_html_crf, op8_nn_descent, op9_mixing, op10_winnowing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import Row, functions as F
 
-from mapjobs.llm import ann, html_text, langid, lm, mixing, simhash, tokens, toxicity, winnow
+from mapjobs.llm import ann, html_text, langid, lm, mixing, pii, simhash, tokens, toxicity, winnow
 from mapjobs.llm.common import crc_mod
 from mapjobs.llm.lattice import Lattice, normalised, public_pieces
 
@@ -326,3 +326,35 @@ def test_neighbours(spark):
     few = ann.nearest(d.where("vec_id < 4"), F.col("vec_id") >= 0).collect()
     assert len(few) == 12
     assert ann.nearest(d.where("vec_id > 1999 and vec_id < 2005"), F.col("vec_id") >= 0).count() == 0
+
+
+def test_feistel_is_a_permutation():
+    f = pii.Feistel(b"key")
+    for size in (1, 2, 3, 10, 97, 1000):
+        got = [f.permuted(x, size, b"t") for x in range(size)]
+        assert sorted(got) == list(range(size)) and [f.permuted(y, size, b"t", back=True) for y in got] == list(range(size))
+    odd = [f.permuted(x, 100, b"t", lambda x: x % 2 == 1) for x in range(1, 100, 2)]
+    assert sorted(odd) == list(range(1, 100, 2))
+
+
+def test_pseudonyms(spark, docs, none):
+    values = ["4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111", "+1 (255) 555-8013", "+49 30 1234567", "ab.12@mail6.example.com", "203.0.113.7", "DE89 3704 0044 0532 0130 00", "1999-02-28", "28.02.1999", "31/12/1999", "078-05-1120"]
+    refused = ["4111111111111112", "1999-02-30", "999.1.1.1", "666-12-1234", "DE88 3704 0044 0532 0130 00", "12345"]
+    p = pii.Pseudonymiser(b"key")
+    for v in values:
+        new, kinds = p.replace(f"x {v} y")
+        assert len(kinds) == 1 and new != f"x {v} y" and p.replace(new, back=True)[0] == f"x {v} y", v
+        assert re.sub(r"\d+", "9", new) == re.sub(r"\d+", "9", f"x {v} y") or "@" in v or kinds == ["iban"]
+        assert p.replace(new)[1] == kinds  # what comes out is valid too
+    for v in refused:
+        assert p.replace(f"x {v} y") == (f"x {v} y", [])
+    digits = lambda s: re.sub(r"\D", "", s)
+    assert len({digits(p.replace(v)[0]) for v in values[:3]}) == 1
+    iso, dotted = p.replace("1999-02-28")[0].split("-"), p.replace("28.02.1999")[0].split(".")
+    assert iso == dotted[::-1]
+    assert p.replace("4111111111111111 99 and +1 (255) 555-8013 12345")[1] == ["card", "phone"]
+    assert pii.Pseudonymiser(b"other").replace(values[1])[0] != p.replace(values[1])[0]
+    assert p.replace("1" * 100_000)[1] == [] and p.replace("a." * 50_000)[1] == []
+    got = pii.pseudonyms(docs, b"key").collect()
+    assert len(got) == docs.count() and all(r.n_values == 0 for r in got if r.text is None)
+    assert pii.pseudonyms(none, b"key").count() == 0
