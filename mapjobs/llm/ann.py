@@ -272,7 +272,7 @@ def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, *, beam: i
     return queries
 
 
-def nearest(vectors: DataFrame, is_query, *, k: int = 10, most: int = 24, tables: int = 12, leaf: int = 256, rounds: int = 5, hear: int = 24, offer: int = 6, beam: int = 320, expand: int = 80, search_rounds: int = 6, rerank: int = 64) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, *, k: int = 10, most: int = 24, tables: int = 20, leaf: int = 256, rounds: int = 3, hear: int = 24, offer: int = 6, beam: int = 400, expand: int = 160, search_rounds: int = 4, rerank: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query row, by Euclidean distance in double precision.
 
     vectors: (vec_id, embedding); is_query: a condition on vec_id. Every other usable row is a candidate (see ``usable``); all of
