@@ -207,7 +207,7 @@ def edge_costs(t: Tags, length_m: Column) -> Column:
 
 def saturated(c: Column) -> Column:
     """A cost as the tiles hold it, 65535 for not usable."""
-    return F.coalesce(F.least(c, F.lit(65534)), F.lit(65535)).cast("int")
+    return F.when(c.isNotNull(), F.least(c, F.lit(65534))).otherwise(65535).cast("int")
 
 
 def max_speed(v: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mapjobs.functions import tags as R
-from mapjobs.operators import areas, graph, manifest, network, tiles
+from mapjobs.operators import areas, graph, manifest, network, routing_tiles, tiles
 from mapjobs.plans import graph_plans as GP
 from mapjobs.session import cut, table
 from mapjobs.sources import objects, standins
@@ -98,6 +98,25 @@ def h3_h4_h5_h6_hierarchy(spark, sf_dir):
     return network.compared(found, network.shortest_paths(arcs, pairs, REACH))
 
 
+def b3_geometry_tiles(spark, sf_dir):
+    nodes, edges = routing_tiles.numbered(network.main_mask(_edges(spark, sf_dir)))
+    packed = tiles.with_bytes(routing_tiles.geometry_tiles(cut(nodes), cut(edges)), routing_tiles.pack_geometry_tile, "nodes", "edges", "strings")
+    return packed.select("ix", "iy", F.length("data").alias("size"), F.md5("data").alias("md5"))
+
+
+def b4_hierarchy_tiles(spark, sf_dir):
+    e = _edges(spark, sf_dir)
+    nodes, edges = map(cut, routing_tiles.numbered(e))
+    arcs = network.profile_arcs(e).where("profile = 1").select("from", "to", "w")
+    every, order = network.hierarchy(cut(arcs), core=300, rounds=2)
+    via = cut(routing_tiles.arcs_with_via(every, nodes, edges.withColumn("costs", F.slice("cost", 3, 2))))
+    r = via.join(order.select(F.col("node").alias("from"), F.col("turn").alias("rf")), "from").join(order.select(F.col("node").alias("to"), F.col("turn").alias("rt")), "to")
+    up = r.where("rf <= rt").select(F.col("n_from").alias("node"), F.col("n_to").alias("to"), "w", "via")
+    down = r.where("rf >= rt").select(F.col("n_to").alias("node"), F.col("n_from").alias("to"), "w", "via")
+    packed = tiles.with_bytes(routing_tiles.hierarchy_tiles(nodes, up, down), routing_tiles.pack_hierarchy_tile, "nodes")
+    return packed.select("ix", "iy", F.length("data").alias("size"), F.md5("data").alias("md5"))
+
+
 def _manifests(spark, sf_dir):
     p = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").cast("binary").alias("b"))
     p = p.withColumn("path", F.concat_ws("#", "url", F.col("page_id").cast("string")))
@@ -176,4 +195,4 @@ ORACLES = {
         i AS (SELECT *, row_number() OVER (ORDER BY {_F('lon7', 300000)}, {_F('lat7', 200000)}, ref) - 1 AS id FROM u)
         SELECT e.way_id, e.edge_no, e.piece, p.id AS new_a, q.id AS new_b, p.lat7 AS a_lat7, p.lon7 AS a_lon7, q.lat7 AS b_lat7, q.lon7 AS b_lon7 FROM edges e JOIN i p ON p.ref = e.a JOIN i q ON q.ref = e.b""",
 }
-QUERIES = {f.__name__: f for f in (s4_stitched, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_j9_remapped_edges)}
+QUERIES = {f.__name__: f for f in (s4_stitched, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, b3_geometry_tiles, b4_hierarchy_tiles, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_j9_remapped_edges)}

@@ -183,7 +183,7 @@ ORACLES = {
     "w1_w3_p17_p18_edges": f"{_EDGES} SELECT way_id, edge_no, piece, a, b, round_even(length * 1000, 0)::BIGINT AS length_mm, n, cls, flags, name, c0, c1, c2, c3 FROM edges",
     "u2_a4_degrees": f"{_EDGES} SELECT node_id, count(*) AS degree FROM (SELECT a AS node_id FROM edges UNION ALL SELECT b FROM edges) GROUP BY node_id",
     "a8_s6_usage": f"{_EDGES} SELECT count(*) AS edges, count(coalesce(c0, c1)) AS bike_edges, count(coalesce(c2, c3)) AS foot_edges, sum(n)::BIGINT AS shape_points FROM edges",
-    "p19_saturated": f"{_EDGES} SELECT way_id, edge_no, piece, {', '.join(f'coalesce(least(c{i} * 20, 65534), 65535)::INTEGER AS c{i}' for i in range(4))}, least(round_even(length * 10, 0), 65535)::INTEGER AS dm FROM edges",
+    "p19_saturated": f"{_EDGES} SELECT way_id, edge_no, piece, {', '.join(f'CASE WHEN c{i} IS NULL THEN 65535 ELSE least(c{i} * 20, 65534) END::INTEGER AS c{i}' for i in range(4))}, least(round_even(length * 10, 0), 65535)::INTEGER AS dm FROM edges",
     "g3_g4_split": f"{WN}, {_SPLIT} SELECT way_id, piece, ix, iy, line FROM pieces",
     "t1_w6_b1_road_tiles": f"{_FEATURES} SELECT f.ix, f.iy, string_agg(cls || ':' || flags || ':' || coalesce(idx, 65535) || ':' || n, ';' ORDER BY pos) AS ways, coalesce((SELECT string_agg(name, '|' ORDER BY idx) FROM st s WHERE s.ix = f.ix AND s.iy = f.iy), '') AS strings FROM f LEFT JOIN st ON st.ix = f.ix AND st.iy = f.iy AND st.name = f.name GROUP BY f.ix, f.iy",
     "w6_string_tables": f"{_FEATURES} SELECT * FROM st",
