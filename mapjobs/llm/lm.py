@@ -73,7 +73,7 @@ def fit_pieces(words: DataFrame, vocabulary: str, smooth: float = 0.01) -> tuple
     return pieces, normalised(counts, smooth)
 
 
-def score(docs: DataFrame, vocabulary: str, *, held_out: Column, hot_words: int = 100_000) -> DataFrame:
+def score(docs: DataFrame, vocabulary: str, *, held_out: Column, hot_words: int = 600_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs (doc_id, text).
 
     held_out: a condition on doc_id; those rows are scored but not learnt from. Counts cover all other rows.
