@@ -73,8 +73,8 @@ def a6_main_mask(spark, sf_dir):
     return network.main_mask(_edges(spark, sf_dir)).select("way_id", "edge_no", "piece", "main_mask")
 
 
-#: Routes of up to five minutes, in 0.1 s: what a search for the surroundings of a place asks for.
-REACH = 3000
+#: Routes of up to half an hour, in 0.1 s: what a search for the surroundings of a place asks for.
+REACH = 18000
 
 
 def _walks(spark, sf_dir):
