@@ -76,3 +76,13 @@ def inner_deltas(a_lat7: Column, a_lon7: Column, points: Column, most: int = 255
     deltas = F.aggregate(stops, start, step, lambda s: s["out"])
     every = (F.floor(F.size(deltas) / most) + 1).cast("int")
     return F.when(F.size(deltas) > most, F.filter(deltas, lambda x, i: F.pmod(i + 1, every) == 0)).otherwise(deltas)
+
+
+def box_misses(south: Column, west: Column, north: Column, east: Column, bbox: tuple[int, int, int, int]) -> Column:
+    """P10: an object's box lies wholly outside ``bbox`` (south, west, north, east); touching is not outside. Also for rings' boxes."""
+    return (north < bbox[0]) | (south > bbox[2]) | (east < bbox[1]) | (west > bbox[3])
+
+
+def point_in_box(lat7: Column, lon7: Column, bbox: tuple[int, int, int, int]) -> Column:
+    """P10: the point is inside ``bbox`` or on its edge."""
+    return lat7.between(bbox[0], bbox[2]) & lon7.between(bbox[1], bbox[3])

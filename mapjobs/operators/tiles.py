@@ -185,6 +185,13 @@ def bundles(tiles: DataFrame, layer: str, side: int = G.SIDE) -> DataFrame:
     return t.groupBy("bx", "by").applyInPandas(run, "layer string, bx long, by long, data binary")
 
 
+def region_summary(features: DataFrame, points: DataFrame) -> DataFrame:
+    """One row with the numbers of tiles, features and points, and the box of the points of kept ways (lat7, lon7)."""
+    tiles = features.groupBy("ix", "iy").agg(F.count("*").alias("f"), F.sum(F.size("pts")).alias("p")).agg(F.count("*").alias("tiles"), F.sum("f").alias("features"), F.sum("p").alias("points"))
+    box = points.agg(F.min("lat7").alias("south"), F.min("lon7").alias("west"), F.max("lat7").alias("north"), F.max("lon7").alias("east"))
+    return tiles.join(F.broadcast(box))  # one row each
+
+
 def write_layers(bundled: DataFrame, path: str) -> None:
     """Bundles partitioned by layer and bundle column."""
     bundled.write.mode("overwrite").partitionBy("layer", "bx").parquet(path)

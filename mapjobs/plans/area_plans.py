@@ -127,6 +127,11 @@ def _manifests(spark, sf_dir):
     return source, copy.unionByName(more)
 
 
+def s7_file_manifest(spark, sf_dir):
+    """Size and checksum of every file under the given folder."""
+    return manifest.read_manifest(spark, sf_dir)
+
+
 def j11_comparison(spark, sf_dir):
     return manifest.compare(*_manifests(spark, sf_dir))
 
@@ -195,4 +200,4 @@ ORACLES = {
         i AS (SELECT *, row_number() OVER (ORDER BY {_F('lon7', 300000)}, {_F('lat7', 200000)}, ref) - 1 AS id FROM u)
         SELECT e.way_id, e.edge_no, e.piece, p.id AS new_a, q.id AS new_b, p.lat7 AS a_lat7, p.lon7 AS a_lon7, q.lat7 AS b_lat7, q.lon7 AS b_lon7 FROM edges e JOIN i p ON p.ref = e.a JOIN i q ON q.ref = e.b""",
 }
-QUERIES = {f.__name__: f for f in (s4_stitched, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, b3_geometry_tiles, b4_hierarchy_tiles, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_j9_remapped_edges)}
+QUERIES = {f.__name__: f for f in (s4_stitched, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, b3_geometry_tiles, b4_hierarchy_tiles, s7_file_manifest, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_j9_remapped_edges)}

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from mapjobs.functions import geom as G, tags as R
 from mapjobs.operators import graph, tiles
 from mapjobs.plans import tag_plans as P
+from mapjobs.session import shared_dir
 from mapjobs.sources import objects, standins
 
 WN = standins.oracle("way_nodes")
@@ -121,6 +124,33 @@ def b1_b6_road_bundles(spark, sf_dir):
     return tiles.bundles(packed, "m").select("layer", "bx", "by", F.length("data").alias("size"), F.md5("data").alias("md5"))
 
 
+BBOX = (490200000, -1500000, 492000000, 500000)
+
+
+def p10_boxes(spark, sf_dir):
+    """Ways by their box, and by their first point."""
+    n = standins.view(spark, sf_dir, "way_nodes")
+    b = n.groupBy("way_id").agg(F.min("lat7").alias("s"), F.min("lon7").alias("w"), F.max("lat7").alias("n"), F.max("lon7").alias("e"), F.min_by(F.struct("lat7", "lon7"), "seq").alias("p"))
+    return b.select("way_id", G.box_misses(F.col("s"), F.col("w"), F.col("n"), F.col("e"), BBOX).alias("outside"), G.point_in_box(F.col("p.lat7"), F.col("p.lon7"), BBOX).alias("inside"))
+
+
+def s6_g11_region(spark, sf_dir):
+    ways, n = standins.ways(spark, sf_dir), standins.view(spark, sf_dir, "way_nodes")
+    f = tiles.road_features(objects.as_lines(n), ways)
+    drawn = ways.where(R.road_class(R.of_map()).isNotNull()).select("way_id")
+    kept = objects.as_lines(n).join(drawn, "way_id", "left_semi").select(F.explode("pts").alias("p")).select("p.lat7", "p.lon7")
+    return tiles.region_summary(f, kept)
+
+
+def s5_layers(spark, sf_dir):
+    """Bundles written by layer and column, and read back."""
+    f = tiles.road_features(objects.as_lines(standins.view(spark, sf_dir, "way_nodes")), standins.ways(spark, sf_dir))
+    packed = tiles.with_bytes(tiles.road_tiles(f), tiles.pack_road_tile, "ways", "strings")
+    path = f"{shared_dir(spark)}/layers-{uuid.uuid4().hex}"
+    tiles.write_layers(tiles.bundles(packed, "m"), path)
+    return spark.read.parquet(path).select("layer", F.col("bx").cast("long").alias("bx"), "by")
+
+
 def g9_inner_deltas(spark, sf_dir):
     lines = objects.as_lines(standins.view(spark, sf_dir, "way_nodes"), 3)
     a = F.col("pts")[0]
@@ -195,8 +225,13 @@ ORACLES = {
     "w8_b6_bundles": f"""{_COUNTS}, b AS (SELECT cast(floor(ix / 2.0) AS BIGINT) AS bx, cast(floor(iy / 2.0) AS BIGINT) AS by, ((iy % 2 + 2) % 2) * 2 + (ix % 2 + 2) % 2 AS slot, n FROM t),
         o AS (SELECT *, 40 + coalesce(sum(n) OVER (PARTITION BY bx, "by" ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at FROM b)
         SELECT 'm' AS layer, k.bx, k."by", string_agg(coalesce(o.at, 0) || ',' || coalesce(o.n, 0), ';' ORDER BY s) AS slots FROM (SELECT DISTINCT bx, "by" FROM b) k CROSS JOIN (VALUES (0), (1), (2), (3)) v(s) LEFT JOIN o ON o.bx = k.bx AND o."by" = k."by" AND o.slot = s GROUP BY k.bx, k."by" """,
+    "p10_boxes": f"""{WN} SELECT way_id, NOT (max(lat7) >= {BBOX[0]} AND min(lat7) <= {BBOX[2]} AND max(lon7) >= {BBOX[1]} AND min(lon7) <= {BBOX[3]}) AS outside,
+        arg_min(lat7, seq) >= {BBOX[0]} AND arg_min(lat7, seq) <= {BBOX[2]} AND arg_min(lon7, seq) >= {BBOX[1]} AND arg_min(lon7, seq) <= {BBOX[3]} AS inside FROM way_nodes GROUP BY way_id""",
+    "s6_g11_region": f"""{_FEATURES}, tl AS (SELECT count(DISTINCT ix * 1000000 + iy) AS tiles, count(*) AS features, sum(n)::BIGINT AS points FROM f),
+        kp AS (SELECT way_id FROM way_nodes GROUP BY way_id HAVING count(*) >= 2), bx AS (SELECT min(lat7) AS south, min(lon7) AS west, max(lat7) AS north, max(lon7) AS east FROM way_nodes WHERE way_id IN (SELECT way_id FROM kp) AND way_id IN (SELECT way_id FROM w WHERE cls IS NOT NULL)) SELECT * FROM tl, bx""",
+    "s5_layers": f"""{_FEATURES} SELECT DISTINCT 'm' AS layer, cast(floor(ix / 2.0) AS BIGINT) AS bx, cast(floor(iy / 2.0) AS BIGINT) AS "by" FROM f""",
     "g10_midpoints": f"""{WN}, l AS (SELECT *, count(*) OVER (PARTITION BY way_id) AS n FROM way_nodes)
         SELECT way_id, max(lat7) FILTER (WHERE seq = n // 2) AS lat7, max(lon7) FILTER (WHERE seq = n // 2) AS lon7, string_agg(lat7 || ',' || lon7, ';' ORDER BY seq) FILTER (WHERE seq % greatest(1, n // 3) = 0) || ';' || max(lat7 || ',' || lon7) FILTER (WHERE seq = n - 1) AS samples
         FROM l WHERE n >= 2 GROUP BY way_id""",
 }
-QUERIES = {f.__name__: f for f in (s3_j1_located_ways, a1_u1_breaks, g1_tile_keys, g2_lengths, w1_w3_p17_p18_edges, u2_a4_degrees, a8_s6_usage, p19_saturated, g3_g4_split, t1_w6_b1_road_tiles, w6_string_tables, w2_dense_ids, a9_b5_tile_index, w4_sparse_index, a7_size_statistics, w8_b6_bundles, b1_b6_road_bundles, g9_inner_deltas, g10_midpoints)}
+QUERIES = {f.__name__: f for f in (s3_j1_located_ways, a1_u1_breaks, g1_tile_keys, g2_lengths, w1_w3_p17_p18_edges, u2_a4_degrees, a8_s6_usage, p19_saturated, g3_g4_split, t1_w6_b1_road_tiles, w6_string_tables, w2_dense_ids, a9_b5_tile_index, w4_sparse_index, a7_size_statistics, w8_b6_bundles, b1_b6_road_bundles, p10_boxes, s6_g11_region, s5_layers, g9_inner_deltas, g10_midpoints)}
