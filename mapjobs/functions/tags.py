@@ -198,11 +198,17 @@ def cost(length_m: Column, kmh: Column, extra_s: float = 0.0) -> Column:
     return F.when(kmh > 0, F.least(F.rint((length_m / (kmh / 3.6) + extra_s) * 10).cast("long"), F.lit(COST_LIMIT)))
 
 
-def edge_costs(t: Tags, length_m: Column) -> Column:
-    """Bicycle forward and backward, foot forward and backward."""
+def travel(t: Tags) -> Column:
+    """What costs need to know of a way: both speeds, and the directions open to bicycles. Worked out once a way, before edges are joined."""
     forward, backward = directions(t)
-    bike, against, foot = cost(length_m, bike_speed(t), 0.5), contraflow(t), cost(length_m, foot_speed(t))
-    return F.array(F.when(forward | against, bike), F.when(backward | against, bike), foot, foot)
+    against = contraflow(t)
+    return F.struct(bike_speed(t).alias("bike"), foot_speed(t).alias("foot"), (forward | against).alias("ahead"), (backward | against).alias("back"))
+
+
+def edge_costs(travel: Column, length_m: Column) -> Column:
+    """Bicycle forward and backward, foot forward and backward."""
+    bike, foot = cost(length_m, travel["bike"], 0.5), cost(length_m, travel["foot"])
+    return F.array(F.when(travel["ahead"], bike), F.when(travel["back"], bike), foot, foot)
 
 
 def saturated(c: Column) -> Column:

@@ -74,13 +74,13 @@ def edges(refs: DataFrame, nodes: DataFrame, ways: DataFrame, **options) -> Data
     the exchange on ref. The edge key is (way_id, edge_no, piece); nodes keep their ids.
     """
     t = R.of_map()
-    roads = ways.where(R.routable(t))
+    roads = ways.where(R.routable(t)).select("way_id", R.travel(t).alias("travel"), R.edge_class(t).alias("cls"), R.edge_flags(t).alias("flags"), R.display_name(t).alias("name"))
     used = refs.join(roads.select("way_id"), "way_id", "left_semi")
     at = used.join(breaks(used).select("ref", "is_break"), "ref").join(nodes.select(F.col("node_id").alias("ref"), "lat7", "lon7"), "ref")
-    e = spans(at, **options).join(roads, "way_id")
-    e = e.withColumn("cost", R.edge_costs(t, F.col("length")))
-    e = e.where(F.exists("cost", lambda c: c.isNotNull()))
-    return e.select("way_id", "edge_no", "piece", "a", "b", "length", "pts", R.edge_class(t).alias("cls"), R.edge_flags(t).alias("flags"), R.display_name(t).alias("name"), "cost")
+    e = spans(at, **options).join(roads, "way_id").withColumn("cost", R.edge_costs(F.col("travel"), F.col("length")))
+    # the same as some cost not being null, but told before the costs are worked out
+    usable = ((F.col("travel.bike") > 0) & (F.col("travel.ahead") | F.col("travel.back"))) | (F.col("travel.foot") > 0)
+    return e.where(usable).select("way_id", "edge_no", "piece", "a", "b", "length", "pts", "cls", "flags", "name", "cost")
 
 
 def used_nodes(edges: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def test_road_class_and_flags(spark):
 def test_speeds_and_costs(spark):
     t = R.of_map()
     rows = [{"highway": "cycleway"}, {"highway": "residential", "access": "private"}, {"highway": "residential", "access": "private", "bicycle": "yes"}, {"highway": "trunk"}, {"highway": "primary", "cycleway": "lane"}, {"highway": "steps", "bicycle": "dismount"}, {"highway": "track", "tracktype": "grade5", "surface": "mud", "smoothness": "bad"}, {"highway": "residential", "oneway": "yes"}]
-    got = tagged(spark, rows, bike=R.bike_speed(t), foot=R.foot_speed(t), cost=R.edge_costs(t, F.lit(100.0)))
+    got = tagged(spark, rows, bike=R.bike_speed(t), foot=R.foot_speed(t), cost=R.edge_costs(R.travel(t), F.lit(100.0)))
     assert [None if r.bike is None else round(r.bike, 6) for r in got] == [20.0, None, 17.0, None, 12.0, 4.0, round(6 * 0.55 * 0.7, 6), 17.0]
     assert [None if r.foot is None else round(r.foot, 6) for r in got] == [4.2, None, None, None, 2.4, 3.0, round(4.6 * 0.8 * 0.85, 6), 5.0]
     assert got[7].cost == [round((100 / (17 / 3.6) + 0.5) * 10), None, 720, 720]
