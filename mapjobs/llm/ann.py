@@ -1,7 +1,7 @@
 """Approximate nearest neighbours (operator 8): a neighbour graph by NN-descent, queries by greedy graph search.
 
 Equal vectors are one class, so a vector that is very common is one node; its smallest members stand for it in answers. Nodes travel
-as 8-bit vectors; only the last ranking reads the original ones.
+with their vectors as they are (float or double), and distances are double: norms may differ by any factor.
 
 * Start: rows are ordered by the signs of random projections, several times over, and blocks of neighbours in that order are
   compared directly. A range shuffle on (signs, id) deals a crowded cell to as many tasks as it needs.
@@ -21,12 +21,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from mapjobs.session import cut, partitions
 
-LISTS = "id long, vec binary, ids array<long>, ds array<float>, fresh array<boolean>"
-FAR = np.float32(np.inf)
+LISTS = "id long, vec binary, ids array<long>, ds array<double>, fresh array<boolean>"
+FAR = np.inf
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -56,8 +56,8 @@ def _rows(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield rest
 
 
-def _vectors(column, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(-1, dim).astype(np.float32)
+def _vectors(column, dim: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim).astype(np.float64)
 
 
 def _flat(t: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +84,7 @@ def _merged(rows: DataFrame, most: int, keep_flags: bool) -> DataFrame:
             cand, row = _flat(t, "ids")
             ds, fresh = _flat(t, "ds")[0], _flat(t, "fresh")[0].astype(bool)
             if not len(cand):
-                cand, ds, fresh, row = np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, bool), np.zeros(0, np.int64)
+                cand, ds, fresh, row = np.zeros(0, np.int64), np.zeros(0, np.float64), np.zeros(0, bool), np.zeros(0, np.int64)
             at, old = node[row], heads[row]
             o = np.lexsort((~old, cand, at))
             at, cand, ds, fresh, old = at[o], cand[o], ds[o], fresh[o], old[o]
@@ -100,14 +100,14 @@ def _merged(rows: DataFrame, most: int, keep_flags: bool) -> DataFrame:
             head = np.flatnonzero(heads)
             assert len(head) == node[-1] + 1
             n = len(head)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[head]), t.column("vec").take(pa.array(head)).combine_chunks().cast(pa.binary()), *_lists(at, n, (cand, pa.int64()), (ds, pa.float32()), (fresh, pa.bool_()))], ["id", "vec", "ids", "ds", "fresh"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[head]), t.column("vec").take(pa.array(head)).combine_chunks().cast(pa.binary()), *_lists(at, n, (cand, pa.int64()), (ds, pa.float64()), (fresh, pa.bool_()))], ["id", "vec", "ids", "ds", "fresh"])
 
     return rows.repartition("id").sortWithinPartitions("id").mapInArrow(run, LISTS)
 
 
 def _proposals(names: np.ndarray, row: np.ndarray, cand: np.ndarray, ds: np.ndarray) -> pa.RecordBatch:
     n = len(names)
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.nulls(n, pa.binary()), *_lists(row, n, (cand, pa.int64()), (ds, pa.float32()), (np.ones(len(cand), bool), pa.bool_()))], ["id", "vec", "ids", "ds", "fresh"])
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.nulls(n, pa.binary()), *_lists(row, n, (cand, pa.int64()), (ds, pa.float64()), (np.ones(len(cand), bool), pa.bool_()))], ["id", "vec", "ids", "ds", "fresh"])
 
 
 def _square(v: np.ndarray) -> np.ndarray:
@@ -116,12 +116,12 @@ def _square(v: np.ndarray) -> np.ndarray:
     return n[..., :, None] + n[..., None, :] - 2 * (v @ np.swapaxes(v, -1, -2))
 
 
-def _start(nodes: DataFrame, dim: int, n: int, tables: int, leaf: int, take: int, signs: int = 20) -> DataFrame:
-    planes = np.random.default_rng(8).standard_normal((dim, tables * signs)).astype(np.float32)
+def _start(nodes: DataFrame, dim: int, kind: str, n: int, tables: int, leaf: int, take: int, signs: int = 20) -> DataFrame:
+    planes = np.random.default_rng(8).standard_normal((dim, tables * signs))
 
     def spread(batches):
         for b in batches:
-            v = _vectors(b.column("vec"), dim)
+            v = _vectors(b.column("vec"), dim, kind)
             bits = (v @ planes > 0).reshape(len(v), tables, signs)
             cell = (bits << np.arange(signs)[::-1]).sum(2)
             for t in range(tables):
@@ -129,7 +129,7 @@ def _start(nodes: DataFrame, dim: int, n: int, tables: int, leaf: int, take: int
 
     def compare(batches):
         for table in _rows(batches, "t"):
-            ids, v = table.column("id").to_numpy(), _vectors(table.column("vec"), dim)
+            ids, v = table.column("id").to_numpy(), _vectors(table.column("vec"), dim, kind)
             for a in range(0, len(ids), leaf):
                 d = _square(v[a:a + leaf])
                 np.fill_diagonal(d, FAR)
@@ -146,7 +146,7 @@ def _start(nodes: DataFrame, dim: int, n: int, tables: int, leaf: int, take: int
 
 def _messages(graph: DataFrame, most: int, turn: int) -> DataFrame:
     """(center, back, prio, member, vec, kth, fresh): vectors sent to the nodes that list them (back 0) or that they list (back 1)."""
-    kth = F.when(F.size("ds") < most, F.lit(float("inf"))).otherwise(F.element_at("ds", -1)).cast("float")
+    kth = F.when(F.size("ds") < most, F.lit(float("inf"))).otherwise(F.element_at("ds", -1))
     own = graph.select(F.col("id").alias("member"), "vec", kth.alias("kth"), F.explode(F.arrays_zip("ids", "fresh")).alias("e"))
     back = own.select(F.col("e.ids").alias("center"), F.lit(1).alias("back"), "member", "vec", "kth", F.col("e.fresh").alias("fresh"))
     listed = graph.select(F.col("id").alias("center"), F.explode(F.arrays_zip("ids", "fresh")).alias("e")).select("center", F.col("e.ids").alias("member"), F.col("e.fresh").alias("fresh"))
@@ -156,7 +156,7 @@ def _messages(graph: DataFrame, most: int, turn: int) -> DataFrame:
     return both.repartition("center").sortWithinPartitions("center", "back", "prio")
 
 
-def _by_center(batches, dim: int, hear: int, at_once: int = 256):
+def _by_center(batches, dim: int, kind: str, hear: int, at_once: int = 256):
     """(centers, number of each row's center, its place there, rows, vectors) for some centers at a time; of the back rows, the first ``hear`` of a center."""
     for t in _rows(batches, "center"):
         center, back = t.column("center").to_numpy(), t.column("back").to_numpy()
@@ -171,16 +171,16 @@ def _by_center(batches, dim: int, hear: int, at_once: int = 256):
         for a in range(0, int(node[-1]) + 1, at_once):
             lo, hi = begin[a], begin[min(a + at_once, node[-1] + 1)]
             part = t.slice(lo, hi - lo)
-            yield center[lo:hi], node[lo:hi] - a, rank[lo:hi], part, _vectors(part.column("vec"), dim)
+            yield center[lo:hi], node[lo:hi] - a, rank[lo:hi], part, _vectors(part.column("vec"), dim, kind)
 
 
-def _join_lists(graph: DataFrame, dim: int, most: int, hear: int, offer: int, turn: int) -> DataFrame:
+def _join_lists(graph: DataFrame, dim: int, kind: str, most: int, hear: int, offer: int, turn: int) -> DataFrame:
     """Proposals from comparing all that each node has received."""
     def run(batches):
-        for _, node, rank, part, v in _by_center(batches, dim, hear):
+        for _, node, rank, part, v in _by_center(batches, dim, kind, hear):
             n, width = int(node[-1]) + 1, int(rank.max()) + 1
             member = np.full((n, width), -1, np.int64)
-            bound, fresh, vec = np.full((n, width), -FAR), np.zeros((n, width), bool), np.zeros((n, width, dim), np.float32)
+            bound, fresh, vec = np.full((n, width), -FAR), np.zeros((n, width), bool), np.zeros((n, width, dim))
             member[node, rank], bound[node, rank], vec[node, rank] = part.column("member").to_numpy(), part.column("kth").to_numpy(), v
             fresh[node, rank] = part.column("fresh").to_numpy(zero_copy_only=False)
             there = np.zeros((n, width), bool)
@@ -202,28 +202,31 @@ def _join_lists(graph: DataFrame, dim: int, most: int, hear: int, offer: int, tu
     return _messages(graph, most, turn).mapInArrow(run, LISTS)
 
 
-def neighbour_graph(nodes: DataFrame, dim: int, n: int, *, most: int, tables: int, leaf: int, rounds: int, hear: int, offer: int) -> DataFrame:
-    """LISTS: the ``most`` nearest found of each node, nearest first. nodes: (id, vec) with 8-bit vectors."""
+def neighbour_graph(nodes: DataFrame, dim: int, kind: str, n: int, *, most: int, tables: int, leaf: int, rounds: int, hear: int, offer: int) -> DataFrame:
+    """LISTS: the ``most`` nearest found of each node, nearest first. nodes: (id, vec) with the bytes of ``dim`` numbers of a numpy ``kind``."""
     blank = nodes.select("id", "vec", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<float>").alias("ds"), F.lit(None).cast("array<boolean>").alias("fresh"))
-    graph = cut(_merged(blank.unionByName(_start(nodes, dim, n, tables, leaf, most // 2)), most, False))
+    graph = cut(_merged(blank.unionByName(_start(nodes, dim, kind, n, tables, leaf, most // 2)), most, False))
     for turn in range(rounds):
-        graph = cut(_merged(graph.unionByName(_join_lists(graph, dim, most, hear, offer, turn)), most, False))
+        graph = cut(_merged(graph.unionByName(_join_lists(graph, dim, kind, most, hear, offer, turn)), most, False))
     return graph
 
 
-def _adjacency(graph: DataFrame, dim: int, most: int, hear: int) -> DataFrame:
-    """(node, near, vecs): neighbours either way, and their vectors in a row."""
+def _adjacency(graph: DataFrame, dim: int, kind: str, most: int, hear: int) -> DataFrame:
+    """(node, near, vecs): neighbours either way, and their vectors in a row; some 2 KB a row, so that batches stay small."""
+    wide = dim * np.dtype(kind).itemsize
+    per = max(1, 2048 // max(wide, 1))
+
     def run(batches):
-        for center, node, _, part, v in _by_center(batches, dim, hear):
-            begin = np.searchsorted(node, np.arange(node[-1] + 2))
-            data = v.astype(np.int8).tobytes()
-            vecs = [data[dim * a:dim * b] for a, b in zip(begin, begin[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(center[begin[:-1]]), *_lists(node, len(vecs), (part.column("member").to_numpy(), pa.int64())), pa.array(vecs, pa.binary())], ["node", "near", "vecs"])
+        for center, node, rank, part, v in _by_center(batches, dim, kind, hear):
+            head = rank % per == 0
+            begin, piece, data = np.flatnonzero(head), np.cumsum(head) - 1, v.astype(kind).tobytes()
+            vecs = [data[wide * a:wide * b] for a, b in zip(begin, [*begin[1:], len(node)])]
+            yield pa.RecordBatch.from_arrays([pa.array(center[begin]), *_lists(piece, len(vecs), (part.column("member").to_numpy(), pa.int64())), pa.array(vecs, pa.binary())], ["node", "near", "vecs"])
 
     return _messages(graph, most, -1).mapInArrow(run, "node long, near array<long>, vecs binary")
 
 
-def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, *, beam: int, expand: int, rounds: int) -> DataFrame:
+def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, kind: str, *, beam: int, expand: int, rounds: int) -> DataFrame:
     """LISTS of the ``beam`` nearest nodes found for each query. queries: LISTS with the nodes to start from, all fresh."""
     def frontier(batches):
         for b in batches:
@@ -231,12 +234,12 @@ def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, *, beam: i
             ids, row = _flat(t, "ids")
             ds, fresh = _flat(t, "ds")[0], _flat(t, "fresh")[0].astype(bool)
             sizes = np.bincount(row, minlength=len(b)) if len(ids) else np.zeros(len(b), np.int64)
-            bound = np.array([ds[e - 1] if s >= beam else FAR for s, e in zip(sizes, np.cumsum(sizes))], np.float32)
+            bound = np.array([ds[e - 1] if s >= beam else FAR for s, e in zip(sizes, np.cumsum(sizes))])
             open_ = np.flatnonzero(fresh)
             rank = np.arange(len(open_)) - np.searchsorted(row[open_], row[open_])
             go = open_[rank < expand]
             who = pa.array(row[go])
-            yield pa.RecordBatch.from_arrays([b.column("id").take(who), b.column("vec").take(who), pa.array(bound[row[go]], pa.float32()), pa.array(ids[go].astype(np.int64))], ["id", "vec", "bound", "node"])
+            yield pa.RecordBatch.from_arrays([b.column("id").take(who), b.column("vec").take(who), pa.array(bound[row[go]], pa.float64()), pa.array(ids[go].astype(np.int64))], ["id", "vec", "bound", "node"])
 
     def expanded(batches):
         for b in batches:
@@ -256,8 +259,8 @@ def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, *, beam: i
                 near, row = _flat(t, "near")
                 if not len(near):
                     continue
-                v = _vectors(s.column("vecs"), dim)
-                q = _vectors(s.column("vec"), dim)[row]
+                v = _vectors(s.column("vecs"), dim, kind)
+                q = _vectors(s.column("vec"), dim, kind)[row]
                 d = ((v - q) ** 2).sum(1)
                 me = s.column("id").to_numpy()
                 good = (d < s.column("bound").to_numpy()[row]) & (near != me[row])
@@ -266,7 +269,7 @@ def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, *, beam: i
                     yield _proposals(me[used], at, near[good], d[good])
 
     for _ in range(rounds):
-        edge = queries.mapInArrow(frontier, "id long, vec binary, bound float, node long")
+        edge = queries.mapInArrow(frontier, "id long, vec binary, bound double, node long")
         found = edge.join(adjacency, "node").mapInArrow(look, LISTS)
         queries = cut(_merged(queries.mapInArrow(expanded, LISTS).unionByName(found), beam, True))
     return queries
@@ -284,23 +287,22 @@ def nearest(vectors: DataFrame, is_query, *, k: int = 10, most: int = 24, tables
     # the limit on the rank is applied before the shuffle too, so a very common vector sends k + 1 rows a task
     ranked = v.distinct().withColumn("r", F.row_number().over(W.partitionBy("embedding").orderBy("vec_id"))).where(F.col("r") <= k + 1)
     classes = cut(ranked.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("members")).select(F.xxhash64("embedding").alias("id"), "embedding", "members"))
-    top = classes.agg(F.count("*").alias("n"), F.max(F.array_max(F.transform("embedding", F.abs))).alias("top"), F.max(F.size("embedding")).alias("dim")).first()
+    top = classes.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
     n, dim = top["n"], top["dim"] or 0
-    scale = 127.0 / top["top"] if n else 1.0
+    kind = "f4" if isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType) else "f8"
 
-    def shrink(batches):
+    def packed(batches):
         for b in batches:
             x = b.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(len(b), dim) if len(b) else np.zeros((0, dim))
-            small = np.rint(x * scale).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([r.tobytes() for r in small], pa.binary())], ["id", "vec"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())], ["id", "vec"])
 
-    nodes = cut(classes.select("id", "embedding").mapInArrow(shrink, "id long, vec binary"))
-    graph = neighbour_graph(nodes, dim, n, most=most, tables=tables, leaf=leaf, rounds=rounds, hear=hear, offer=offer)
-    adjacency = _adjacency(graph, dim, most, hear).repartition(partitions(v.sparkSession), "node").persist(StorageLevel.MEMORY_AND_DISK)
+    nodes = cut(classes.select("id", "embedding").mapInArrow(packed, "id long, vec binary"))
+    graph = neighbour_graph(nodes, dim, kind, n, most=most, tables=tables, leaf=leaf, rounds=rounds, hear=hear, offer=offer)
+    adjacency = _adjacency(graph, dim, kind, most, hear).repartition(partitions(v.sparkSession), "node").persist(StorageLevel.MEMORY_AND_DISK)
     asked = v.where(is_query).select(F.col("vec_id").alias("query_id"), "embedding").distinct().join(classes.select("embedding", "id"), "embedding").select("query_id", "id")
     asked = cut(asked)
     starts = graph.join(asked.select("id").distinct(), "id", "left_semi").withColumn("fresh", F.transform("fresh", lambda x: F.lit(True)))
-    found = greedy_search(starts, adjacency, dim, beam=beam, expand=expand, rounds=search_rounds)
+    found = greedy_search(starts, adjacency, dim, kind, beam=beam, expand=expand, rounds=search_rounds)
     near = found.select("id", F.explode(F.concat(F.array("id"), F.slice("ids", 1, rerank))).alias("other"))
     near = near.join(classes.select("id", F.col("embedding").alias("a")), "id")
     near = near.join(classes.select(F.col("id").alias("other"), F.col("embedding").alias("b"), "members"), "other")

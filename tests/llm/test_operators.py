@@ -328,6 +328,22 @@ def test_neighbours(spark):
     assert ann.nearest(d.where("vec_id > 1999 and vec_id < 2005"), F.col("vec_id") >= 0).count() == 0
 
 
+def test_neighbours_of_mixed_norms(spark):
+    rng = np.random.default_rng(2)
+    x = (rng.standard_normal((1500, 16)) * 10.0 ** rng.uniform(-1, 1, (1500, 1))).astype(np.float32)
+    x[7] *= 1e6  # one long vector takes nothing from the others
+    d = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.nearest(d, "vec_id % 25 = 0 or vec_id = 7").collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    x, same = x.astype(np.float64), 0
+    for q, found in got.items():
+        dist = ((x - x[q]) ** 2).sum(1)
+        dist[q] = np.inf
+        same += len(found & set(np.argsort(dist)[:10].tolist()))
+    assert len(got) == 61 and same >= 0.98 * 10 * len(got)
+
+
 def test_feistel_is_a_permutation():
     f = pii.Feistel(b"key")
     for size in (1, 2, 3, 10, 97, 1000):
