@@ -85,9 +85,22 @@ def _walks(spark, sf_dir):
     return arcs, cut(pairs.select(F.col("way_id").alias("pair_id"), "s", "t"))
 
 
+def _arcs(e, profile):
+    return cut(network.profile_arcs(e).where(F.col("profile") == profile).select("from", "to", "w"))
+
+
+def _each_profile(found):
+    """The results of ``found(profile)`` under each other, with their profile."""
+    bicycle, foot = (found(p).withColumn("profile", F.lit(p)) for p in network.PROFILES)
+    return bicycle.unionByName(foot)
+
+
 def h2_shortest_paths(spark, sf_dir):
-    arcs, pairs = _walks(spark, sf_dir)
-    return network.shortest_paths(arcs, pairs, REACH)
+    """Pairs of places near each other: the ends of ways, however long the way between them."""
+    e = _edges(spark, sf_dir)
+    pairs = e.groupBy("way_id").agg(F.min_by("a", F.struct("edge_no", "piece")).alias("s"), F.max_by("b", F.struct("edge_no", "piece")).alias("t"))
+    pairs = cut(pairs.select(F.col("way_id").alias("pair_id"), "s", "t"))
+    return _each_profile(lambda p: network.shortest_paths(_arcs(e, p), pairs))
 
 
 def h3_h4_h5_h6_hierarchy(spark, sf_dir):

@@ -276,3 +276,13 @@ def test_packed_tiles():
 
 def test_every_sql_has_its_query():
     assert set(registry.oracle_sql()) <= set(registry.queries()) and len(registry.queries()) > 55
+
+
+def test_far_pairs_and_both_profiles(spark, monkeypatch):
+    from mapjobs.plans import area_plans
+
+    rows = [(1, 0, 0, 1, 2, [9000, 9000, 15000, 15000]), (1, 1, 0, 2, 3, [9000, 9000, 15000, 15000]), (2, 0, 0, 4, 5, [7, None, None, None]), (3, 0, 0, 3, 1, [40000, 40000, 5, None])]
+    e = spark.createDataFrame(rows, "way_id long, edge_no int, piece int, a long, b long, cost array<int>")
+    monkeypatch.setattr(area_plans, "_edges", lambda spark, sf_dir: e)
+    got = {(r.profile, r.pair_id): r.cost for r in area_plans.h2_shortest_paths(spark, "").collect()}
+    assert got == {(0, 1): 18000, (0, 2): 7, (0, 3): 18000, (1, 1): 30000, (1, 2): None, (1, 3): 5}
