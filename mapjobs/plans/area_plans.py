@@ -73,18 +73,6 @@ def a6_main_mask(spark, sf_dir):
     return network.main_mask(_edges(spark, sf_dir)).select("way_id", "edge_no", "piece", "main_mask")
 
 
-#: Routes of up to half an hour, in 0.1 s: what a search for the surroundings of a place asks for.
-REACH = 18000
-
-
-def _walks(spark, sf_dir):
-    """Arcs on foot, and pairs of places near each other: the ends of ways."""
-    e = _edges(spark, sf_dir)
-    arcs = cut(network.profile_arcs(e).where("profile = 1").select("from", "to", "w"))
-    pairs = e.groupBy("way_id").agg(F.min_by("a", F.struct("edge_no", "piece")).alias("s"), F.max_by("b", F.struct("edge_no", "piece")).alias("t"))
-    return arcs, cut(pairs.select(F.col("way_id").alias("pair_id"), "s", "t"))
-
-
 def _arcs(e, profile):
     return cut(network.profile_arcs(e).where(F.col("profile") == profile).select("from", "to", "w"))
 
@@ -104,11 +92,17 @@ def h2_shortest_paths(spark, sf_dir):
 
 
 def h3_h4_h5_h6_hierarchy(spark, sf_dir):
-    """Pairs by the hierarchy against plain search: the counts of outcomes."""
-    arcs, pairs = _walks(spark, sf_dir)
-    every, order = network.hierarchy(arcs, core=300, rounds=3)
-    found = network.hierarchy_query(*[cut(x) for x in network.split_by_rank(every, order)], pairs, REACH)
-    return network.compared(found, network.shortest_paths(arcs, pairs, REACH))
+    """Pairs of all nodes, picked by hash, by the hierarchy against plain search: the counts of outcomes."""
+    e = _edges(spark, sf_dir)
+
+    def outcomes(profile):
+        arcs = _arcs(e, profile)
+        pairs = cut(network.picked_pairs(arcs, 100))
+        every, order = network.hierarchy(arcs)
+        found = network.hierarchy_query(*[cut(x) for x in network.split_by_rank(every, order)], pairs)
+        return network.compared(found, network.shortest_paths(arcs, pairs))
+
+    return _each_profile(outcomes)
 
 
 def b3_geometry_tiles(spark, sf_dir):
@@ -120,14 +114,17 @@ def b3_geometry_tiles(spark, sf_dir):
 def b4_hierarchy_tiles(spark, sf_dir):
     e = _edges(spark, sf_dir)
     nodes, edges = map(cut, routing_tiles.numbered(e))
-    arcs = network.profile_arcs(e).where("profile = 1").select("from", "to", "w")
-    every, order = network.hierarchy(cut(arcs), core=300, rounds=2)
-    via = cut(routing_tiles.arcs_with_via(every, nodes, edges.withColumn("costs", F.slice("cost", 3, 2))))
-    r = via.join(order.select(F.col("node").alias("from"), F.col("turn").alias("rf")), "from").join(order.select(F.col("node").alias("to"), F.col("turn").alias("rt")), "to")
-    up = r.where("rf <= rt").select(F.col("n_from").alias("node"), F.col("n_to").alias("to"), "w", "via")
-    down = r.where("rf >= rt").select(F.col("n_to").alias("node"), F.col("n_from").alias("to"), "w", "via")
-    packed = tiles.with_bytes(routing_tiles.hierarchy_tiles(nodes, up, down), routing_tiles.pack_hierarchy_tile, "nodes")
-    return packed.select("ix", "iy", F.length("data").alias("size"), F.md5("data").alias("md5"))
+
+    def written(profile):
+        every, order = network.hierarchy(_arcs(e, profile))
+        via = cut(routing_tiles.arcs_with_via(every, nodes, edges.withColumn("costs", F.slice("cost", 2 * profile + 1, 2))))
+        r = via.join(order.select(F.col("node").alias("from"), F.col("turn").alias("rf")), "from").join(order.select(F.col("node").alias("to"), F.col("turn").alias("rt")), "to")
+        up = r.where("rf <= rt").select(F.col("n_from").alias("node"), F.col("n_to").alias("to"), "w", "via")
+        down = r.where("rf >= rt").select(F.col("n_to").alias("node"), F.col("n_from").alias("to"), "w", "via")
+        packed = tiles.with_bytes(routing_tiles.hierarchy_tiles(nodes, up, down), routing_tiles.pack_hierarchy_tile, "nodes")
+        return packed.select("ix", "iy", F.length("data").alias("size"), F.md5("data").alias("md5"))
+
+    return _each_profile(written)
 
 
 def _manifests(spark, sf_dir):

@@ -286,3 +286,8 @@ def test_far_pairs_and_both_profiles(spark, monkeypatch):
     monkeypatch.setattr(area_plans, "_edges", lambda spark, sf_dir: e)
     got = {(r.profile, r.pair_id): r.cost for r in area_plans.h2_shortest_paths(spark, "").collect()}
     assert got == {(0, 1): 18000, (0, 2): 7, (0, 3): 18000, (1, 1): 30000, (1, 2): None, (1, 3): 5}
+    counts = {}
+    for r in area_plans.h3_h4_h5_h6_hierarchy(spark, "").collect():
+        counts.setdefault(r.profile, {})[r.status] = r.n
+    assert set(counts) == {0, 1} and all("wrong" not in c for c in counts.values())
+    assert [sum(counts[p].values()) for p in (0, 1)] == [4, 3]
