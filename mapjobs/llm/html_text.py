@@ -12,6 +12,7 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from mapjobs.llm.common import slices, texts
 #: Fixed values of the HTML standard: elements that start a new block; that never have content; whose content is no text of the page.
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object".split())
+RAW = frozenset("script style noscript template textarea title iframe".split())
 #: An opening tag of the left kind ends an open element of the right kinds.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = frozenset("ul ol dl table select html body".split())
@@ -36,18 +37,22 @@ NAME_PARTS = re.compile(r"[a-z]+")
 @dataclass
 class Block:
     text: str
-    path: tuple[tuple[str, tuple[str, ...]], ...]  # (tag, parts of its names) from the root down
+    own: str  # tag of the innermost open element, "none" outside of all
+    tags: frozenset[str]  # of all open elements
+    names: frozenset[str]  # parts of the names of all open elements
     linked: int  # characters inside links
 
 
-def blocks(page: str) -> list[Block]:
+def blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
     """The non-empty text blocks of a page in order, references decoded and white space made single.
 
     One pass over the tags; ill-nested and unclosed ones are mended as browsers do in the common cases. A tag that the
-    page's end cuts off is dropped.
+    page's end cuts off is dropped. known: the only parts of names to keep; it bounds the sets of a deep page.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    # (tag, tags of it and all around it, parts of their names); an element that adds nothing shares its parent's sets
+    stack: list[tuple[str, frozenset[str], frozenset[str]]] = []
+    none: frozenset[str] = frozenset()
     held: list[str] = []
     linked, in_link, at, pattern, size = 0, 0, 0, TAG, len(page)
 
@@ -55,7 +60,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(held)).split())
         if text:
-            out.append(Block(text, tuple(stack), linked))
+            out.append(Block(text, *(stack[-1] if stack else ("none", none, none)), linked))
         held.clear()
         linked = 0
 
@@ -116,7 +121,9 @@ def blocks(page: str) -> list[Block]:
                 break
         if tag not in VOID:
             names = " ".join("".join(x) for x in NAMED.findall(m[3])).lower()
-            stack.append((tag, tuple(NAME_PARTS.findall(names)[:12])))
+            _, tags, around = stack[-1] if stack else ("", none, none)
+            parts = [n for n in NAME_PARTS.findall(names) if known is None or n in known]
+            stack.append((tag, tags if tag in tags else tags | {tag}, around if around.issuperset(parts) else around.union(parts)))
     flush()
     return out
 
@@ -126,16 +133,16 @@ def bucket(n: int) -> str:
 
 
 def features(bs: list[Block]) -> list[list[str]]:
-    """Names of the features of each block. A deep path counts by its innermost forty elements."""
-    rows, body = [], any(t in ("article", "main") for b in bs for t, _ in b.path)
+    """Names of the features of each block. All open elements count, however deep."""
+    rows, body = [], any("article" in b.tags or "main" in b.tags for b in bs)
     for i, b in enumerate(bs):
-        tags = {t for t, _ in b.path[-40:]}
+        tags = b.tags
         words = b.text.count(" ") + 1
-        own = b.path[-1][0] if b.path else "none"
+        own = b.own
         link = 3 * b.linked // (len(b.text) + 1)
         row = ["bias", f"own={own}", f"words={bucket(words)}", f"link={min(link, 3)}", f"own={own},words={bucket(words)}"]
         row += [f"in={t}" for t in tags]
-        row += [f"name={n}" for _, names in b.path[-40:] for n in set(names)]
+        row += [f"name={n}" for n in b.names]
         row += [f"end={b.text[-1] in '.!?:;\"'}", f"first={i == 0}", f"last={i == len(bs) - 1}"]
         row.append(f"article={'article' in tags or 'main' in tags},page={body}")
         if "©" in b.text or "(c)" in b.text.lower():
@@ -151,6 +158,11 @@ class Crf:
     step: np.ndarray
     start: np.ndarray
 
+    @cached_property
+    def names(self) -> frozenset[str]:
+        """Parts of names that have a weight; others change no score."""
+        return frozenset(f.removeprefix("name=") for f in self.weights if f.startswith("name="))
+
     def decode(self, rows: list[list[str]]) -> np.ndarray:
         """Viterbi: the best labels of a page's blocks (0 or 1)."""
         n = len(rows)
@@ -304,7 +316,7 @@ def labelled_pages(n: int = 600) -> list[tuple[list[list[str]], list[int]]]:
 
 
 def main_text(page: str, crf: Crf) -> str:
-    bs = blocks(page)
+    bs = blocks(page, crf.names)
     return "\n\n".join(b.text for b, y in zip(bs, crf.decode(features(bs))) if y)
 
 

@@ -290,6 +290,13 @@ def test_html(spark):
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in got if r.page_id != 4) == sorted([("1", want, len(want)), ("1", want, len(want)), ("2", "", 0), ("None", "", 0)])
 
 
+def test_html_deep_and_long_names():
+    deep = html_text.blocks("<article class='a b c d e f g h i j k l m comments'>" + "<div>" * 60 + "x <math><mi>E</mi>=mc</math> <svg><text>s</text></svg> y")
+    row = html_text.features(deep)[0]
+    assert deep[0].text == "x E=mc s y"
+    assert "in=article" in row and "article=True,page=True" in row and "name=comments" in row
+
+
 def test_html_held_out_layouts():
     crf = html_text.train(html_text.labelled_pages(300))
     wrong = blocks = 0
