@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
@@ -36,6 +36,27 @@ def slices(batches: Iterator[pa.RecordBatch], name: str = "text", most: int = 4
             yield batch.slice(start)
 
 
+_held: list = []
+
+
+def held(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` builds, kept by the worker process over its tasks while ``key`` stays the same.
+
+    A worker keeps one thing only, whichever operator asks: what an earlier operator left is given up first, so
+    that a chain of operators in one session never holds the caches of two.
+    """
+    if not _held or _held[0] != key:
+        release()
+        _held[:] = [key, make()]
+    return _held[1]
+
+
+def release() -> None:
+    """Gives up what ``held`` keeps."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def crc32(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
 

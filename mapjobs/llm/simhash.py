@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from mapjobs.components import connected_components
-from mapjobs.llm.common import slices, texts
+from mapjobs.llm.common import release, slices, texts
 from mapjobs.session import cut
 
 SEED, SHINGLE, RADIUS = 42, 3, 3
@@ -47,11 +47,13 @@ def fingerprint(words: list[bytes]) -> int:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp): fp is the 64-bit fingerprint as a signed long. A-Z are lower-cased; null counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in slices(batches):
             fps = np.array([fingerprint(t.lower().split()) for t in texts(batch)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    d = docs.select("doc_id", "text")
+    return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -138,7 +140,7 @@ def links(fps: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of docs (doc_id, text).
 
-    Documents whose fingerprints differ in 3 bits or fewer are linked; component_id is the smallest doc_id
+    doc_id may be of any type that can be ordered. Documents whose fingerprints differ in 3 bits or fewer are linked; component_id is the smallest doc_id
     reachable over links. Word-less and null texts have fingerprint zero and are linked like any other. Rows that
     repeat a doc_id are kept; a null doc_id never names a component unless it has no other. No rows give no
     rows. Other columns are ignored.

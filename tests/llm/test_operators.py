@@ -184,7 +184,7 @@ def test_simhash_links(spark):
     assert len(set(zip(roots, brute))) == len(set(roots)) == len(set(brute))
 
 
-@pytest.mark.parametrize("options", [{}, {"block_bytes": 40}])
+@pytest.mark.parametrize("options", [{}, {"bits": 6, "text_slice": 1000}])
 def test_contamination(spark, docs, none, texts, options):
     items = [(1, prose(1, 300)[100:400]), (1, prose(1, 300)[100:400]), (10, "Two words"), (2, "one"), (3, None), (4, "!!"), (5, " ".join(prose(3, 20_000).split()[500:513])), (None, prose(4, 12)), (6, "nowhere " * 20)]
     bench = spark.createDataFrame(items, "item_id long, text string")
