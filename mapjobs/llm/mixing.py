@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import lcm
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mapjobs.session import cut
@@ -29,7 +32,11 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
     so one running sum finds them all. The two global windows run over one row per source.
     """
     n = len(weights)
-    w = F.element_at(F.array(*[F.lit(int(x)) for x in weights]), ((F.col("place") - 1) % n + 1).cast("int")).cast("long")
+    exact = [Fraction(str(x)) for x in weights]
+    if not exact or min(exact) <= 0:
+        raise ValueError("weights must be above 0")
+    whole = [int(x * lcm(*[y.denominator for y in exact])) for x in exact]  # in the same proportions
+    w = F.element_at(F.array(*[F.lit(x) for x in whole]), ((F.col("place") - 1) % n + 1).cast("int")).cast("long")
     s = sizes.withColumn("place", F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())))
     s = s.withColumn("w", w).withColumn("limit", F.lit(most_repeats).cast("long") * F.col("source_size"))
     every = W.orderBy((F.col("limit") / F.col("w")), "place")
