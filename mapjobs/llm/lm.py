@@ -1,16 +1,17 @@
 """Language-model scores (operator 4): subword lattice likelihood.
 
-A word's arcs are the pieces of a public unigram vocabulary; all its segmentations are summed by the forward recursion
-in log space (``lattice``). The vocabulary's published scores (minus the rank) give the starting weights
-1 / (10 + rank); one pass of expected counts over the distinct words of the training documents fits them. Words
-seen in training have one arc more, over the whole word, weighted by their share of the training
-tokens; the piece arcs get the rest, which is the share of words seen once (Good and Turing). So
-P(word) = (1 - u) c / N + u P_pieces(word), and the probabilities of all texts add up to 1.
+The model is a stream of pieces of a public unigram vocabulary, each drawn by the vocabulary's own score, and an end. The file's scores
+are ranks (minus the place in order of frequency), so a piece weighs 1 / (10 + rank), by Zipf's law; nothing about the pieces is learnt here. A text's
+probability is the sum over all its segmentations into pieces. No piece reaches over white space, so the sum is a product over words,
+each worked out by the forward recursion in log space (``lattice``). The end's probability is its share of the training tokens.
+
+Every distinct word of the documents is scored once, in the table that also counts the training tokens.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mapjobs.llm.common import slices, texts
+from mapjobs.llm.common import held, release, slices, texts
 from mapjobs.llm.lattice import Lattice, normalised, public_pieces
 from mapjobs.session import cut
 
@@ -31,92 +32,88 @@ def tokens_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def word_counts(docs: DataFrame, most: int = 300_000) -> DataFrame:
-    """(word, c): tokens of the words of docs (text). Each task adds up ``most`` distinct words before it shuffles."""
+def word_counts(docs: DataFrame, most: int = 200_000) -> DataFrame:
+    """(word, c): every word of docs (text, held_out) with its number in rows that are not held out. Each task adds up ``most`` distinct words before it shuffles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         total: Counter = Counter()
 
         def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.binary()).cast(pa.string()), pa.array(total.values(), pa.int64())], ["word", "c"])
+            out = pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.binary()), pa.array(total.values(), pa.int64())], ["word", "c"])
             total.clear()
             return out
 
         for batch in slices(batches):
-            for text in texts(batch):
-                total.update(tokens_of(text))
+            for text, out in zip(texts(batch), batch.column("held_out").to_pylist()):
+                words = tokens_of(text)
+                total.update(dict.fromkeys(words, 0) if out else words)
             if len(total) > most:
                 yield flush()
         yield flush()
 
-    return docs.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select("text", "held_out").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def fit_pieces(words: DataFrame, vocabulary: str, smooth: float = 0.01) -> tuple[list[str], np.ndarray]:
-    """Pieces and their log probabilities: expected counts over the segmentations of each distinct word under the
-    published scores. words: (word, c). The driver gets one row per piece of the vocabulary."""
+def piece_weights(vocabulary: str, end: float) -> tuple[list[str], np.ndarray]:
+    """The pieces and their natural log probabilities, which share 1 - end."""
     pieces, published = public_pieces(vocabulary)
-    start = normalised((1 / (10 - published))[:, None], 0.0)
-    shared = words.sparkSession.sparkContext.broadcast((pieces, start))
+    return pieces, normalised((1 / (10 - published))[:, None], 0.0) + math.log1p(-end)
+
+
+def word_scores(words: DataFrame, vocabulary: str, end: float) -> DataFrame:
+    """(word, c, lp): words (word, c) with the log10 of their probability over all segmentations. Bad UTF-8 is read as U+FFFD."""
+    shared = words.sparkSession.sparkContext.broadcast(piece_weights(vocabulary, end))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, logp = shared.value
-        lattice, total = Lattice(pieces), np.zeros(len(pieces))
-        for batch in batches:
-            w = [START + x for x in batch.column("word").to_pylist()]
-            total += lattice.expected(w, np.ones((len(w), 1)), logp)[:, 0]
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.float64())], ["piece", "n"])
+        lattice = Lattice(pieces)
+        for batch in slices(batches, "word"):
+            lp = lattice.score([START + w.decode("utf-8", "replace") for w in texts(batch, "word")], logp)[:, 0] / LN10
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(lp)], ["word", "c", "lp"])
 
-    counts = np.zeros((len(pieces), 1))
-    for r in words.select("word").mapInArrow(run, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect():
-        counts[r["piece"], 0] = r["n"]
-    return pieces, normalised(counts, smooth)
+    return words.mapInArrow(run, "word binary, c long, lp double")
 
 
-def score(docs: DataFrame, vocabulary: str, *, held_out: Column, hot_words: int = 600_000) -> DataFrame:
+def score(docs: DataFrame, vocabulary: str, *, held_out: Column, hot_words: int = 400_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs (doc_id, text).
 
     held_out: a condition on doc_id; those rows are scored but not learnt from. Counts cover all other rows.
     The tokens of a text are its words and one end. Words with ``1 / hot_words`` of all training tokens or more are
-    ``hot_words`` at most; they are broadcast and take most tokens of any text out of the shuffle, and with them every
-    hot key. The rest meet their counts in a join on the word, and add up by document.
+    ``hot_words`` at most; they are broadcast with their scores and take most tokens of any text out of the shuffle, and with them every
+    hot key. The rest meet their scores in a join on the word, and add up by document.
 
     Null and empty texts have the end alone. Repeated rows and ids are scored one by one. With no training rows
-    every word is unknown and the pieces keep their starting weights; no rows give no rows. Other columns are ignored.
+    every word is unknown and the end weighs a half; no rows give no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    train = d.where(~F.col("held_out"))
-    words = cut(word_counts(train))
-    ends = train.count()
-    of_words = words.agg(F.sum("c"), F.count("*"), F.count(F.when(F.col("c") == 1, 1))).first()
-    n, v, once = (of_words[0] or 0) + ends, of_words[1] + (ends > 0), of_words[2]
-    unseen = min(0.5, max(once, 1) / max(n, 2))
-    pieces, logp = fit_pieces(words, vocabulary)
-    is_hot = F.col("c") * hot_words >= max(n, 1)
-    hot = {r["word"].encode(): r["c"] for r in words.where(is_hot).collect()}
-    shared = spark.sparkContext.broadcast((pieces, logp, hot))
+    counts = cut(word_counts(d))
+    ends = d.where(~F.col("held_out")).count()
+    of_words = counts.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
+    n, v = (of_words[0] or 0) + ends, of_words[1] + (ends > 0)
+    end = (ends + 0.5) / (n + 1)
+    words = cut(word_scores(counts, vocabulary, end))
     base_of = lambda c: np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
-    end_base, end_score = float(base_of(ends)), math.log10((1 - unseen) * ends / n if ends else 1.0)
+    is_hot = F.col("c") * hot_words >= max(n, 1)
+    found = words.where(is_hot).toArrow()
+    hot = (uuid.uuid4().hex, found.column("word").combine_chunks().cast(pa.binary()), base_of(found.column("c").to_numpy()), found.column("lp").to_numpy())
+    shared = spark.sparkContext.broadcast(hot)
+    end_base, end_score = float(base_of(ends)), math.log10(end)
     doc = "struct<doc_id:bigint,held_out:boolean,n_tokens:bigint,n_known:bigint,base:double,score:double>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each rare word of a text; the first, or a row of its own, carries what is known of the text."""
         from pyspark import TaskContext
 
-        pieces, logp, hot = shared.value
-        lattice, at = Lattice(pieces), TaskContext.get().partitionId() << 33
-        hot_c = np.array([*hot.values(), 0], float)
-        hot_at = dict(zip(hot, range(len(hot))))
-        hot_lp = lattice.score([START + w.decode("utf-8", "replace") for w in hot], logp)[:, 0]
-        known = np.log10((1 - unseen) * hot_c[:-1] / max(n, 1) + unseen * np.exp(hot_lp))
-        hot_base = base_of(hot_c[:-1])
-        for batch in slices(batches, most=8 << 20):
+        name, hot_word, hot_base, hot_score = shared.value
+        hot_at = held(("lm", name), lambda: dict(zip(hot_word.to_pylist(), range(len(hot_word)))))
+        at = TaskContext.get().partitionId() << 33
+        for batch in slices(batches):
             docs, key, rare, tf = [], [], [], []
             for doc_id, out, text in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), texts(batch)):
                 words = Counter(tokens_of(text))
                 own, times = [], []
-                first, sums = len(rare), 0
+                first = len(rare)
                 for w, t in words.items():
                     i = hot_at.get(w)
                     if i is None:
@@ -124,28 +121,21 @@ def score(docs: DataFrame, vocabulary: str, *, held_out: Column, hot_words: int
                     else:
                         own.append(i), times.append(t)
                 i, t = np.array(own, np.int64), np.array(times, np.int64)
-                told = {"doc_id": doc_id, "held_out": out, "n_tokens": words.total() + 1, "n_known": int(t.sum()) + (ends > 0), "base": float((t * hot_base[i]).sum()) + end_base, "score": float((t * known[i]).sum()) + end_score}
+                told = {"doc_id": doc_id, "held_out": out, "n_tokens": words.total() + 1, "n_known": int(t.sum()) + (ends > 0), "base": float((t * hot_base[i]).sum()) + end_base, "score": float((t * hot_score[i]).sum()) + end_score}
                 if len(rare) == first:
-                    key.append(at), rare.append(b""), tf.append(0), docs.append(None)
+                    # a text without rare words has no word to meet; a name of its own spreads such rows
+                    key.append(at), rare.append(b"\x20%d" % at), tf.append(0), docs.append(None)
                 docs[first] = told
                 at += 1
-            different = {w: j for j, w in enumerate(dict.fromkeys(rare))}
-            lp = lattice.score([START + w.decode("utf-8", "replace") for w in different], logp)[:, 0]
-            which = np.fromiter(map(different.__getitem__, rare), np.int64, len(rare))
-            # a text without rare words has no key to meet; its own name spreads such rows
-            names = pa.array([w or b"\x20%d" % k for w, k in zip(rare, key)], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), names, pa.array(tf, pa.int64()), pa.array(lp[which], pa.float64()), pa.array(docs, _struct())], ["key", "word", "tf", "lp", "doc"])
-
-    rows = d.mapInArrow(run, f"key long, word string, tf long, lp double, doc {doc}")
-    met = rows.join(words.where(~is_hot), "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    log_word = F.log10(F.lit(1 - unseen) * F.col("c") / max(n, 1) + F.lit(unseen) * F.exp("lp"))
-    # far below the smallest double the sum above is 0: there the pieces' term alone, in logs
-    log_word = F.when((F.col("c") == 0), F.col("lp") / LN10 + math.log10(unseen)).otherwise(log_word)
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(rare, pa.binary()), pa.array(tf, pa.int64()), pa.array(docs, _struct())], ["key", "word", "tf", "doc"])
+
+    rows = d.mapInArrow(run, f"key long, word binary, tf long, doc {doc}")
+    met = rows.join(words.where(~is_hot), "word", "left")
     sums = met.groupBy("key").agg(
         F.first("doc", ignorenulls=True).alias("doc"),
         F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("known"),
-        F.sum(F.col("tf") * F.log10((F.col("c") + 0.5) / F.lit(n + 0.5 * (v + 1)))).alias("base"),
-        F.sum(F.when(F.col("tf") > 0, F.col("tf") * log_word).otherwise(0.0)).alias("score"),
+        F.sum(F.when(F.col("tf") > 0, F.col("tf") * F.log10((F.col("c") + 0.5) / F.lit(n + 0.5 * (v + 1)))).otherwise(0.0)).alias("base"),
+        F.sum(F.when(F.col("tf") > 0, F.col("tf") * F.col("lp")).otherwise(0.0)).alias("score"),
     )
     return sums.select(
         "doc.doc_id", "doc.held_out", "doc.n_tokens", (F.col("doc.n_known") + F.col("known")).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
