@@ -1,9 +1,9 @@
 """Toxicity (operator 1): a counterfactual-regularised linear classifier.
 
 Features are the words of a text and their beginnings of four to six letters, each present or not. A logistic model
-is fitted with two penalties: squared weights, and the squared change of the score when identity terms in
-labelled sentences are swapped for others of their group. The second one keeps neutral mentions of groups
-from carrying a score, since which group a sentence names must not matter.
+is fitted with two penalties: squared weights, and the squared change of a sentence's score when the identity terms in
+it are swapped for others of their kind (counterfactual logit pairing: Garg et al. 2019). Every labelled sentence that names a group is
+featurised whole, as it is and swapped, and the model is held to score both alike; so which group a sentence names cannot matter.
 """
 
 from __future__ import annotations
@@ -37,27 +37,28 @@ def word_features(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in (4, 5, 6) if len(word) >= n)]
 
 
-def features(text: str) -> set[str]:
-    out: set[str] = set()
-    for w in set(WORDS.findall(text.lower())):
-        out.update(word_features(w))
-    return out
+def features(words: list[str]) -> set[str]:
+    return {f for w in set(words) for f in word_features(w)}
 
 
-def swaps(text: str, most: int) -> list[list[tuple[str, str]]]:
-    """For each sentence that names a group: its identity words paired with one other term of their kind each, the
-    next in the list, so that every term meets others. ``most`` sentences of a text at most."""
-    found = []
-    for m in SENTENCE.finditer(text.lower()):
-        pairs = [(w, KIN[w]) for w in WORDS.findall(m[0]) if w in KIN]
-        if pairs:
-            found.append(pairs)
-            if len(found) == most:
-                break
-    return found
+#: For each term the others of its kind, those that follow it in the list first.
+KIN = {w: [*terms[i + 1:], *terms[:i]] for terms in map(str.split, IDENTITY.values()) for i, w in enumerate(terms)}
 
 
-KIN = {w: group.split()[(i + 1) % len(group.split())] for group in IDENTITY.values() for i, w in enumerate(group.split())}
+def counterfactuals(text: str, turns: int = 2) -> Iterator[list[str]]:
+    """For each sentence that names a group, and each of ``turns`` swaps of it: how the whole sentence's feature vector changes.
+
+    A swap puts another term of its kind in the place of every identity word at once. Features that the swapped sentence
+    has and the sentence has not are marked +, those it loses -; a swap that changes nothing (both terms are there) is an empty list.
+    """
+    for m in SENTENCE.finditer(text.lower()):
+        words = WORDS.findall(m[0])
+        if KIN.keys().isdisjoint(words):
+            continue
+        before = features(words)
+        for turn in range(turns):
+            after = features([KIN[w][turn % len(KIN[w])] if w in KIN else w for w in words])
+            yield [*sorted("+" + f for f in after - before), *sorted("-" + f for f in before - after)]
 
 
 @dataclass
@@ -66,25 +67,44 @@ class Model:
     bias: float
 
 
-def _fit(rows: list[np.ndarray], y: np.ndarray, importance: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray, float]], size: int, l2: float, fair: float, steps: int) -> tuple[np.ndarray, float]:
-    """Weighted logistic loss + l2 |w|^2 + fair * mean (change of score by a swap)^2, by Adam on the full sample."""
-    cols = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    pcols = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, np.int64)
-    pvals = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0)
-    prow = np.repeat(np.arange(len(pairs)), [len(p[0]) for p in pairs])
-    pweight = np.array([p[2] for p in pairs]) / max(sum(p[2] for p in pairs), 1e-9)
-    w, b, total = np.zeros(size), 0.0, importance.sum()
-    m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
+@dataclass
+class Sample:
+    """Numbered features of texts, with labels and weights; changes by swaps, with how many sentences have each."""
+    rows: list[np.ndarray]
+    y: np.ndarray
+    importance: np.ndarray
+    changes: list[tuple[np.ndarray, np.ndarray]]  # (features, +1 or -1)
+    times: np.ndarray
+    size: int
+
+    def __post_init__(self):
+        join = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
+        self.cols, self.row = join(self.rows, np.int64), np.repeat(np.arange(len(self.rows)), [len(r) for r in self.rows])
+        self.ccols, self.csign = join([c for c, _ in self.changes], np.int64), join([s for _, s in self.changes], float)
+        self.crow = np.repeat(np.arange(len(self.changes)), [len(c) for c, _ in self.changes])
+        self.share = self.times / max(self.times.sum(), 1)
+
+    def loss(self, w: np.ndarray, b: float, l2: float, fair: float) -> tuple[float, np.ndarray, float]:
+        """Weighted logistic loss + l2 |w|^2 + fair * mean over swapped sentences of (change of score)^2; its gradient in w and b."""
+        z = np.bincount(self.row, w[self.cols], len(self.rows)) + b
+        total = self.importance.sum()
+        err = self.importance * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - self.y) / total
+        value = (self.importance * (np.logaddexp(0, z) - self.y * z)).sum() / total + l2 * (w * w).sum()
+        g = np.bincount(self.cols, err[self.row], self.size) + 2 * l2 * w
+        if len(self.changes):
+            change = np.bincount(self.crow, self.csign * w[self.ccols], len(self.changes))
+            value += fair * (self.share * change * change).sum()
+            g += 2 * fair * np.bincount(self.ccols, self.csign * (self.share * change)[self.crow], self.size)
+        return value, g, err.sum()
+
+
+def _fit(sample: Sample, l2: float, fair: float, steps: int) -> tuple[np.ndarray, float]:
+    """The loss's minimum, by Adam on the full sample."""
+    w, b = np.zeros(sample.size), 0.0
+    m, v, mb, vb = np.zeros(sample.size), np.zeros(sample.size), 0.0, 0.0
     for t in range(1, steps + 1):
-        z = np.bincount(row, w[cols], len(rows)) + b
-        p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        err = importance * (p - y) / total
-        g = np.bincount(cols, err[row], size) + 2 * l2 * w
-        if len(pairs):
-            change = np.bincount(prow, pvals * w[pcols], len(pairs))
-            g += fair * 2 * np.bincount(pcols, pvals * (pweight * change)[prow], size)
-        gb, rate = err.sum(), 0.1 * (1 - t / (steps + 1)) + 0.001
+        _, g, gb = sample.loss(w, b, l2, fair)
+        rate = 0.1 * (1 - t / (steps + 1)) + 0.001
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -92,13 +112,14 @@ def _fit(rows: list[np.ndarray], y: np.ndarray, importance: np.ndarray, pairs: l
     return w, b
 
 
-def train(docs: DataFrame, labels: DataFrame, *, allowed: Column | None = None, per_class: int = 3000, most_features: int = 20_000, least_documents: int = 4, least_z: float = 3.5, l2: float = 1e-5, fair: float = 1.0, sentences: int = 20, steps: int = 150) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, allowed: Column | None = None, per_class: int = 3000, least_documents: int = 4, least_z: float = 3.5, l2: float = 1e-5, fair: float = 1.0, steps: int = 150) -> Model:
     """Fits a model on docs (doc_id, text) and labels (doc_id, toxic 0/1).
 
     allowed: a condition on labels' rows that may be learnt from. The classifier is fitted on a bounded sample: about
     ``per_class`` labelled rows of either class, chosen by a hash of the id; their texts are used whole and they are weighted back to
-    their share. The sample's ids are broadcast (2 * per_class rows). Features are those whose shares of documents in the
-    two classes differ by ``least_z`` standard errors, ``most_features`` at most. Rows with null labels or ids are left out; without rows of both
+    their share. The sample's ids are broadcast (2 * per_class rows). Features are all those whose shares of documents in the
+    two classes differ by ``least_z`` standard errors, and those that swaps change. Equal changes of all sentences are added up in Spark; the driver gets
+    each once, and the sample's numbered features. Rows with null labels or ids are left out; without rows of both
     classes every score is the share of class 1 (0.5 without any).
     """
     spark = docs.sparkSession
@@ -116,11 +137,12 @@ def train(docs: DataFrame, labels: DataFrame, *, allowed: Column | None = None,
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 20):
             decoded = [t.decode("utf-8", "replace") for t in texts(batch)]
-            found = [[f"{a}\t{b}" for s in swaps(t, sentences) for a, b in s] for t in decoded]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([sorted(features(t)) for t in decoded], pa.list_(pa.string())), pa.array(found, pa.list_(pa.string()))], ["toxic", "features", "swaps"])
+            found = [sorted(features(WORDS.findall(t.lower()))) for t in decoded]
+            changes = [[*counterfactuals(t)] for t in decoded]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.string())), pa.array(changes, pa.list_(pa.list_(pa.string())))], ["toxic", "features", "changes"])
 
     sample = docs.select("doc_id", "text").join(F.broadcast(y), "doc_id").select("text", "toxic")
-    sample = cut(sample.mapInArrow(featurise, "toxic int, features array<string>, swaps array<string>"))
+    sample = cut(sample.mapInArrow(featurise, "toxic int, features array<string>, changes array<array<string>>"))
     got = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(got) < 2:
         return Model({}, float(np.log((n[1] + 1) / (n[0] + 1))))
@@ -128,10 +150,11 @@ def train(docs: DataFrame, labels: DataFrame, *, allowed: Column | None = None,
     whole = (F.count("*") + 1.0) / (got[0] + got[1] + 2.0)
     z = F.abs(share(1) - share(0)) / F.sqrt(whole * (1 - whole) * (1 / got[1] + 1 / got[0]))
     chosen = sample.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n"), z.alias("z"))
-    chosen = chosen.where((F.col("n") >= least_documents) & (F.col("z") >= least_z)).orderBy(F.desc("z"), "f").limit(most_features).select("f")
-    names = [r["f"] for r in chosen.collect()]
-    # the words that can be swapped belong to the model whether or not they tell the classes apart
-    place = {f: i for i, f in enumerate(dict.fromkeys([*names, *(f for w in KIN for f in word_features(w))]))}
+    chosen = chosen.where((F.col("n") >= least_documents) & (F.col("z") >= least_z)).select("f")
+    names = sorted(r["f"] for r in chosen.collect())
+    changed = sample.select(F.explode("changes").alias("c")).groupBy("c").count().toArrow().to_pylist()
+    # what swaps change belongs to the model whether or not it tells the classes apart
+    place = {f: i for i, f in enumerate(dict.fromkeys([*names, *sorted({f[1:] for r in changed for f in r["c"]})]))}
     shared = spark.sparkContext.broadcast(place)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,15 +167,9 @@ def train(docs: DataFrame, labels: DataFrame, *, allowed: Column | None = None,
     target = rows.column("toxic").to_numpy().astype(float)
     vectors = [np.array(x, np.int64) for x in rows.column("at").to_pylist()]
     importance = np.where(target == 1, n[1] / got[1], n[0] / got[0])
-    # sentences differ by the swap alone, so equal swaps of all sentences are one penalty with their number as weight
-    seen = {r["s"]: r["count"] for r in sample.select(F.explode("swaps").alias("s")).groupBy("s").count().collect()}
-    pairs = []
-    for w, other in KIN.items():
-        old, new = set(word_features(w)), set(word_features(other))
-        at = [place[f] for f in (*sorted(old - new), *sorted(new - old))]
-        sign = [1.0] * len(old - new) + [-1.0] * len(new - old)
-        pairs.append((np.array(at, np.int64), np.array(sign), 1.0 + seen.get(f"{w}\t{other}", 0)))
-    weights, bias = _fit(vectors, target, importance, pairs, len(place), l2, fair, steps)
+    changed = sorted(((r["c"], r["count"]) for r in changed))
+    changes = [(np.array([place[f[1:]] for f in c], np.int64), np.array([1.0 if f[0] == "+" else -1.0 for f in c])) for c, _ in changed]
+    weights, bias = _fit(Sample(vectors, target, importance, changes, np.array([n for _, n in changed], float), len(place)), l2, fair, steps)
     return Model({f: float(weights[i]) for f, i in place.items() if weights[i]}, float(bias))
 
 
