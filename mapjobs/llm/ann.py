@@ -1,13 +1,13 @@
 """Approximate nearest neighbours (operator 8): a neighbour graph by NN-descent, queries by greedy graph search.
 
 Equal vectors are one class, so a vector that is very common is one node; its smallest members stand for it in answers. Nodes travel
-with their vectors as they are (float or double), and distances are double: norms may differ by any factor.
+with their vectors in 16 bits a component and a scale of their own, so norms may differ by any factor; distances are double, and answers are ranked on the
+original vectors.
 
-* Start: rows are ordered by the signs of random projections, several times over, and blocks of neighbours in that order are
-  compared directly. A range shuffle on (signs, id) deals a crowded cell to as many tasks as it needs.
+* Start: every node is dealt into a few small random blocks and lists those it meets there, about ten random nodes.
 * NN-descent (Dong, Moses, Li 2011): every node sends its vector to the nodes it lists and to those that list it. Each node compares
   all it has received with each other, if one of the two is new there, and proposes the nearest. Lists are merged in a shuffle on
-  the node. A node hears a sample of those that list it, so hubs stay bounded.
+  the node. A node hears a sample of those that list it, drawn before vectors are sent, so hubs stay bounded.
 * Search: a query starts from its own list and expands its nearest unexpanded nodes round by round; adjacency with the neighbours'
   vectors stays partitioned by node, so a round moves the query's frontier only.
 
@@ -21,48 +21,66 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F
 
+from mapjobs.llm.common import release
 from mapjobs.session import cut, partitions
 
 LISTS = "id long, vec binary, ids array<long>, ds array<double>, fresh array<boolean>"
 FAR = np.inf
+#: Largest code of a component.
+MOST_CODE = 32767
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding) without rows that take no part: null, empty or zero vectors, null or non-finite components, null ids,
-    and vectors whose length is not the commonest one (the longer of equally common ones)."""
+    """(vec_id, embedding) without rows that take no part: null, empty or zero vectors, null or non-finite components, null ids."""
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    v = v.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite & F.exists("embedding", lambda x: x != 0))
-    sizes = v.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return v.where(F.size("embedding") == (sizes["n"] if sizes else 0))
+    v = v.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
+    return v.where(finite & F.exists("embedding", lambda x: x != 0))
+
+
+def encoded(v: np.ndarray, dim: int) -> list[bytes]:
+    """Rows of v, padded to ``dim`` components: a scale (8 bytes) and 16 bits for each component."""
+    scale = np.abs(v).max(1) / MOST_CODE
+    scale[scale == 0] = np.finfo(float).tiny  # components too small for a scale
+    codes = np.zeros((len(v), dim), "<i2")
+    codes[:, :v.shape[1]] = np.rint(v / scale[:, None])
+    return [s + c.tobytes() for s, c in zip(map(bytes, scale.astype("<f8").view("V8")), codes)]
+
+
+def decoded(column, dim: int) -> np.ndarray:
+    """The vectors of a binary column, each value one or more of them in a row."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 8 + 2 * dim)
+    return np.ascontiguousarray(raw[:, 8:]).view("<i2") * np.ascontiguousarray(raw[:, :8]).view("<f8")
 
 
 def _rows(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Sorted batches cut at changes of the key: all rows of a key come in one table."""
-    rest = None
+    """Sorted batches cut at changes of the key: all rows of a key come in one table. For keys with few rows."""
+    rest: list[pa.RecordBatch] = []
     for batch in batches:
-        t = pa.Table.from_batches([batch])
-        t = pa.concat_tables([rest, t]) if rest is not None else t
-        if not t.num_rows:
+        if not len(batch):
             continue
-        k = t.column(key).to_numpy()
-        last = int(np.searchsorted(k, k[-1]))
+        k = batch.column(key).to_numpy()
+        first, last = int(np.searchsorted(k, k[0], "right")), int(np.searchsorted(k, k[-1]))
+        if rest and rest[0].column(key)[0].as_py() != k[0]:
+            yield pa.Table.from_batches(rest).combine_chunks()
+            rest = []
         if last:
-            yield t.slice(0, last)
-        rest = t.slice(last).combine_chunks()
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
-def _vectors(column, dim: int, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim).astype(np.float64)
+            done = [*rest, batch.slice(0, first)]
+            yield pa.Table.from_batches(done).combine_chunks()
+            if last > first:
+                yield pa.Table.from_batches([batch.slice(first, last - first)])
+            rest = []
+        rest.append(batch.slice(last))
+    if rest:
+        yield pa.Table.from_batches(rest).combine_chunks()
 
 
-def _flat(t: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+def _flat(t, name: str) -> tuple[np.ndarray, np.ndarray]:
     """(values, row of each value) of a list column."""
-    lists = t.column(name).combine_chunks()
+    lists = t.column(name)
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     return lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
 
@@ -73,34 +91,58 @@ def _lists(row: np.ndarray, n: int, *values: tuple[np.ndarray, pa.DataType]) ->
     return [pa.ListArray.from_arrays(offsets, pa.array(v, kind)) for v, kind in values]
 
 
+def _nearest(at, cand, ds, fresh, old, most: int):
+    """Of each node's candidates the ``most`` nearest different ones, sorted by node and distance. Of two entries of one candidate the old one counts."""
+    o = np.lexsort((~old, cand, at))
+    at, cand, ds, fresh, old = at[o], cand[o], ds[o], fresh[o], old[o]
+    first = np.ones(len(at), bool)
+    first[1:] = (at[1:] != at[:-1]) | (cand[1:] != cand[:-1])
+    at, cand, ds, fresh, old = at[first], cand[first], ds[first], fresh[first], old[first]
+    o = np.lexsort((cand, ds, at))
+    at, cand, ds, fresh, old = at[o], cand[o], ds[o], fresh[o], old[o]
+    near = np.arange(len(at)) - np.searchsorted(at, at) < most
+    return at[near], cand[near], ds[near], fresh[near], old[near]
+
+
 def _merged(rows: DataFrame, most: int, keep_flags: bool) -> DataFrame:
     """One row per id with its ``most`` nearest candidates. rows: LISTS; those with a vector are the lists so far, the others proposals.
 
-    A candidate that was listed before keeps its flag, or loses it unless ``keep_flags``; a new one is fresh."""
+    A candidate that was listed before keeps its flag, or loses it unless ``keep_flags``; a new one is fresh. Batches are merged as they come, and
+    only the last node's list is carried on, however many proposals a node has."""
     def run(batches):
-        for t in _rows(batches, "id"):
-            ids, heads = t.column("id").to_numpy(), np.array(t.column("vec").is_valid().to_numpy())
-            node = np.cumsum(np.concatenate([[True], ids[1:] != ids[:-1]])) - 1
-            cand, row = _flat(t, "ids")
-            ds, fresh = _flat(t, "ds")[0], _flat(t, "fresh")[0].astype(bool)
-            if not len(cand):
-                cand, ds, fresh, row = np.zeros(0, np.int64), np.zeros(0, np.float64), np.zeros(0, bool), np.zeros(0, np.int64)
-            at, old = node[row], heads[row]
-            o = np.lexsort((~old, cand, at))
-            at, cand, ds, fresh, old = at[o], cand[o], ds[o], fresh[o], old[o]
-            first = np.ones(len(at), bool)
-            first[1:] = (at[1:] != at[:-1]) | (cand[1:] != cand[:-1])
-            at, cand, ds, fresh, old = at[first], cand[first], ds[first], fresh[first], old[first]
-            o = np.lexsort((cand, ds, at))
-            at, cand, ds, fresh, old = at[o], cand[o], ds[o], fresh[o], old[o]
-            begin = np.searchsorted(at, np.arange(node[-1] + 1))
-            near = np.arange(len(at)) - begin[at] < most
-            at, cand, ds = at[near], cand[near], ds[near]
-            fresh = (~old | (fresh & keep_flags))[near]
-            head = np.flatnonzero(heads)
-            assert len(head) == node[-1] + 1
-            n = len(head)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[head]), t.column("vec").take(pa.array(head)).combine_chunks().cast(pa.binary()), *_lists(at, n, (cand, pa.int64()), (ds, pa.float64()), (fresh, pa.bool_()))], ["id", "vec", "ids", "ds", "fresh"])
+        release()
+        none = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool), np.zeros(0, bool)
+        last, vec, carried = None, None, none
+
+        def out(ids, vecs, at, cand, ds, fresh, old):
+            fresh = ~old | (fresh & keep_flags)
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vecs, pa.binary()), *_lists(at, len(ids), (cand, pa.int64()), (ds, pa.float64()), (fresh, pa.bool_()))], ["id", "vec", "ids", "ds", "fresh"])
+
+        for b in batches:
+            if not len(b):
+                continue
+            ids, heads = b.column("id").to_numpy(), b.column("vec").is_valid().to_numpy(zero_copy_only=False)
+            cand, row = _flat(b, "ids")
+            ds, fresh = _flat(b, "ds")[0], _flat(b, "fresh")[0].astype(bool)
+            cand, ds = (cand.astype(np.int64), ds.astype(float)) if len(cand) else none[:2]
+            names, node = np.unique(ids, return_inverse=True)
+            names, vecs = names.tolist(), [None] * len(names)
+            for i in np.flatnonzero(heads):
+                vecs[node[i]] = b.column("vec")[int(i)].as_py()
+            parts = [node[row], cand, ds, fresh, heads[row]]
+            if last is not None:
+                if names[0] != last:
+                    names, vecs = [last, *names], [None, *vecs]
+                    parts[0] = parts[0] + 1
+                vecs[0] = vecs[0] if vec is None else vec
+                parts = [np.concatenate(x) for x in zip((np.zeros(len(carried[0]), np.int64), *carried), parts)]
+            at, *rest = _nearest(*parts, most)
+            end = int(np.searchsorted(at, len(names) - 1))
+            if len(names) > 1:
+                yield out(names[:-1], vecs[:-1], at[:end], *(x[:end] for x in rest))
+            last, vec, carried = names[-1], vecs[-1], tuple(x[end:] for x in rest)
+        if last is not None:
+            yield out([last], [vec], np.zeros(len(carried[0]), np.int64), *carried)
 
     return rows.repartition("id").sortWithinPartitions("id").mapInArrow(run, LISTS)
 
@@ -113,126 +155,126 @@ def _proposals(names: np.ndarray, row: np.ndarray, cand: np.ndarray, ds: np.ndar
 def _square(v: np.ndarray) -> np.ndarray:
     """Squared distances of all rows to all rows; leading axes are blocks."""
     n = (v * v).sum(-1)
-    return n[..., :, None] + n[..., None, :] - 2 * (v @ np.swapaxes(v, -1, -2))
+    return np.maximum(n[..., :, None] + n[..., None, :] - 2 * (v @ np.swapaxes(v, -1, -2)), 0)
+
+
+def _compared(block: np.ndarray, rank: np.ndarray, member: np.ndarray, v: np.ndarray, bound: np.ndarray, fresh: np.ndarray, offer: int) -> pa.RecordBatch | None:
+    """Proposals to each member of each block: its ``offer`` nearest others there, nearer than its bound, where one of the two is fresh."""
+    n, width = int(block[-1]) + 1, int(rank.max()) + 1
+    names, far = np.full((n, width), -1, np.int64), np.full((n, width), -FAR)
+    new, there, vec = np.zeros((n, width), bool), np.zeros((n, width), bool), np.zeros((n, width, v.shape[1]))
+    names[block, rank], far[block, rank], new[block, rank], there[block, rank], vec[block, rank] = member, bound, fresh, True, v
+    d = _square(vec)
+    d[~there[:, None, :] | (names[:, :, None] == names[:, None, :]) | ~(new[:, :, None] | new[:, None, :]) | (d >= far[:, :, None])] = FAR
+    k = min(offer, width)
+    near = np.argpartition(d, k - 1, axis=2)[:, :, :k]
+    dn = np.take_along_axis(d, near, 2)
+    good = dn < FAR
+    i, j, _ = np.nonzero(good)
+    cand = np.take_along_axis(np.broadcast_to(names[:, None, :], d.shape), near, 2)[good]
+    used, row = np.unique(i * width + j, return_inverse=True)
+    return _proposals(names.ravel()[used], row, cand, dn[good]) if len(used) else None
+
+
+def _places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each row's group, its place there) of sorted keys."""
+    group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
+    return group, np.arange(len(key)) - np.searchsorted(group, group)
+
+
+def _start(nodes: DataFrame, dim: int, tables: int, leaf: int, whole: int) -> DataFrame:
+    """Proposals of random neighbours: in each of ``tables`` turns all nodes are dealt into blocks of ``leaf`` by a hash. Nodes of another length
+    never share a block, so they never meet later. Lengths of ``whole`` nodes or fewer are one block."""
+    of_length = nodes.groupBy("length").agg(F.count("*").alias("n"))
+    of_length = of_length.select("length", F.when(F.col("n") <= whole, F.col("n")).otherwise(leaf).alias("leaf"), F.greatest(F.floor(F.col("n") / (8 * leaf)), F.lit(1)).alias("buckets"))
+    s = nodes.join(of_length.withColumn("buckets", F.when(F.col("leaf") == leaf, F.col("buckets")).otherwise(1)), "length")
+    s = s.withColumn("t", F.explode(F.array(*[F.lit(t) for t in range(tables)]))).withColumn("r", F.xxhash64("id", "t"))
+    s = s.select(F.xxhash64("length", "t", F.pmod("r", "buckets")).alias("key"), "r", "leaf", "id", "vec")
 
-
-def _start(nodes: DataFrame, dim: int, kind: str, n: int, tables: int, leaf: int, take: int, signs: int = 20) -> DataFrame:
-    planes = np.random.default_rng(8).standard_normal((dim, tables * signs))
-
-    def spread(batches):
-        for b in batches:
-            v = _vectors(b.column("vec"), dim, kind)
-            bits = (v @ planes > 0).reshape(len(v), tables, signs)
-            cell = (bits << np.arange(signs)[::-1]).sum(2)
-            for t in range(tables):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), t), pa.int32()), pa.array(cell[:, t], pa.int64()), b.column("id"), b.column("vec")], ["t", "cell", "id", "vec"])
-
-    def compare(batches):
-        for table in _rows(batches, "t"):
-            ids, v = table.column("id").to_numpy(), _vectors(table.column("vec"), dim, kind)
-            for a in range(0, len(ids), leaf):
-                d = _square(v[a:a + leaf])
-                np.fill_diagonal(d, FAR)
-                k = min(take, len(d) - 1)
-                if k > 0:
-                    near = np.argpartition(d, k - 1, axis=1)[:, :k]
-                    yield _proposals(ids[a:a + leaf], np.repeat(np.arange(len(d)), k), ids[a:a + leaf][near].ravel(), np.take_along_axis(d, near, 1).ravel())
-
-    # enough rows a task for whole blocks, however small the table
-    parts = max(1, min(partitions(nodes.sparkSession), n * tables // (8 * leaf)))
-    s = nodes.mapInArrow(spread, "t int, cell long, id long, vec binary")
-    return s.repartitionByRange(parts, "t", "cell", "id").sortWithinPartitions("t", "cell", "id").mapInArrow(compare, LISTS)
-
-
-def _messages(graph: DataFrame, most: int, turn: int) -> DataFrame:
-    """(center, back, prio, member, vec, kth, fresh): vectors sent to the nodes that list them (back 0) or that they list (back 1)."""
-    kth = F.when(F.size("ds") < most, F.lit(float("inf"))).otherwise(F.element_at("ds", -1))
-    own = graph.select(F.col("id").alias("member"), "vec", kth.alias("kth"), F.explode(F.arrays_zip("ids", "fresh")).alias("e"))
-    back = own.select(F.col("e.ids").alias("center"), F.lit(1).alias("back"), "member", "vec", "kth", F.col("e.fresh").alias("fresh"))
+    def run(batches):
+        release()
+        for t in _rows(batches, "key"):
+            group, place = _places(t.column("key").to_numpy())
+            leaf = t.column("leaf").to_numpy()
+            block = np.cumsum(np.concatenate([[0], (group[1:] != group[:-1]) | (place[1:] % leaf[1:] == 0)])).astype(np.int64)
+            for a in range(0, int(block[-1]) + 1, 1000):
+                lo, hi = np.searchsorted(block, [a, a + 1000])
+                n = hi - lo
+                found = _compared(block[lo:hi] - a, _places(block[lo:hi])[1], t.column("id").to_numpy()[lo:hi], decoded(t.column("vec").slice(lo, n), dim), np.full(n, FAR), np.ones(n, bool), whole)
+                if found is not None:
+                    yield found
+
+    return s.repartition("key").sortWithinPartitions("key", "r").mapInArrow(run, LISTS)
+
+
+def _messages(graph: DataFrame, most: int, hear: int, turn: int, all_centers: bool) -> DataFrame:
+    """(center, member, vec, kth, fresh), sorted by center: the vectors of the nodes that a center lists, and of ``hear`` of those that list it, drawn by a
+    hash of the turn. Centers to which nothing is fresh are left out, unless ``all_centers``."""
     listed = graph.select(F.col("id").alias("center"), F.explode(F.arrays_zip("ids", "fresh")).alias("e")).select("center", F.col("e.ids").alias("member"), F.col("e.fresh").alias("fresh"))
-    there = listed.join(graph.select(F.col("id").alias("member"), "vec", kth.alias("kth")), "member")
-    both = there.select("center", F.lit(0).alias("back"), "member", "vec", "kth", "fresh").unionByName(back)
-    both = both.withColumn("prio", F.xxhash64("center", "member", F.lit(turn)))
-    return both.repartition("center").sortWithinPartitions("center", "back", "prio")
+    back = listed.select(F.col("member").alias("center"), F.col("center").alias("member"), "fresh")
+    # the limit on the rank is applied before the shuffle too, so a hub gets few rows from each task
+    draw = F.row_number().over(W.partitionBy("center").orderBy(F.xxhash64("member", F.lit(turn)), "member"))
+    both = listed.unionByName(back.withColumn("r", draw).where(F.col("r") <= hear).drop("r"))
+    if not all_centers:
+        both = both.join(both.where("fresh").select("center").distinct(), "center", "left_semi")
+    kth = F.when(F.size("ds") < most, F.lit(float("inf"))).otherwise(F.element_at("ds", -1))
+    sent = both.join(graph.select(F.col("id").alias("member"), "vec", kth.alias("kth")), "member").select("center", "member", "vec", "kth", "fresh")
+    return sent.repartition("center").sortWithinPartitions("center")
 
 
-def _by_center(batches, dim: int, kind: str, hear: int, at_once: int = 256):
-    """(centers, number of each row's center, its place there, rows, vectors) for some centers at a time; of the back rows, the first ``hear`` of a center."""
+def _by_center(batches, at_once: int = 256):
+    """(number of each row's center, its place there, rows) for some centers at a time."""
     for t in _rows(batches, "center"):
-        center, back = t.column("center").to_numpy(), t.column("back").to_numpy()
-        node = np.cumsum(np.concatenate([[True], center[1:] != center[:-1]])) - 1
-        begin = np.searchsorted(node, np.arange(node[-1] + 1))
-        ahead = np.bincount(node, back == 0, node[-1] + 1).astype(np.int64)
-        rank = np.arange(len(node)) - begin[node]
-        keep = np.flatnonzero((back == 0) | (rank - ahead[node] < hear))
-        t, node, center = t.take(pa.array(keep)), node[keep], center[keep]
-        begin = np.searchsorted(node, np.arange(node[-1] + 2))
-        rank = np.arange(len(node)) - begin[node]
+        node, rank = _places(t.column("center").to_numpy())
         for a in range(0, int(node[-1]) + 1, at_once):
-            lo, hi = begin[a], begin[min(a + at_once, node[-1] + 1)]
-            part = t.slice(lo, hi - lo)
-            yield center[lo:hi], node[lo:hi] - a, rank[lo:hi], part, _vectors(part.column("vec"), dim, kind)
+            lo, hi = np.searchsorted(node, [a, a + at_once])
+            yield node[lo:hi] - a, rank[lo:hi], t.slice(lo, hi - lo)
 
 
-def _join_lists(graph: DataFrame, dim: int, kind: str, most: int, hear: int, offer: int, turn: int) -> DataFrame:
+def _join_lists(graph: DataFrame, dim: int, most: int, hear: int, offer: int, turn: int) -> DataFrame:
     """Proposals from comparing all that each node has received."""
     def run(batches):
-        for _, node, rank, part, v in _by_center(batches, dim, kind, hear):
-            n, width = int(node[-1]) + 1, int(rank.max()) + 1
-            member = np.full((n, width), -1, np.int64)
-            bound, fresh, vec = np.full((n, width), -FAR), np.zeros((n, width), bool), np.zeros((n, width, dim))
-            member[node, rank], bound[node, rank], vec[node, rank] = part.column("member").to_numpy(), part.column("kth").to_numpy(), v
-            fresh[node, rank] = part.column("fresh").to_numpy(zero_copy_only=False)
-            there = np.zeros((n, width), bool)
-            there[node, rank] = True
-            d = _square(vec)
-            bad = ~there[:, None, :] | (member[:, :, None] == member[:, None, :]) | ~(fresh[:, :, None] | fresh[:, None, :]) | (d >= bound[:, :, None])
-            d[bad] = FAR
-            k = min(offer, width)
-            near = np.argpartition(d, k - 1, axis=2)[:, :, :k]
-            dn = np.take_along_axis(d, near, 2)
-            good = dn < FAR
-            i, j, _ = np.nonzero(good)
-            cand = np.take_along_axis(np.broadcast_to(member[:, None, :], d.shape), near, 2)[good]
-            row = i * width + j
-            used, row = np.unique(row, return_inverse=True)
-            if len(used):
-                yield _proposals(member.ravel()[used], row, cand, dn[good])
-
-    return _messages(graph, most, turn).mapInArrow(run, LISTS)
-
-
-def neighbour_graph(nodes: DataFrame, dim: int, kind: str, n: int, *, most: int, tables: int, leaf: int, rounds: int, hear: int, offer: int) -> DataFrame:
-    """LISTS: the ``most`` nearest found of each node, nearest first. nodes: (id, vec) with the bytes of ``dim`` numbers of a numpy ``kind``."""
-    blank = nodes.select("id", "vec", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<float>").alias("ds"), F.lit(None).cast("array<boolean>").alias("fresh"))
-    graph = cut(_merged(blank.unionByName(_start(nodes, dim, kind, n, tables, leaf, most // 2)), most, False))
+        release()
+        for node, rank, t in _by_center(batches):
+            found = _compared(node, rank, t.column("member").to_numpy(), decoded(t.column("vec"), dim), t.column("kth").to_numpy(), t.column("fresh").to_numpy(), offer)
+            if found is not None:
+                yield found
+
+    return _messages(graph, most, hear, turn, False).mapInArrow(run, LISTS)
+
+
+def neighbour_graph(nodes: DataFrame, dim: int, *, most: int = 28, tables: int = 3, leaf: int = 4, whole: int = 32, rounds: int = 7, hear: int = 20, offer: int = 4) -> DataFrame:
+    """LISTS: the ``most`` nearest found of each node, nearest first. nodes: (id, length, vec), vec from ``encoded``."""
+    blank = nodes.select("id", "vec", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<double>").alias("ds"), F.lit(None).cast("array<boolean>").alias("fresh"))
+    graph = cut(_merged(blank.unionByName(_start(nodes, dim, tables, leaf, whole)), most, False))
     for turn in range(rounds):
-        graph = cut(_merged(graph.unionByName(_join_lists(graph, dim, kind, most, hear, offer, turn)), most, False))
+        graph = cut(_merged(graph.unionByName(_join_lists(graph, dim, most, hear, offer, turn)), most, False))
     return graph
 
 
-def _adjacency(graph: DataFrame, dim: int, kind: str, most: int, hear: int) -> DataFrame:
+def _adjacency(graph: DataFrame, dim: int, most: int, hear: int) -> DataFrame:
     """(node, near, vecs): neighbours either way, and their vectors in a row; some 2 KB a row, so that batches stay small."""
-    wide = dim * np.dtype(kind).itemsize
-    per = max(1, 2048 // max(wide, 1))
+    wide = 8 + 2 * dim
+    per = max(1, 2048 // wide)
 
     def run(batches):
-        for center, node, rank, part, v in _by_center(batches, dim, kind, hear):
-            head = rank % per == 0
-            begin, piece, data = np.flatnonzero(head), np.cumsum(head) - 1, v.astype(kind).tobytes()
-            vecs = [data[wide * a:wide * b] for a, b in zip(begin, [*begin[1:], len(node)])]
-            yield pa.RecordBatch.from_arrays([pa.array(center[begin]), *_lists(piece, len(vecs), (part.column("member").to_numpy(), pa.int64())), pa.array(vecs, pa.binary())], ["node", "near", "vecs"])
+        release()
+        for node, rank, t in _by_center(batches):
+            begin = np.flatnonzero(rank % per == 0)
+            data = t.column("vec").to_pylist()
+            vecs = [b"".join(data[a:b]) for a, b in zip(begin, [*begin[1:], len(node)])]
+            piece = np.cumsum(rank % per == 0) - 1
+            yield pa.RecordBatch.from_arrays([pa.array(t.column("center").to_numpy()[begin]), *_lists(piece, len(vecs), (t.column("member").to_numpy(), pa.int64())), pa.array(vecs, pa.binary())], ["node", "near", "vecs"])
 
-    return _messages(graph, most, -1).mapInArrow(run, "node long, near array<long>, vecs binary")
+    return _messages(graph, most, hear, -1, True).mapInArrow(run, "node long, near array<long>, vecs binary")
 
 
-def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, kind: str, *, beam: int, expand: int, rounds: int) -> DataFrame:
+def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, *, beam: int, expand: int, rounds: int) -> DataFrame:
     """LISTS of the ``beam`` nearest nodes found for each query. queries: LISTS with the nodes to start from, all fresh."""
     def frontier(batches):
         for b in batches:
-            t = pa.Table.from_batches([b])
-            ids, row = _flat(t, "ids")
-            ds, fresh = _flat(t, "ds")[0], _flat(t, "fresh")[0].astype(bool)
+            ids, row = _flat(b, "ids")
+            ds, fresh = _flat(b, "ds")[0], _flat(b, "fresh")[0].astype(bool)
             sizes = np.bincount(row, minlength=len(b)) if len(ids) else np.zeros(len(b), np.int64)
             bound = np.array([ds[e - 1] if s >= beam else FAR for s, e in zip(sizes, np.cumsum(sizes))])
             open_ = np.flatnonzero(fresh)
@@ -243,9 +285,8 @@ def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, kind: str,
 
     def expanded(batches):
         for b in batches:
-            t = pa.Table.from_batches([b])
-            ids, row = _flat(t, "ids")
-            fresh = _flat(t, "fresh")[0].astype(bool)
+            ids, row = _flat(b, "ids")
+            fresh = _flat(b, "fresh")[0].astype(bool)
             open_ = np.flatnonzero(fresh)
             rank = np.arange(len(open_)) - np.searchsorted(row[open_], row[open_])
             fresh[open_[rank < expand]] = False
@@ -255,12 +296,11 @@ def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, kind: str,
         for b in batches:
             for a in range(0, len(b), 1000):
                 s = b.slice(a, 1000)
-                t = pa.Table.from_batches([s])
-                near, row = _flat(t, "near")
+                near, row = _flat(s, "near")
                 if not len(near):
                     continue
-                v = _vectors(s.column("vecs"), dim, kind)
-                q = _vectors(s.column("vec"), dim, kind)[row]
+                v = decoded(s.column("vecs"), dim)
+                q = decoded(s.column("vec"), dim)[row]
                 d = ((v - q) ** 2).sum(1)
                 me = s.column("id").to_numpy()
                 good = (d < s.column("bound").to_numpy()[row]) & (near != me[row])
@@ -275,10 +315,11 @@ def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, kind: str,
     return queries
 
 
-def nearest(vectors: DataFrame, is_query, *, k: int = 10, most: int = 24, tables: int = 20, leaf: int = 256, rounds: int = 3, hear: int = 24, offer: int = 6, beam: int = 400, expand: int = 160, search_rounds: int = 4, rerank: int = 64) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, *, k: int = 10, most: int = 28, rounds: int = 7, hear: int = 20, offer: int = 4, beam: int = 300, expand: int = 120, search_rounds: int = 5, rerank: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query row, by Euclidean distance in double precision.
 
-    vectors: (vec_id, embedding); is_query: a condition on vec_id. Every other usable row is a candidate (see ``usable``); all of
+    vectors: (vec_id, embedding); is_query: a condition on vec_id. Every other usable row is a candidate (see ``usable``) if its vector is as long as
+    the query's, as others have no distance to it; all of
     them, if they are fewer than k. Equal distances go to the smaller vec_id. Equal vectors share one node, which keeps its k + 1
     smallest ids: no answer needs more. Rows that repeat a vec_id with the same vector count once; with other vectors they are other candidates.
     No usable rows give no rows. Other columns are ignored.
@@ -286,23 +327,28 @@ def nearest(vectors: DataFrame, is_query, *, k: int = 10, most: int = 24, tables
     v = usable(vectors)
     # the limit on the rank is applied before the shuffle too, so a very common vector sends k + 1 rows a task
     ranked = v.distinct().withColumn("r", F.row_number().over(W.partitionBy("embedding").orderBy("vec_id"))).where(F.col("r") <= k + 1)
-    classes = cut(ranked.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("members")).select(F.xxhash64("embedding").alias("id"), "embedding", "members"))
-    top = classes.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    n, dim = top["n"], top["dim"] or 0
-    kind = "f4" if isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType) else "f8"
+    classes = ranked.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("members"))
+    # numbers within sorted partitions: the same in every run over the same partitions, and never two nodes' own
+    classes = cut(classes.sortWithinPartitions(F.col("members")[0], "embedding").select(F.monotonically_increasing_id().alias("id"), "embedding", "members"))
+    dim = classes.agg(F.max(F.size("embedding"))).first()[0] or 1
 
     def packed(batches):
+        release()
         for b in batches:
-            x = b.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(len(b), dim) if len(b) else np.zeros((0, dim))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())], ["id", "vec"])
-
-    nodes = cut(classes.select("id", "embedding").mapInArrow(packed, "id long, vec binary"))
-    graph = neighbour_graph(nodes, dim, kind, n, most=most, tables=tables, leaf=leaf, rounds=rounds, hear=hear, offer=offer)
-    adjacency = _adjacency(graph, dim, kind, most, hear).repartition(partitions(v.sparkSession), "node").persist(StorageLevel.MEMORY_AND_DISK)
+            x, row = _flat(b, "embedding")
+            length = np.bincount(row, minlength=len(b))
+            dense = np.zeros((len(b), dim))
+            dense[row, np.arange(len(row)) - np.searchsorted(row, row)] = x
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(length, pa.int32()), pa.array(encoded(dense, dim), pa.binary())], ["id", "length", "vec"])
+
+    nodes = cut(classes.select("id", "embedding").mapInArrow(packed, "id long, length int, vec binary"))
+    graph = neighbour_graph(nodes, dim, most=most, rounds=rounds, hear=hear, offer=offer)
+    adjacency = _adjacency(graph, dim, most, hear).repartition(partitions(v.sparkSession), "node").persist(StorageLevel.MEMORY_AND_DISK)
     asked = v.where(is_query).select(F.col("vec_id").alias("query_id"), "embedding").distinct().join(classes.select("embedding", "id"), "embedding").select("query_id", "id")
     asked = cut(asked)
     starts = graph.join(asked.select("id").distinct(), "id", "left_semi").withColumn("fresh", F.transform("fresh", lambda x: F.lit(True)))
-    found = greedy_search(starts, adjacency, dim, kind, beam=beam, expand=expand, rounds=search_rounds)
+    found = greedy_search(starts, adjacency, dim, beam=beam, expand=expand, rounds=search_rounds)
+    adjacency.unpersist()
     near = found.select("id", F.explode(F.concat(F.array("id"), F.slice("ids", 1, rerank))).alias("other"))
     near = near.join(classes.select("id", F.col("embedding").alias("a")), "id")
     near = near.join(classes.select(F.col("id").alias("other"), F.col("embedding").alias("b"), "members"), "other")

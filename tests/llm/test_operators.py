@@ -249,10 +249,36 @@ def test_language_model(docs, none, texts):
         c = [count.get(w, 0) for w in words(t)] + [n_docs]
         want.append((str(i), out(i), len(c), sum(x > 0 for x in c), n, round(sum(math.log10((x + 0.5) / (n + 0.5 * (v + 1))) for x in c), 4)))
     assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == sorted(want)
+    # the score, by a plain sum over all segmentations under the vocabulary's own weights
+    pieces, published = public_pieces(PIECES)
+    end = (n_docs + 0.5) / (n + 1)
+    weight = 1 / (10 - published)
+    weight = dict(zip(pieces, (1 - end) * weight / weight.sum()))
+
+    def word_probability(word):
+        s = "▁" + word
+        p = [1.0] + [0.0] * len(s)
+        for j in range(1, len(s) + 1):
+            for i in range(max(0, j - 20), j):
+                if s[i:j] in weight:
+                    p[j] += p[i] * weight[s[i:j]]
+            if s[j - 1] not in weight:
+                p[j] += p[j - 1] * math.prod(weight[f"<0x{b:02X}>"] for b in s[j - 1].encode())
+        return p[-1]
+    score = {}
+    for i, t, *_ in texts:
+        if len(t or "") < 5000:
+            score.setdefault(str(i), []).append(sum(math.log10(word_probability(w)) for w in words(t)) + math.log10(end))
+    by_id = {}
+    for r in got:
+        by_id.setdefault(str(r.doc_id), []).append(r.score)
+    assert all(np.allclose(sorted(by_id[i]), sorted(x), rtol=1e-9) for i, x in score.items())
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
     assert lm.score(none, PIECES, held_out=held).count() == 0
     few = {str(r.doc_id): r.score for r in lm.score(docs, PIECES, held_out=held, hot_words=1).where("doc_id <> 2").collect()}
     assert all(math.isclose(r.score, few[str(r.doc_id)], rel_tol=1e-9) for r in got if r.doc_id is not None and r.doc_id != 2)
+    bad = docs.sparkSession.sql("SELECT 1L AS doc_id, cast(unhex('61FF20FE') AS string) AS text UNION ALL SELECT 2L, 'a'")
+    assert sorted((r.doc_id, r.n_tokens) for r in lm.score(bad, PIECES, held_out=held).collect()) == [(1, 3), (2, 2)]
 
 
 def test_language_identification(spark, none):
@@ -278,10 +304,43 @@ def test_toxicity(spark, none):
     held = [(i, y) for i, _, y in rows if i % 5 == 0]
     assert all((got[i] >= 0.5) == bool(y) for i, y in held) and 0 <= got[900] == got[901] < 0.5
     of = lambda w: sum(model.weights.get(f, 0.0) for f in toxicity.word_features(w))
-    assert all(abs(of(w) - of(k)) < 0.5 for w, k in toxicity.KIN.items()) and of("loser") > 2
+    assert all(abs(of(w) - of(k[0])) < 0.5 for w, k in toxicity.KIN.items()) and of("loser") > 2
     assert toxicity.score(none, toxicity.train(d, labels.limit(0))).count() == 0
 
 
+def test_toxicity_scores_are_plain_sums(spark):
+    d = spark.createDataFrame([(1, "You LOSER, you lost"), (2, None), (3, "x" * 50_000), (1, "lose")], "doc_id long, text string")
+    model = toxicity.Model({"loser": 2.0, "lose*": 0.5, "you": -0.25}, -1.0)
+    got = sorted((r.doc_id, r.score) for r in toxicity.score(d, model).collect())
+    of = lambda t: 1 / (1 + math.exp(1 - sum(model.weights.get(f, 0) for f in {f for w in re.findall("[a-z]+", t.lower()) for f in [w, *(w[:n] + "*" for n in (4, 5, 6) if len(w) >= n)]})))
+    assert [i for i, _ in got] == [1, 1, 2, 3] and np.allclose(sorted(s for _, s in got), sorted(map(of, ["You LOSER, you lost", "", "x", "lose"])))
+
+
+def test_counterfactuals():
+    got = [*toxicity.counterfactuals("The gay woman came. Nobody here! A man and men")]
+    assert len(got) == 4 and got[0] == [*sorted(["+lesbian", "+lesb*", "+lesbi*", "+lesbia*", "+man"]), *sorted(["-gay", "-woman", "-woma*", "-woman*"])]
+    assert got[2] == ["+women", "+wome*", "+women*", "-man"] or set(got[2]) == {"+women", "+wome*", "+women*", "+girl", "+girl*", "-man", "-men"}
+    many = "Old " * 3 + "x. " + "the blind man. " * 500
+    assert len([*toxicity.counterfactuals(many)]) == 2 * 501  # no limit
+
+
+def test_toxicity_gradient():
+    rng = np.random.default_rng(0)
+    rows = [rng.choice(12, 4, replace=False) for _ in range(20)]
+    changes = [(np.array([0, 3]), np.array([1.0, -1.0])), (np.array([5]), np.array([1.0])), (np.zeros(0, np.int64), np.zeros(0))]
+    s = toxicity.Sample(rows, rng.integers(0, 2, 20).astype(float), rng.random(20) + 0.5, changes, np.array([3.0, 1.0, 2.0]), 12)
+    w, b = rng.standard_normal(12), 0.3
+
+    def brute(w, b):
+        loss = sum(i * math.log(1 + math.exp(-(2 * y - 1) * (w[r].sum() + b))) for r, y, i in zip(s.rows, s.y, s.importance)) / s.importance.sum()
+        return loss + 0.01 * (w @ w) + 0.7 * sum(n * (w[c] @ sign) ** 2 for (c, sign), n in zip(changes, s.times)) / 6
+    value, g, gb = s.loss(w, b, 0.01, 0.7)
+    assert math.isclose(value, brute(w, b), rel_tol=1e-9)
+    e = 1e-6
+    assert all(math.isclose(g[i], (brute(w + e * np.eye(12)[i], b) - brute(w - e * np.eye(12)[i], b)) / (2 * e), abs_tol=1e-5) for i in range(12))
+    assert math.isclose(gb, (brute(w, b + e) - brute(w, b - e)) / (2 * e), abs_tol=1e-5)
+
+
 def test_html(spark):
     page = "<html><head><title>t</title><style>p{}</style></head><body><nav><ul><li><a href=/>Home</a></li></ul></nav><div class=ad>Buy now</div><article><h1>The title</h1><p>First &amp; line\n  goes on.<p>Second <b>bold</b> one is here.<script>var x='</p>'</script></article><footer>&copy; us</footer>"
     rows = [(1, "u", page, 0), (2, None, None, 0), (None, "v", "", 0), (1, "u", page + "<", 0), (4, "w", "<" * 3000 + "<a \"" * 2000, 0)]
@@ -333,6 +392,32 @@ def test_neighbours(spark):
     few = ann.nearest(d.where("vec_id < 4"), F.col("vec_id") >= 0).collect()
     assert len(few) == 12
     assert ann.nearest(d.where("vec_id > 1999 and vec_id < 2005"), F.col("vec_id") >= 0).count() == 0
+    other = spark.createDataFrame([(3000 + i, [float(a) for a in x[i, :3]]) for i in range(8)], "vec_id long, embedding array<double>")
+    lengths = ann.nearest(other.unionByName(d.drop("rank").where("vec_id < 200")), "vec_id = 3000 or vec_id = 0").collect()
+    assert sorted(r.vec_id for r in lengths if r.query_id == 3000) == list(range(3001, 3008)) and all(r.vec_id < 200 for r in lengths if r.query_id == 0)
+
+
+def test_neighbours_come_from_the_rounds(spark):
+    x = np.random.default_rng(4).standard_normal((3000, 12))
+    d = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    recall = {}
+    for rounds in (0, 7):
+        same = 0
+        found = {}
+        for r in ann.nearest(d, "vec_id % 100 = 0", rounds=rounds, search_rounds=0).collect():
+            found.setdefault(r.query_id, set()).add(r.vec_id)
+        for q, f in found.items():
+            same += len(f & set(np.argsort(((x - x[q]) ** 2).sum(1))[1:11].tolist()))
+        recall[rounds] = same / 300
+    assert recall[0] < 0.1 and recall[7] > 0.9
+
+
+def test_vectors_round_trip():
+    v = np.random.default_rng(5).standard_normal((50, 7)) * 10.0 ** np.arange(-25, 25)[:, None]
+    import pyarrow as pa
+
+    back = ann.decoded(pa.array(ann.encoded(v, 9)), 9)
+    assert np.all(np.abs(back[:, :7] - v) <= np.abs(v).max(1, keepdims=True) / 65000) and not back[:, 7:].any()
 
 
 def test_neighbours_of_mixed_norms(spark):
