@@ -8,15 +8,16 @@ probabilities are learnt by expectation maximisation on the words of labelled do
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mapjobs.llm.common import slices, texts
+from mapjobs.llm.common import held, release, slices, texts
 from mapjobs.llm.lattice import Lattice, normalised, public_pieces
 from mapjobs.session import cut
 
@@ -32,6 +33,7 @@ class Model:
     pieces: list[str]
     logp: np.ndarray  # (pieces, languages)
     prior: np.ndarray
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def letters(text: bytes) -> list[str]:
@@ -40,18 +42,19 @@ def letters(text: bytes) -> list[str]:
     return words if any(c.isalpha() for w in words for c in w) else []
 
 
-def train(docs: DataFrame, vocabulary: str, *, allowed: Column | None = None, per_language: int = 2000, most_languages: int = 200, rounds: int = 2, smooth: float = 0.05) -> Model:
+def train(docs: DataFrame, vocabulary: str, *, allowed: Column | None = None, per_language: int = 2000, rounds: int = 2, smooth: float = 0.05) -> Model:
     """Fits a model on docs (doc_id, text, lang).
 
-    allowed: a condition on rows that may be learnt from. The classifier is fitted on a bounded sample: of each of
-    the ``most_languages`` commonest languages, about ``per_language`` documents, chosen by a hash of the id; their texts are
+    allowed: a condition on rows that may be learnt from. The classifier is fitted on a bounded sample: of every
+    language, about ``per_language`` documents, chosen by a hash of the id; their texts are
     used whole. Counts of words and expected counts of pieces are grouped sums in Spark; what reaches the driver
-    is one number for each piece and language.
+    is one number for each piece and language, which is the size of the model. Rows without a language teach nothing; no rows
+    give a model that knows none.
     """
     d = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("lang is not null")
     if allowed is not None:
         d = d.where(allowed)
-    counts = d.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    counts = d.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in counts)
     pieces, _ = public_pieces(vocabulary)
     if not languages:
@@ -61,7 +64,8 @@ def train(docs: DataFrame, vocabulary: str, *, allowed: Column | None = None, pe
     d = d.where(F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 20)) < chance[F.col("lang")] * (1 << 20))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=16 << 20):
+        release()
+        for batch in slices(batches, most=2 << 20):
             total: dict[str, Counter] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), texts(batch)):
                 total.setdefault(lang, Counter()).update(letters(text))
@@ -89,27 +93,31 @@ def train(docs: DataFrame, vocabulary: str, *, allowed: Column | None = None, pe
 
         # the driver gets at most one row per piece and language
         new = np.zeros(logp.shape)
-        for r in words.mapInArrow(expect, "piece long, model long, n double").groupBy("piece", "model").agg(F.sum("n").alias("n")).collect():
-            new[r["piece"], r["model"]] = r["n"]
+        got = words.mapInArrow(expect, "piece long, model long, n double").groupBy("piece", "model").agg(F.sum("n").alias("n")).toArrow()
+        new[got.column("piece").to_numpy(), got.column("model").to_numpy()] = got.column("n").to_numpy()
         logp = normalised(new, smooth)
     n = np.array([size[k] for k in languages], float)
     return Model(languages, pieces, logp, np.log(n / n.sum()))
 
 
 class Predictor:
-    def __init__(self, model: Model, most: int = 200_000):
+    """Scores of words are kept in about ``most`` bytes, after which all are forgotten."""
+
+    def __init__(self, model: Model, most: int = 48 << 20):
         self.model, self.lattice, self.most = model, Lattice(model.pieces), most
         self.known: dict[str, int] = {}
+        self.size = 0
         self.scores = np.zeros((0, len(model.languages)))
 
     def _learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.most and self.known:
-            self.known, self.scores = {}, self.scores[:0]
+        if self.size > self.most:
+            self.known, self.scores, self.size = {}, self.scores[:0].copy(), 0
             new = list(words)
         if new:
             at = len(self.known)
             self.known.update(zip(new, range(at, at + len(new))))
+            self.size += sum(map(len, new)) + len(new) * (200 + 8 * len(self.model.languages))
             self.scores = np.vstack([self.scores, self.lattice.score([START + w for w in new], self.model.logp)])
 
     def predict(self, buffers: list[bytes]) -> list[tuple[str, float]]:
@@ -138,8 +146,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predictor = Predictor(shared.value)
-        for batch in slices(batches, most=8 << 20):
+        model = shared.value
+        predictor = held(("langid", model.name), lambda: Predictor(model))
+        for batch in slices(batches, most=2 << 20):
             got = predictor.predict(texts(batch))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], ["doc_id", "lang_pred", "score"])
 
@@ -149,13 +158,15 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def keep_known(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The rows of docs, with all their columns, whose language is recognised with a score of ``least`` or more.
 
-    docs needs a text column; other columns are carried along untouched, whatever their names.
+    docs needs a text column; other columns are carried along untouched, whatever their names. Null texts and texts without a
+    letter go, and all if the model knows no language; a score of exactly ``least`` stays. Repeated rows are judged alike.
     """
     shared, names = docs.sparkSession.sparkContext.broadcast(model), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predictor = Predictor(shared.value)
-        for batch in slices(batches, most=8 << 20):
+        model = shared.value
+        predictor = held(("langid", model.name), lambda: Predictor(model))
+        for batch in slices(batches, most=2 << 20):
             keep = [x != UNKNOWN and p >= least for x, p in predictor.predict(texts(batch))]
             yield batch.filter(pa.array(keep, pa.bool_())).select(names)
 

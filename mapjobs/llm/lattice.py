@@ -103,13 +103,14 @@ class Lattice:
                     lp[0, w] = spelt[int(codes[w, j - 1])]
             yield j, k, lp
 
-    def _buckets(self, words: Sequence[str], most: int = 1 << 21):
+    def _buckets(self, words: Sequence[str], models: int, most: int = 1 << 21):
+        """Words of equal length, few enough that their arcs in all models are about ``most`` numbers."""
         by_length = defaultdict(list)
         for i, w in enumerate(words):
             by_length[len(w)].append(i)
         for length, ids in by_length.items():
             if length:
-                step = max(1, most // (length * min(length, self.longest)))
+                step = max(1, most // (length * min(length, self.longest) * models))
                 for a in range(0, len(ids), step):
                     part = ids[a:a + step]
                     codes = np.frombuffer("".join([words[i] for i in part]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(part), length)
@@ -118,7 +119,7 @@ class Lattice:
     def score(self, words: Sequence[str], logp: np.ndarray) -> np.ndarray:
         """log P(word) (natural), one column per model; the empty word scores 0."""
         out = np.zeros((len(words), logp.shape[1]))
-        for ids, codes in self._buckets(words):
+        for ids, codes in self._buckets(words, logp.shape[1]):
             found = self.arcs(codes)
             alpha = np.full((codes.shape[1] + 1, len(ids), logp.shape[1]), -np.inf)
             alpha[0] = 0
@@ -132,7 +133,7 @@ class Lattice:
     def expected(self, words: Sequence[str], weight: np.ndarray, logp: np.ndarray) -> np.ndarray:
         """Expected uses of each piece over all segmentations, weighted. weight: (words, models)."""
         total = np.zeros(logp.shape)
-        for ids, codes in self._buckets(words):
+        for ids, codes in self._buckets(words, logp.shape[1]):
             found, length, n, models = self.arcs(codes), codes.shape[1], len(ids), logp.shape[1]
             alpha = np.full((length + 1, n, models), -np.inf)
             alpha[0] = 0

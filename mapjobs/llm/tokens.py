@@ -22,14 +22,13 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 from struct import pack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from mapjobs.llm.common import crc32, slices, texts
+from mapjobs.llm.common import crc32, held, slices, texts
 from mapjobs.session import partitions, shared_dir
 
 CHUNKS = "shard long, chunk long, first long, n_ids long, planes string, plane_sizes array<int>, data binary, doc_no array<long>, doc_id array<long>, doc_at array<int>, doc_part array<int>"
@@ -39,6 +38,8 @@ PARTS = "shard long, doc_no long, part int, doc_id long, at long, n long, crc lo
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: ASCII punctuation without the apostrophe, which can begin a contraction.
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: About the bytes that an entry of a dictionary takes beside the letters and ids.
+ENTRY = 200
 #: The byte-level vocabulary never merges across these pieces of text.
 PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
@@ -48,17 +49,18 @@ class Encoder:
 
     Its pre-tokenizer breaks before every run of white space and before the last blank in front of a word,
     so the ids of a text are those of the pieces between these breaks. Pieces repeat, so the ids of each are
-    kept: ``most`` of them, after which those not met again are forgotten. It also breaks between letters and ASCII punctuation (but for the apostrophe), so
+    kept in ``most`` bytes, after which those not met again are forgotten. It also breaks between letters and ASCII punctuation (but for the apostrophe), so
     a piece of letters is one input of the BPE model, and one with such signs behind it is two. Any other new pieces are
     encoded whole.
     """
 
-    def __init__(self, path: str, end_id: int, most: int = 300_000):
+    def __init__(self, path: str, end_id: int, most: int = 64 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end, self.most, self.known, self.older = np.uint32(end_id).tobytes(), most, {}, {}
+        self.size = 0
         # the byte-level alphabet: a printable character for each byte, as the vocabulary file spells them
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in shown]
@@ -89,11 +91,12 @@ class Encoder:
         ids = self.known.get(piece)
         if ids is None:
             ids = self.known[piece] = self.older.get(piece) or make(piece)
+            self.size += len(piece) + len(ids) + ENTRY
         return ids
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) > self.most // 2:
-            self.known, self.older = {}, self.known
+        if self.size > self.most // 2:
+            self.known, self.older, self.size = {}, self.known, 0
         for p in pieces.difference(self.known):
             self._kept(p, self._piece)
 
@@ -105,10 +108,9 @@ class Encoder:
         return [(self._ids(t) if p is None else b"".join(map(get, p))) + self.end for t, p in zip(texts, plain)]
 
 
-@lru_cache(maxsize=1)
 def encoder_of(path: str, end_id: int) -> Encoder:
-    """A worker process keeps one encoder over its tasks."""
-    return Encoder(path, end_id)
+    """A worker process keeps its encoder over the tasks of this operator."""
+    return held(("tokens", path, end_id), lambda: Encoder(path, end_id))
 
 
 def to_planes(ids: np.ndarray, planes: str, level: int) -> tuple[bytes, list[int]]:
