@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -31,8 +32,12 @@ class Feistel:
     def __init__(self, key: bytes):
         self.key = key
 
-    def _hash(self, tweak: bytes, turn: int, value: int) -> int:
-        return int.from_bytes(hashlib.blake2b(b"%d|%d|" % (turn, value) + tweak, key=self.key, digest_size=24).digest(), "big")
+    def _hash(self, tweak: bytes, turn: int, value: int, below: int) -> int:
+        """A number far above ``below``, however long that is, so that its rest has no bias and every place of the value is hidden."""
+        told = b"%d|%d|" % (turn, len(tweak)) + tweak + value.to_bytes(value.bit_length() // 8 + 1, "big")
+        seed = hashlib.blake2b(told, key=self.key, digest_size=64).digest()
+        n = below.bit_length() // 8 + 9
+        return int.from_bytes(seed[:n] if n <= 64 else hashlib.shake_256(seed).digest(n), "big")
 
     def permuted(self, value: int, size: int, tweak: bytes, valid: Callable[[int], bool] = lambda x: True, back: bool = False) -> int:
         """``valid`` must hold for the value itself; it then holds for the result. back: the inverse."""
@@ -46,9 +51,9 @@ class Feistel:
             l, r = divmod(value, b)
             for turn in turns:
                 if turn % 2:
-                    r = (r + sign * self._hash(tweak, turn, l)) % b
+                    r = (r + sign * self._hash(tweak, turn, l, b)) % b
                 else:
-                    l = (l + sign * self._hash(tweak, turn, r)) % a
+                    l = (l + sign * self._hash(tweak, turn, r, a)) % a
             value = l * b + r
             if value < size and valid(value):
                 return value
@@ -84,17 +89,42 @@ def phone(f: Feistel, s: str, back: bool) -> str | None:
     """+1 and ten digits (area and exchange codes that begin with 2 to 9 keep doing so), or + and 8 to 15 digits, of which the first two stay."""
     d = _digits(s)
     if d[0] == "1" and len(d) == 11:
-        def kind(x: int) -> tuple[bool, bool]:
-            t = str(x).zfill(10)
-            return t[0] > "1", t[3] > "1"
-        own = kind(int(d[1:]))
-        return respelt(s, "1" + str(f.permuted(int(d[1:]), 10**10, b"phone1", lambda x: kind(x) == own, back)).zfill(10))
+        return respelt(s, "1" + _ten(f, d[1:], back))
     if not 8 <= len(d) <= 15 or d[0] == "0":
         return None
     n = len(d) - 2
     return respelt(s, d[:2] + str(f.permuted(int(d[2:]), 10**n, b"phone" + d[:2].encode() + b"%d" % n, back=back)).zfill(n))
 
 
+def _ten(f: Feistel, d: str, back: bool) -> str:
+    """The ten digits behind +1."""
+    def kind(x: int) -> tuple[bool, bool]:
+        t = str(x).zfill(10)
+        return t[0] > "1", t[3] > "1"
+    own = kind(int(d))
+    return str(f.permuted(int(d), 10**10, b"phone1", lambda x: kind(x) == own, back)).zfill(10)
+
+
+def national(f: Feistel, s: str, back: bool) -> str:
+    """Ten digits of the +1 plan without +1, in groups of 3, 3 and 4: the same number as with it."""
+    return respelt(s, _ten(f, _digits(s), back))
+
+
+def _told(x: int) -> bool:
+    """An IPv6 address whose text cannot be taken for words with colons between them."""
+    s = str(ipaddress.IPv6Address(x))
+    return len([g for g in s.split(":") if g]) > 2 and any(c.isdigit() for c in s)
+
+
+def address6(f: Feistel, s: str, back: bool) -> str | None:
+    """IPv6 in any spelling; the result is spelt in the standard way."""
+    try:
+        x = int(ipaddress.IPv6Address(s))
+    except ValueError:
+        return None
+    return str(ipaddress.IPv6Address(f.permuted(x, 1 << 128, b"ipv6", _told, back))) if _told(x) else None
+
+
 def address4(f: Feistel, s: str, back: bool) -> str | None:
     """IPv4: four numbers up to 255 without leading zeros."""
     parts = s.split(".")
@@ -172,16 +202,18 @@ def email(f: Feistel, s: str, back: bool) -> str | None:
     return f"{_mixed(f, name, b'email' + domain.lower().encode(), back)}@{domain}"
 
 
-KINDS = {"email": email, "iban": bank, "phone": phone, "date": date, "ipv4": address4, "social": social, "card": card}
+KINDS = {"email": email, "iban": bank, "phone": phone, "date": date, "ipv4": address4, "ipv6": address6, "national": national, "social": social, "card": card}
 #: One pass; every alternative begins where nothing of its own kind precedes, so that long runs are read once.
 FOUND = re.compile(r"""
     (?P<email>(?<![\w.+%-])[\w.+%-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+)
   | (?P<iban>(?<!\w)[A-Z]{2}\d\d(?:[ ]?[A-Z0-9]){11,30}(?!\w))
   | (?P<phone>(?<!\w)\+\d(?:[ ().-]{0,3}\d){7,14}(?!\d))
+  | (?P<ipv6>(?<![\w:.])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:]|\.\d))
   | (?<![\w.+-])(?:
       (?P<date>\d{4}-\d\d?-\d\d?(?![\w-])|\d{4}/\d\d?/\d\d?(?![\w/])|\d\d?\.\d\d?\.\d{4}(?!\w|\.\d)|\d\d?/\d\d?/\d{4}(?![\w/])|\d\d?-\d\d?-\d{4}(?![\w-]))
     | (?P<ipv4>\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))
     | (?P<social>\d{3}-\d\d-\d{4}(?![\w-]))
+    | (?P<national>(?:\([2-9]\d\d\)[ ]?|[2-9]\d\d[.-])[2-9]\d\d[.-]\d{4}(?![\w-]|\.\d))
     | (?P<card>\d(?:[ -]?\d){12,18}(?!\d)))
 """, re.X)
 PHONE = re.compile(r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)")
