@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -23,7 +24,7 @@ from mapjobs.llm.common import slices, texts
 #: Fixed values of the HTML standard: elements that start a new block; that never have content; whose content is no text of the page.
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe".split())
+RAW = frozenset("script style template textarea title iframe".split())
 #: An opening tag of the left kind ends an open element of the right kinds.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = frozenset("ul ol dl table select html body".split())
@@ -53,6 +54,7 @@ def blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
     # (tag, tags of it and all around it, parts of their names); an element that adds nothing shares its parent's sets
     stack: list[tuple[str, frozenset[str], frozenset[str]]] = []
     none: frozenset[str] = frozenset()
+    open_tags: Counter = Counter()  # so that the stack is searched only for what is there
     held: list[str] = []
     linked, in_link, at, pattern, size = 0, 0, 0, TAG, len(page)
 
@@ -64,6 +66,10 @@ def blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
         held.clear()
         linked = 0
 
+    def close(i: int):
+        open_tags.subtract(s[0] for s in stack[i:])
+        del stack[i:]
+
     def add(piece: str):
         nonlocal linked
         held.append(piece)
@@ -106,16 +112,17 @@ def blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
             continue
         flush()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if open_tags[tag] else ():
                 if stack[i][0] == tag:
-                    del stack[i:]
+                    close(i)
                     break
             continue
         if stack and stack[-1][0] == "p":
-            stack.pop()
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in ENDS.get(tag, ()):
-                del stack[i:]
+            close(len(stack) - 1)
+        ends = ENDS.get(tag, ())
+        for i in range(len(stack) - 1, -1, -1) if any(open_tags[t] for t in ends) else ():
+            if stack[i][0] in ends:
+                close(i)
                 break
             if stack[i][0] in SCOPE:
                 break
@@ -123,6 +130,7 @@ def blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
             names = " ".join("".join(x) for x in NAMED.findall(m[3])).lower()
             _, tags, around = stack[-1] if stack else ("", none, none)
             parts = [n for n in NAME_PARTS.findall(names) if known is None or n in known]
+            open_tags[tag] += 1
             stack.append((tag, tags if tag in tags else tags | {tag}, around if around.issuperset(parts) else around.union(parts)))
     flush()
     return out
@@ -183,6 +191,25 @@ class Crf:
         return np.array([*out, label][::-1], np.int64)
 
 
+def marginals(emit: np.ndarray, live: np.ndarray, step: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Forward-backward over pages padded to one length. emit: (pages, blocks, 2), ``live`` where a block is.
+
+    (log of the sum over all labellings, probability of label 1 of each block, probability of each pair of labels in a row)."""
+    n, longest = live.shape
+    alpha, beta = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
+    alpha[:, 0] = start + emit[:, 0]
+    for t in range(1, longest):
+        new = np.logaddexp.reduce(alpha[:, t - 1, :, None] + step, axis=1) + emit[:, t]
+        alpha[:, t] = np.where(live[:, t, None], new, alpha[:, t - 1])
+    for t in range(longest - 2, -1, -1):
+        new = np.logaddexp.reduce(step + (emit[:, t + 1] + beta[:, t + 1])[:, None, :], axis=2)
+        beta[:, t] = np.where(live[:, t + 1, None], new, 0.0)
+    z = np.logaddexp.reduce(alpha[:, -1], axis=1)
+    one = np.exp(alpha[..., 1] + beta[..., 1] - z[:, None]) * live
+    both = np.exp(alpha[:, :-1, :, None] + step + (emit + beta)[:, 1:, None, :] - z[:, None, None, None]) * live[:, 1:, None, None]
+    return z, one, both
+
+
 def train(pages: list[tuple[list[list[str]], list[int]]], *, l2: float = 1e-3, steps: int = 200) -> Crf:
     """Maximum conditional likelihood by Adam. pages: features and labels of each page's blocks. All pages go through the
     forward-backward recursion together, padded to the longest."""
@@ -204,17 +231,7 @@ def train(pages: list[tuple[list[list[str]], list[int]]], *, l2: float = 1e-3, s
         w, step, start = theta[:k], theta[k:k + 4].reshape(2, 2), theta[k + 4:]
         emit = np.zeros((n, longest, 2))
         emit[..., 1] = np.bincount(where, w[cols], n * longest).reshape(n, longest)
-        alpha, beta = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        alpha[:, 0] = start + emit[:, 0]
-        for t in range(1, longest):
-            new = np.logaddexp.reduce(alpha[:, t - 1, :, None] + step, axis=1) + emit[:, t]
-            alpha[:, t] = np.where(live[:, t, None], new, alpha[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            new = np.logaddexp.reduce(step + (emit[:, t + 1] + beta[:, t + 1])[:, None, :], axis=2)
-            beta[:, t] = np.where(live[:, t + 1, None], new, 0.0)
-        z = np.logaddexp.reduce(alpha[:, -1], axis=1)
-        one = np.exp(alpha[..., 1] + beta[..., 1] - z[:, None]) * live
-        both = np.exp(alpha[:, :-1, :, None] + step + (emit + beta)[:, 1:, None, :] - z[:, None, None, None]) * pairs[..., None, None]
+        _, one, both = marginals(emit, live, step, start)
         g = np.zeros(k + 6)
         g[:k] = np.bincount(cols, (one - gold * live).ravel()[where], k)
         seen = np.zeros((2, 2))
