@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import math
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mapjobs.functions import geom as G, tags as R
+from mapjobs.operators import spatial
+
+#: The area type of buildings, a layer of their own; size of a tile (lon7, lat7).
+BUILDING, GRID = 4, np.array([G.TILE_LON7, G.TILE_LAT7])
 
 
 def simplify(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
@@ -32,45 +39,130 @@ def simplify(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
+def _points(batch: pa.RecordBatch, name: str = "pts") -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(points of all rows in one array, where each row's begin and end, lat7, lon7) of a column of point lists."""
+    column = batch.column(name)
+    values, sizes = column.flatten(), column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    part = lambda k: pc.struct_field(values, k).to_numpy(zero_copy_only=False)
+    return values, np.concatenate([[0], np.cumsum(sizes)]), part("lat7"), part("lon7")
+
+
+def _list_of(values: pa.Array, sizes: list[int]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
+
+
 def simplified(lines: DataFrame, key: str, eps, ring: bool = False) -> DataFrame:
     """Lines (key, pts, ...) with simplified pts: no shuffle, Arrow batches. ``eps`` is metres or a column with metres; a ring is closed by
     its first point for the test, and dropped if fewer than three points stay."""
     names = lines.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for pts, e in zip(b["pts"], b["__eps"]):
-                lat, lon = np.array([p["lat7"] for p in pts]) / 1e7, np.array([p["lon7"] for p in pts]) / 1e7
+            values, at, lat7, lon7 = _points(b)
+            kept, sizes = [np.zeros(0, np.int64)], []
+            for i, e in enumerate(b.column("__eps").to_pylist()):
+                lat, lon = lat7[at[i]:at[i + 1]] / 1e7, lon7[at[i]:at[i + 1]] / 1e7
+                n = len(lat)
+                if not n:
+                    sizes.append(0)
+                    continue
                 y, x = lat * G.M_LAT, lon * G.M_LON * math.cos(math.radians(lat[0]))
-                n = len(pts)
-                kept = simplify(np.append(x, x[0]), np.append(y, y[0]), e) if ring else simplify(x, y, e)
-                out.append([pts[i] for i in kept if i < n])
-            b["pts"] = out
-            yield b[[len(p) >= 3 or not ring for p in out]][names]
+                k = simplify(np.append(x, x[0]), np.append(y, y[0]), e) if ring else simplify(x, y, e)
+                k = k[k < n]
+                kept.append(at[i] + k)
+                sizes.append(len(k))
+            pts = _list_of(values.take(pa.array(np.concatenate(kept))), sizes)
+            out = pa.RecordBatch.from_arrays([pts if c == "pts" else b.column(c) for c in names], names)
+            yield out.filter(pa.array([n >= 3 or not ring for n in sizes], pa.bool_()))
 
     width = eps if not isinstance(eps, (int, float)) else F.lit(float(eps))
-    return lines.withColumn("__eps", width.cast("double")).mapInPandas(run, lines.schema)
+    return lines.withColumn("__eps", width.cast("double")).mapInArrow(run, lines.schema)
+
+
+def assembled(ways: DataFrame, relations: DataFrame) -> DataFrame:
+    """(area_id, ring, role, refs, tags): closed rings of areas. ways: (way_id, refs, tags); relations: (rel_id, members, tags).
+
+    A closed way of four refs or more is an area by itself unless tagged area=no; its id is twice the way's. A relation of type multipolygon or boundary is
+    one whose id is twice its own and one, with its member ways stitched; members of role inner are holes.
+    """
+    closed = (F.size("refs") >= 4) & (F.col("refs")[0] == F.element_at("refs", -1)) & ~F.coalesce(F.col("tags")["area"], F.lit("")).eqNullSafe("no")
+    own = ways.where(closed).select((F.col("way_id") * 2).alias("area_id"), F.lit(0).alias("ring"), F.lit("outer").alias("role"), F.slice("refs", 1, F.size("refs") - 1).alias("refs"), "tags")
+    made = relations.where(F.col("tags")["type"].isin("multipolygon", "boundary")).withColumn("area_id", F.col("rel_id") * 2 + 1)
+    members = made.select("area_id", F.posexplode("members").alias("seq", "m")).where("m.type = 'way'")
+    members = members.select("area_id", "seq", F.when(F.col("m.role") == "inner", "inner").otherwise("outer").alias("role"), F.col("m.ref").alias("way_id")).join(ways.select("way_id", "refs"), "way_id")
+    rings = stitched(members.select("area_id", "seq", "role", "refs")).join(made.select("area_id", "tags"), "area_id")
+    return own.unionByName(rings.select("area_id", "ring", "role", "refs", "tags"))
+
+
+def located_rings(rings: DataFrame, nodes: DataFrame) -> DataFrame:
+    """S3: rings (area_id, ring, role, refs, ...) with ``pts`` in place of refs; refs without a position are dropped, and rings under three points."""
+    p = rings.select("area_id", "ring", F.posexplode("refs").alias("seq", "ref")).join(nodes.select(F.col("node_id").alias("ref"), "lat7", "lon7"), "ref")
+    p = p.groupBy("area_id", "ring").agg(F.array_sort(F.collect_list(F.struct("seq", "lat7", "lon7"))).alias("pts")).where(F.size("pts") >= 3)
+    return rings.drop("refs").join(p, ["area_id", "ring"])
+
+
+def with_outer(rings: DataFrame) -> DataFrame:
+    """Rings (area_id, ring, role, pts, ...) with ``outer``: the ring that a hole lies in, the one of the least box where several contain its first point. An outer ring has
+    its own number. Holes in no outer ring of their area are dropped. The join is on the tile and the area (``spatial``)."""
+    box = (F.array_max(F.transform("pts", lambda p: p["lon7"])) - F.array_min(F.transform("pts", lambda p: p["lon7"]))) * (F.array_max(F.transform("pts", lambda p: p["lat7"])) - F.array_min(F.transform("pts", lambda p: p["lat7"])))
+    key = F.struct("area_id", "ring")
+    holes = rings.where("role = 'inner'").select(key.alias("pid"), "area_id", F.col("pts")[0]["lat7"].alias("lat7"), F.col("pts")[0]["lon7"].alias("lon7"))
+    outers = rings.where("role <> 'inner'").join(holes.select("area_id").distinct(), "area_id", "left_semi")
+    points = outers.select(key.alias("poly"), "area_id", F.posexplode("pts").alias("seq", "p")).select("poly", "area_id", F.lit(0).alias("ring"), "seq", "p.lat7", "p.lon7")
+    inside = spatial.points_in_polygons(holes, spatial.ring_edges(points, ["area_id"]), ["area_id"])
+    inside = inside.join(outers.select(key.alias("poly"), box.alias("box")), "poly").groupBy("pid").agg(F.min_by("poly.ring", F.struct("box", "poly.ring")).alias("outer"))
+    held = inside.select("pid.area_id", "pid.ring", "outer")
+    own = rings.where("role <> 'inner'").withColumn("outer", F.col("ring"))
+    return own.unionByName(rings.where("role = 'inner'").join(held, ["area_id", "ring"]).select(own.columns))
+
+
+def _with_their_outer(rings: DataFrame) -> DataFrame:
+    """Rings without the holes whose outer ring is not there."""
+    outers = rings.where("hole = 0").select("area_id", F.col("ring").alias("outer"))
+    return rings.where("hole = 0").unionByName(rings.where("hole = 1").join(outers, ["area_id", "outer"], "left_semi").select(rings.columns))
+
+
+def kept(rings: DataFrame, buildings: bool = False) -> DataFrame:
+    """The rings (area_id, ring, role, outer, typ, pts) worth drawing, cleaned, with ``hole``. A hole goes with its outer ring; buildings are
+    left out unless asked for, and have no holes."""
+    r = rings.where(F.lit(buildings) | (F.col("typ") != BUILDING)).where((F.col("typ") != BUILDING) | (F.col("role") != "inner"))
+    r = cleaned(r.withColumn("hole", F.when(F.col("role") == "inner", 1).otherwise(0)))
+    return _with_their_outer(r.select("area_id", "ring", "outer", "typ", "hole", "pts"))
+
+
+def drawn(rings: DataFrame, buildings: bool = False) -> DataFrame:
+    """``kept`` rings, simplified by their type; a ring that is left with under three points goes, and takes its holes along."""
+    eps = F.create_map(*[F.lit(x) for kv in R.SIMPLIFY_M.items() for x in kv])[F.col("typ")]
+    return _with_their_outer(simplified(kept(rings, buildings), "area_id", eps, ring=True))
 
 
 def stitched(members: DataFrame) -> DataFrame:
     """(area_id, ring, role, refs): closed rings from member ways (area_id, seq, role, refs) of one area.
 
-    Ways of a role are joined at shared ends, either way round, in order of first use; what does not close is dropped. A group holds the member ways of one relation."""
+    Ways of a role are joined at shared ends, either way round, in order of first use; what does not close is dropped. A group holds the member ways of one
+    relation, and is worked through once: ways are found by their ends."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for role, part in group.sort_values("seq").groupby("role", sort=True):
-            left = [list(r) for r in part["refs"] if len(r) > 1]
-            while left:
-                line = left.pop(0)
+            lines = [list(r) for r in part["refs"] if len(r) > 1]
+            ends, used = defaultdict(deque), [False] * len(lines)
+            for i, w in enumerate(lines):
+                for e in dict.fromkeys((w[0], w[-1])):
+                    ends[e].append(i)
+            for i, first in enumerate(lines):
+                if used[i]:
+                    continue
+                used[i], line = True, list(first)
                 while line[0] != line[-1]:
-                    for i, w in enumerate(left):
-                        if w[0] == line[-1] or w[-1] == line[-1]:
-                            line += (w if w[0] == line[-1] else w[::-1])[1:]
-                            left.pop(i)
-                            break
-                    else:
+                    there = ends[line[-1]]
+                    while there and used[there[0]]:
+                        there.popleft()
+                    if not there:
                         break
+                    j = there.popleft()
+                    used[j] = True
+                    w = lines[j]
+                    line += (w if w[0] == line[-1] else w[::-1])[1:]
                 if line[0] == line[-1] and len(line) > 3:
                     rows.append((group["area_id"].iloc[0], len(rows), role, line[:-1]))
         return pd.DataFrame(rows, columns=["area_id", "ring", "role", "refs"])
@@ -91,10 +183,10 @@ def cleaned(rings: DataFrame) -> DataFrame:
 
 
 def cover(rings: DataFrame) -> DataFrame:
-    """Rings with (ix, iy) of every tile of their box and ``alone`` if it is one. The explode is followed by a shuffle on tiles in all uses, which spreads a large ring."""
+    """Rings with (ix, iy) of every tile of their box and ``alone`` if it is one. Points stay behind: a ring is cut by ``clipped``."""
     lat, lon = F.transform("pts", lambda x: x["lat7"]), F.transform("pts", lambda x: x["lon7"])
     r = rings.withColumn("x0", G.tile_x(F.array_min(lon))).withColumn("x1", G.tile_x(F.array_max(lon))).withColumn("y0", G.tile_y(F.array_min(lat))).withColumn("y1", G.tile_y(F.array_max(lat)))
-    r = r.withColumn("alone", (F.col("x0") == F.col("x1")) & (F.col("y0") == F.col("y1"))).withColumn("ix", F.explode(F.sequence("x0", "x1")))
+    r = r.withColumn("alone", (F.col("x0") == F.col("x1")) & (F.col("y0") == F.col("y1"))).withColumn("ix", F.explode(F.sequence("x0", "x1"))).drop("pts")
     return r.withColumn("iy", F.explode(F.sequence("y0", "y1"))).drop("x0", "x1", "y0", "y1")
 
 
@@ -112,29 +204,65 @@ def clip_half(poly: np.ndarray, axis: int, at: float, keep_above: bool) -> np.nd
     return out[np.stack([inside != was, inside], axis=1)]
 
 
-def clipped(covered: DataFrame) -> DataFrame:
-    """(area_id, ring, typ, hole, ix, iy, pts) with the quantised part of each ring in each tile; parts under three points are dropped."""
+def tiles_of(p: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(ix, iy, part) of a polygon (lon7, lat7) for every tile that it has three points or more in. The polygon is halved at a grid line until a part
+    lies in one tile, so each point is copied as often as halves are made, not once for every tile."""
+    todo = [p]
+    while todo:
+        p = todo.pop()
+        if len(p) < 3:
+            continue
+        lo, hi = np.floor(p.min(0) / GRID).astype(int), np.floor(p.max(0) / GRID).astype(int)
+        hi = np.where((hi > lo) & (p.max(0) == hi * GRID), hi - 1, hi)  # a part that only touches the next line
+        axis = int(np.argmax(hi - lo))
+        if hi[axis] == lo[axis]:
+            yield int(lo[0]), int(lo[1]), p
+            continue
+        at = float((lo[axis] + hi[axis] + 1) // 2 * GRID[axis])
+        todo += [clip_half(p, axis, at, True), clip_half(p, axis, at, False)]
+
+
+def clipped(rings: DataFrame, most: int = 200_000) -> DataFrame:
+    """(area_id, ring, typ, hole, ix, iy, pts) with the quantised part of each ring in each tile; parts under three points are dropped.
+
+    No shuffle: a ring's parts leave its task in batches of about ``most`` points."""
     schema = "area_id long, ring int, typ int, hole int, ix long, iy long, pts array<struct<x:int,y:int>>"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for pts, ix, iy, alone in zip(b["pts"], b["ix"], b["iy"], b["alone"]):
-                p = np.array([(q["lon7"], q["lat7"]) for q in pts], float)
-                x, y = ix * G.TILE_LON7, iy * G.TILE_LAT7
-                if not alone:
-                    for axis, at, above in ((0, x, True), (0, x + G.TILE_LON7, False), (1, y, True), (1, y + G.TILE_LAT7, False)):
-                        p = clip_half(p, axis, at, above)
-                q = np.clip(np.rint((p - (x, y)) / (G.TILE_LON7, G.TILE_LAT7) * 65535), 0, 65535).astype(int) if len(p) >= 3 else []
-                out.append([{"x": a, "y": c} for a, c in q])
-            b["pts"] = out
-            yield b[[len(p) >= 3 for p in out]][["area_id", "ring", "typ", "hole", "ix", "iy", "pts"]]
-
-    return covered.select("area_id", "ring", "typ", "hole", "ix", "iy", "alone", "pts").mapInPandas(run, schema)
-
-
-def area_tiles(polygons: DataFrame) -> DataFrame:
-    """(ix, iy, polygons): in drawing order (built-up, park, forest, water), fills before holes, then by area and ring."""
-    order = F.create_map(*[F.lit(x) for kv in R.DRAW_ORDER.items() for x in kv])[F.col("typ")]
+            _, at, lat7, lon7 = _points(b)
+            rows, parts = [], []
+
+            def flush():
+                q = np.concatenate(parts)
+                pts = _list_of(pa.StructArray.from_arrays([pa.array(q[:, 0], pa.int32()), pa.array(q[:, 1], pa.int32())], ["x", "y"]), [len(x) for x in parts])
+                of, ix, iy = (pa.array(x, pa.int64()) for x in zip(*rows))
+                own = [b.column(c).take(of) for c in ("area_id", "ring", "typ", "hole")]
+                rows.clear(), parts.clear()
+                return pa.RecordBatch.from_arrays([*own, ix, iy, pts], ["area_id", "ring", "typ", "hole", "ix", "iy", "pts"])
+
+            held = 0
+            for i in range(len(b)):
+                for ix, iy, p in tiles_of(np.stack([lon7[at[i]:at[i + 1]], lat7[at[i]:at[i + 1]]], 1).astype(float)):
+                    rows.append((i, ix, iy))
+                    parts.append(np.clip(np.rint((p - GRID * (ix, iy)) / GRID * 65535), 0, 65535).astype(np.int32))
+                    held += len(p)
+                    if held > most:
+                        yield flush()
+                        held = 0
+            if rows:
+                yield flush()
+
+    return rings.select(F.col("area_id").cast("long"), F.col("ring").cast("int"), F.col("typ").cast("int"), F.col("hole").cast("int"), "pts").mapInArrow(run, schema)
+
+
+def drawing_order() -> Column:
+    return F.create_map(*[F.lit(x) for kv in R.DRAW_ORDER.items() for x in kv])[F.col("typ")]
+
+
+def area_tiles(polygons: DataFrame, buildings: bool = False) -> DataFrame:
+    """(ix, iy, polygons) of the area layer, or of the buildings': in drawing order (built-up, park, forest, water), fills before holes, then by area and ring."""
+    polygons = polygons.where((F.col("typ") == BUILDING) == F.lit(buildings))
+    order = drawing_order()
     g = polygons.groupBy("ix", "iy").agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), "hole", "area_id", "ring", "typ", "pts"))).alias("ps"))
     return g.select("ix", "iy", F.transform("ps", lambda p: F.struct(p["typ"].alias("typ"), p["hole"].alias("hole"), p["pts"].alias("pts"))).alias("polygons"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from mapjobs.functions import tags as R
@@ -20,15 +22,39 @@ def _rings(spark, sf_dir):
     return g.where("typ is not null").withColumn("hole", F.col("ring"))
 
 
-def s4_stitched(spark, sf_dir):
-    """Octagons whose three member ways come in mixed order and direction."""
-    p = standins.view(spark, sf_dir, "area_points").where("ring = 0").groupBy("area_id").agg(F.array_sort(F.collect_list(F.struct("seq", (F.col("area_id") * 8 + F.col("seq")).cast("long").alias("ref")))).alias("p"))
-    refs = F.transform("p", lambda x: x["ref"])
-    refs = F.concat(refs, F.slice(refs, 1, 1))
-    parts = F.array(F.struct(F.lit(2).alias("seq"), F.slice(refs, 1, 4).alias("refs")), F.struct(F.lit(0).alias("seq"), F.reverse(F.slice(refs, 4, 3)).alias("refs")), F.struct(F.lit(1).alias("seq"), F.slice(refs, 6, 4).alias("refs")))
-    m = p.select("area_id", F.explode(parts).alias("m")).select(F.col("area_id").cast("long").alias("area_id"), "m.seq", F.lit("outer").alias("role"), "m.refs")
-    s = areas.stitched(m)
-    return s.select("area_id", "ring", "role", F.size("refs").alias("n"), F.array_join(F.array_sort("refs").cast("array<string>"), ",").alias("refs"))
+def _objects(spark, sf_dir):
+    """(nodes, ways, relations) of the stand-in areas. An area with a hole is a multipolygon whose outer ring lies in three ways in mixed order and direction, others are closed ways."""
+    p = standins.view(spark, sf_dir, "area_points").withColumn("node_id", (F.col("area_id") * 16 + F.col("ring") * 8 + F.col("seq")).cast("long"))
+    refs = p.groupBy(F.col("area_id").cast("long").alias("area_id"), "tag_no", "ring").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "node_id"))), lambda x: x["node_id"]).alias("refs"))
+    refs = cut(refs.withColumn("refs", F.concat("refs", F.slice("refs", 1, 1))))
+    entry = F.element_at(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in standins.AREA_TAGS]), (F.col("tag_no") + 1).cast("int"))
+    holed, none = F.col("area_id") % 3 == 0, F.create_map().cast("map<string,string>")
+    way = lambda no, refs: F.struct((F.col("area_id") * 8 + no).alias("way_id"), refs.alias("refs"))
+    whole = refs.where(~holed).select((F.col("area_id") * 8).alias("way_id"), "refs", F.create_map(entry["k"], entry["v"]).alias("tags"))
+    parts = F.when(F.col("ring") == 1, F.array(way(4, F.col("refs")))).otherwise(F.array(way(1, F.slice("refs", 1, 4)), way(2, F.slice("refs", 7, 3)), way(3, F.reverse(F.slice("refs", 4, 4)))))
+    members = refs.where(holed).select(F.explode(parts).alias("w")).select("w.*", none.alias("tags"))
+    m = lambda no, role: F.struct(F.lit("way").alias("type"), (F.col("area_id") * 8 + no).alias("ref"), F.lit(role).alias("role"))
+    relations = refs.where(holed & (F.col("ring") == 0)).select(F.col("area_id").alias("rel_id"), F.array(m(1, "outer"), m(4, "inner"), m(2, "outer"), m(3, "")).alias("members"), F.create_map(F.lit("type"), F.lit("multipolygon"), entry["k"], entry["v"]).alias("tags"))
+    return p.select("node_id", "lat7", "lon7"), whole.unionByName(members), relations
+
+
+def _assembled(spark, sf_dir):
+    nodes, ways, relations = _objects(spark, sf_dir)
+    rings = areas.assembled(ways, relations).withColumn("typ", R.area_type(R.of_map())).where("typ is not null").drop("tags")
+    return cut(areas.with_outer(cut(areas.located_rings(rings, nodes))))
+
+
+def s4_areas(spark, sf_dir):
+    """Areas from closed ways and multipolygons, holes with the outer ring that they lie in."""
+    return _assembled(spark, sf_dir).select("area_id", "ring", "role", "outer", "typ", F.size("pts").alias("n"), F.array_join(F.transform("pts", lambda p: F.concat_ws(",", p["lat7"].cast("string"), p["lon7"].cast("string"))), ";").alias("line"))
+
+
+def t2_b2_drawing_order(spark, sf_dir):
+    """What each tile of both layers would draw, in order, by the tiles of the rings' boxes."""
+    kept = areas.kept(_assembled(spark, sf_dir), buildings=True)
+    covered = areas.cover(kept).withColumn("layer", F.when(F.col("typ") == areas.BUILDING, "b").otherwise("a"))
+    g = covered.groupBy("layer", "ix", "iy").agg(F.array_sort(F.collect_list(F.struct(areas.drawing_order().alias("o"), "hole", "area_id", "ring", "typ"))).alias("ps"))
+    return g.select("layer", "ix", "iy", F.array_join(F.transform("ps", lambda p: F.concat_ws(":", p["typ"].cast("string"), p["hole"].cast("string"), p["area_id"].cast("string"))), ";").alias("polygons"))
 
 
 def g6_cleaned(spark, sf_dir):
@@ -40,9 +66,7 @@ def g7_cover(spark, sf_dir):
 
 
 def _polygons(spark, sf_dir):
-    r = areas.cleaned(_rings(spark, sf_dir)).select("area_id", "ring", "typ", "hole", "pts")
-    eps = F.create_map(*[F.lit(x) for kv in R.SIMPLIFY_M.items() for x in kv])[F.col("typ")]
-    return areas.clipped(areas.cover(areas.simplified(r, "area_id", eps, ring=True)))
+    return cut(areas.clipped(areas.drawn(_assembled(spark, sf_dir), buildings=True)))
 
 
 def g5_g7_clipped(spark, sf_dir):
@@ -50,8 +74,14 @@ def g5_g7_clipped(spark, sf_dir):
 
 
 def t2_b2_area_tiles(spark, sf_dir):
-    packed = tiles.with_bytes(areas.area_tiles(_polygons(spark, sf_dir)), tiles.pack_area_tile, "polygons")
-    return packed.select("ix", "iy", F.length("data").alias("size"), F.md5("data").alias("md5"))
+    """The area layer and the buildings' layer."""
+    p = _polygons(spark, sf_dir)
+
+    def layer(name, buildings):
+        packed = tiles.with_bytes(areas.area_tiles(p, buildings), partial(tiles.pack_area_tile, building=buildings), "polygons")
+        return packed.select(F.lit(name).alias("layer"), "ix", "iy", F.length("data").alias("size"), F.md5("data").alias("md5"))
+
+    return layer("a", False).unionByName(layer("b", True))
 
 
 def g5_simplified_ways(spark, sf_dir):
@@ -73,36 +103,36 @@ def a6_main_mask(spark, sf_dir):
     return network.main_mask(_edges(spark, sf_dir)).select("way_id", "edge_no", "piece", "main_mask")
 
 
-def _arcs(e, profile):
-    return cut(network.profile_arcs(e).where(F.col("profile") == profile).select("from", "to", "w"))
+#: How many pairs of nodes the hierarchy is checked on, for each profile: a sample by the nature of the check.
+PAIRS = 100
 
 
-def _each_profile(found):
-    """The results of ``found(profile)`` under each other, with their profile."""
-    bicycle, foot = (found(p).withColumn("profile", F.lit(p)) for p in network.PROFILES)
-    return bicycle.unionByName(foot)
+def _graph(spark, sf_dir):
+    """(arcs of both profiles as one graph, pairs of its nodes picked by hash)."""
+    every = cut(network.profile_arcs(GP._edges(spark, sf_dir)).select("profile", "from", "to", "w"))
+    picked = [network.picked_pairs(every.where(F.col("profile") == p), PAIRS).select((F.col("pair_id") + p * PAIRS).alias("pair_id"), (F.col("s") * 2 + p).alias("s"), (F.col("t") * 2 + p).alias("t")) for p in network.PROFILES]
+    return cut(network.apart(every).select("from", "to", "w")), cut(picked[0].unionByName(picked[1]))
 
 
 def h2_shortest_paths(spark, sf_dir):
-    """Pairs of places near each other: the ends of ways, however long the way between them."""
-    e = _edges(spark, sf_dir)
-    pairs = e.groupBy("way_id").agg(F.min_by("a", F.struct("edge_no", "piece")).alias("s"), F.max_by("b", F.struct("edge_no", "piece")).alias("t"))
-    pairs = cut(pairs.select(F.col("way_id").alias("pair_id"), "s", "t"))
-    return _each_profile(lambda p: network.shortest_paths(_arcs(e, p), pairs))
+    """Costs between pairs of all nodes, picked by hash, by bicycle and on foot, however far apart."""
+    found = network.shortest_paths(*_graph(spark, sf_dir))
+    return found.select((F.col("s") % 2).cast("int").alias("profile"), (F.col("pair_id") % PAIRS).cast("int").alias("pair_id"), F.floor(F.col("s") / 2).alias("s"), F.floor(F.col("t") / 2).alias("t"), "cost")
 
 
 def h3_h4_h5_h6_hierarchy(spark, sf_dir):
-    """Pairs of all nodes, picked by hash, by the hierarchy against plain search: the counts of outcomes."""
-    e = _edges(spark, sf_dir)
+    """The same pairs by the hierarchy against plain search: the counts of outcomes."""
+    arcs, pairs = _graph(spark, sf_dir)
+    found = network.hierarchy_query(*[cut(x) for x in network.split_by_rank(*network.hierarchy(arcs))], pairs)
+    return network.compared(found, network.shortest_paths(arcs, pairs))
 
-    def outcomes(profile):
-        arcs = _arcs(e, profile)
-        pairs = cut(network.picked_pairs(arcs, 100))
-        every, order = network.hierarchy(arcs)
-        found = network.hierarchy_query(*[cut(x) for x in network.split_by_rank(every, order)], pairs)
-        return network.compared(found, network.shortest_paths(arcs, pairs))
 
-    return _each_profile(outcomes)
+def h4_split(spark, sf_dir):
+    """Arcs on foot split by given ranks; nodes of one rank are a core."""
+    arcs = cut(network.profile_arcs(GP._edges(spark, sf_dir)).where("profile = 1").select("from", "to", "w"))
+    ranks = arcs.select(F.explode(F.array("from", "to")).alias("node")).distinct().withColumn("turn", F.pmod(F.col("node") * 7919, F.lit(50)))
+    up, down = network.split_by_rank(arcs, ranks)
+    return up.withColumn("side", F.lit("out")).unionByName(down.withColumn("side", F.lit("in")))
 
 
 def b3_geometry_tiles(spark, sf_dir):
@@ -112,19 +142,20 @@ def b3_geometry_tiles(spark, sf_dir):
 
 
 def b4_hierarchy_tiles(spark, sf_dir):
+    """Both profiles' hierarchies as tiles of the device."""
     e = _edges(spark, sf_dir)
     nodes, edges = map(cut, routing_tiles.numbered(e))
+    every, order = network.hierarchy(network.apart(network.profile_arcs(e)).select("from", "to", "w"))
 
-    def written(profile):
-        every, order = network.hierarchy(_arcs(e, profile))
-        via = cut(routing_tiles.arcs_with_via(every, nodes, edges.withColumn("costs", F.slice("cost", 2 * profile + 1, 2))))
-        r = via.join(order.select(F.col("node").alias("from"), F.col("turn").alias("rf")), "from").join(order.select(F.col("node").alias("to"), F.col("turn").alias("rt")), "to")
-        up = r.where("rf <= rt").select(F.col("n_from").alias("node"), F.col("n_to").alias("to"), "w", "via")
-        down = r.where("rf >= rt").select(F.col("n_to").alias("node"), F.col("n_from").alias("to"), "w", "via")
-        packed = tiles.with_bytes(routing_tiles.hierarchy_tiles(nodes, up, down), routing_tiles.pack_hierarchy_tile, "nodes")
-        return packed.select("ix", "iy", F.length("data").alias("size"), F.md5("data").alias("md5"))
+    def written(p):
+        mine = lambda d, *names: d.where(F.col(names[0]) % 2 == p).withColumns({c: F.floor(F.col(c) / 2) for c in names})
+        ranks = mine(order, "node")
+        via = cut(routing_tiles.arcs_with_via(mine(every, "from", "to", "mid"), nodes, edges.withColumn("costs", F.slice("cost", 2 * p + 1, 2))))
+        packed = tiles.with_bytes(routing_tiles.hierarchy_tiles(nodes, *routing_tiles.sides(via, ranks)), routing_tiles.pack_hierarchy_tile, "nodes")
+        return packed.select(F.lit(p).alias("profile"), "ix", "iy", F.length("data").alias("size"), F.md5("data").alias("md5"))
 
-    return _each_profile(written)
+    bicycle, foot = map(written, network.PROFILES)
+    return bicycle.unionByName(foot)
 
 
 def _manifests(spark, sf_dir):
@@ -189,16 +220,37 @@ _TYP = f"([{', '.join('NULL' if t is None else str(t) for t in TYPES)}])[tag_no
 _R = f"""{standins.oracle('area_points')}, r AS (SELECT area_id, ring, {_TYP} AS typ, count(*) AS n, min(lat7) AS s, max(lat7) AS nn, min(lon7) AS w, max(lon7) AS e, arg_min(lat7, seq) AS lat0 FROM area_points GROUP BY area_id, ring, tag_no),
   c AS (SELECT * FROM r WHERE typ IS NOT NULL AND (nn - s) / 1e7 * 110574.0 * ((e - w) / 1e7 * (111320.0 * cos(radians(lat0 / 1e7)))) >= ([3000, 400, 800, 4000, 0])[typ + 1])"""
 _F = lambda x, d: f"cast(floor({x} / {d}.0) AS BIGINT)"
+_AREAS = f"""{standins.oracle('area_points')}, s4 AS (SELECT CASE WHEN area_id % 3 = 0 THEN area_id * 2 + 1 ELSE area_id * 16 END AS area_id, CASE WHEN area_id % 3 = 0 THEN 1 - ring ELSE 0 END AS ring, CASE ring WHEN 0 THEN 'outer' ELSE 'inner' END AS role,
+  CASE WHEN area_id % 3 = 0 THEN 1 ELSE 0 END AS outer_no, {_TYP} AS typ, seq, lat7, lon7 FROM area_points)"""
 _ARCS = f"{GP._EDGES}, arcs AS (SELECT 0 AS profile, a AS f, b AS t, c0 AS w FROM edges UNION ALL SELECT 0, b, a, c1 FROM edges UNION ALL SELECT 1, a, b, c2 FROM edges UNION ALL SELECT 1, b, a, c3 FROM edges), best AS (SELECT profile, f, t, min(w) AS w FROM arcs WHERE w IS NOT NULL AND f <> t GROUP BY ALL)"
+_PICKED = "SELECT {p} AS profile, row_number() OVER (ORDER BY md5('{c}' || node)) - 1 AS pair_id, node FROM (SELECT DISTINCT f AS node FROM best WHERE profile = {p}) z QUALIFY pair_id < 100"
+_H2 = f"""{_ARCS}, ps AS ({_PICKED.format(p=0, c='s')} UNION ALL {_PICKED.format(p=1, c='s')}), pt AS ({_PICKED.format(p=0, c='t')} UNION ALL {_PICKED.format(p=1, c='t')}),
+  reach(profile, source, node, d) USING KEY (profile, source, node) AS (
+    SELECT profile, node, node, 0::BIGINT FROM ps
+    UNION
+    SELECT r.profile, r.source, a.t, min(r.d + a.w) AS d FROM reach r JOIN best a ON a.profile = r.profile AND a.f = r.node
+      LEFT JOIN recurring.reach k ON k.profile = r.profile AND k.source = r.source AND k.node = a.t
+    GROUP BY r.profile, r.source, a.t HAVING min(r.d + a.w) < coalesce(min(k.d), 9000000000000000)),
+  paths AS (SELECT profile, pair_id::INTEGER AS pair_id, ps.node AS s, pt.node AS t, r.d AS cost FROM ps JOIN pt USING (profile, pair_id) LEFT JOIN reach r USING (profile) WHERE r.source = ps.node AND r.node = pt.node
+    UNION ALL SELECT profile, pair_id::INTEGER, ps.node, pt.node, NULL FROM ps JOIN pt USING (profile, pair_id) WHERE NOT EXISTS (FROM reach r WHERE r.profile = ps.profile AND r.source = ps.node AND r.node = pt.node))"""
 _M = """WITH p AS (SELECT page_id, url || '#' || page_id AS path, encode(html) AS b, html FROM pages), src AS (SELECT path, octet_length(b)::BIGINT AS size, md5(html) AS md5 FROM p),
   ch AS (SELECT path, CASE WHEN page_id % 7 = 0 THEN html || 'x' WHEN page_id % 5 = 0 THEN '#' || substr(html, 2) ELSE html END AS h FROM p WHERE page_id % 11 <> 0),
   cp AS (SELECT path, strlen(h)::BIGINT AS size, md5(h) AS md5 FROM ch UNION ALL SELECT path || '.extra', 1, '' FROM p WHERE page_id % 13 = 0),
   cmp AS (SELECT coalesce(s.path, c.path) AS path, CASE WHEN s.path IS NULL THEN 'extra' WHEN c.path IS NULL THEN 'missing' WHEN s.size <> c.size THEN 'wrong size' WHEN s.md5 <> c.md5 THEN 'wrong content' ELSE 'ok' END AS status FROM src s FULL JOIN cp c ON s.path = c.path)"""
 ORACLES = {
-    "s4_stitched": standins.oracle("area_points") + " SELECT area_id, 0 AS ring, 'outer' AS role, count(*)::INTEGER AS n, string_agg(area_id * 8 + seq, ',' ORDER BY area_id * 8 + seq) AS refs FROM area_points WHERE ring = 0 GROUP BY area_id",
+    "s4_areas": f"{_AREAS} SELECT area_id, ring, role, outer_no AS outer, typ, count(*)::INTEGER AS n, string_agg(lat7 || ',' || lon7, ';' ORDER BY seq) AS line FROM s4 WHERE typ IS NOT NULL GROUP BY ALL",
+    "t2_b2_drawing_order": f"""{_AREAS}, r4 AS (SELECT area_id, ring, role, outer_no, typ, min(lat7) AS s, max(lat7) AS nn, min(lon7) AS w, max(lon7) AS e, arg_min(lat7, seq) AS lat0 FROM s4 WHERE typ IS NOT NULL AND NOT (typ = 4 AND role = 'inner') GROUP BY ALL),
+        c4 AS (SELECT * FROM r4 WHERE (nn - s) / 1e7 * 110574.0 * ((e - w) / 1e7 * (111320.0 * cos(radians(lat0 / 1e7)))) >= ([3000, 400, 800, 4000, 0])[typ + 1]),
+        k4 AS (SELECT c.*, CASE WHEN role = 'inner' THEN 1 ELSE 0 END AS hole FROM c4 c WHERE role = 'outer' OR EXISTS (FROM c4 o WHERE o.area_id = c.area_id AND o.ring = c.outer_no))
+        SELECT CASE WHEN typ = 4 THEN 'b' ELSE 'a' END AS layer, ix, iy, string_agg(typ || ':' || hole || ':' || area_id, ';' ORDER BY ([2, 3, 1, 0, 4])[typ + 1], hole, area_id, ring) AS polygons
+        FROM k4, unnest(range({_F('w', 300000)}, {_F('e', 300000)} + 1)) AS x(ix), unnest(range({_F('s', 200000)}, {_F('nn', 200000)} + 1)) AS y(iy) GROUP BY ALL""",
     "g6_cleaned": f"{_R} SELECT area_id, ring, typ, n::INTEGER AS n FROM c",
     "g7_cover": f"{_R} SELECT area_id, ring, ix, iy, {_F('w', 300000)} = {_F('e', 300000)} AND {_F('s', 200000)} = {_F('nn', 200000)} AS alone FROM c, unnest(range({_F('w', 300000)}, {_F('e', 300000)} + 1)) AS x(ix), unnest(range({_F('s', 200000)}, {_F('nn', 200000)} + 1)) AS y(iy)",
     "a5_h1_arcs": f'{_ARCS} SELECT profile, f AS "from", t AS "to", w FROM best',
+    "h2_shortest_paths": f"{_H2} SELECT profile, pair_id, s, t, cost FROM paths",
+    "h3_h4_h5_h6_hierarchy": f"{_H2} SELECT CASE WHEN cost IS NULL THEN 'unreachable' ELSE 'ok' END AS status, count(*) AS n FROM paths GROUP BY 1",
+    "h4_split": f"""{_ARCS}, w AS (SELECT f, t, w, f * 7919 % 50 AS rf, t * 7919 % 50 AS rt FROM best WHERE profile = 1)
+        SELECT f AS node, t AS "to", w, 'out' AS side FROM w WHERE rf <= rt UNION ALL SELECT t, f, w, 'in' FROM w WHERE rf >= rt""",
     "j11_comparison": f"{_M} SELECT * FROM cmp",
     "a10_outcomes": f"{_M} SELECT status, count(*) AS n FROM cmp GROUP BY status",
     "t4_report": f"{_M}, r AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY path) AS r, count(*) OVER (PARTITION BY status) AS n FROM cmp) SELECT status, path, greatest(n - 5, 0) AS rest FROM r WHERE r <= 5",
@@ -210,4 +262,4 @@ ORACLES = {
         i AS (SELECT *, row_number() OVER (ORDER BY {_F('lon7', 300000)}, {_F('lat7', 200000)}, ref) - 1 AS id FROM u)
         SELECT e.way_id, e.edge_no, e.piece, p.id AS new_a, q.id AS new_b, p.lat7 AS a_lat7, p.lon7 AS a_lon7, q.lat7 AS b_lat7, q.lon7 AS b_lon7 FROM edges e JOIN i p ON p.ref = e.a JOIN i q ON q.ref = e.b""",
 }
-QUERIES = {f.__name__: f for f in (s4_stitched, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, b3_geometry_tiles, b4_hierarchy_tiles, s7_file_manifest, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_j9_remapped_edges)}
+QUERIES = {f.__name__: f for f in (s4_areas, t2_b2_drawing_order, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, h4_split, b3_geometry_tiles, b4_hierarchy_tiles, s7_file_manifest, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_j9_remapped_edges)}
