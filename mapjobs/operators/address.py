@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from mapjobs.functions import geom as G, text as X
+from mapjobs.functions import geom as G, tags as R, text as X
 from mapjobs.operators import spatial
 from mapjobs.session import cut
 
@@ -13,10 +13,31 @@ REACH = {"city": 12000.0, "town": 5000.0, "village": 2000.0}
 NEAREST_DEG, NUMBER_DEG = 0.08, 0.006
 
 
+def municipality_objects(areas: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(municipalities (muni_id, level, name), their outer rings (poly, ring, seq, lat7, lon7)) of located rings (area_id, ring, role, tags, pts)."""
+    a = areas.where(R.municipality(R.of_map()) & (F.col("role") != "inner"))
+    munis = a.groupBy(F.col("area_id").alias("muni_id")).agg(F.first("tags").alias("tags")).select("muni_id", F.col("tags")["admin_level"].cast("int").alias("level"), F.col("tags")["name"].alias("name"))
+    return munis, a.select(F.col("area_id").alias("poly"), "ring", F.posexplode("pts").alias("seq", "p")).select("poly", "ring", "seq", "p.lat7", "p.lon7")
+
+
+def address_objects(nodes: DataFrame, ways: DataFrame, points: DataFrame) -> DataFrame:
+    """(obj_id, street, hn, lat7, lon7) of nodes (node_id, lat7, lon7, tags) and ways (way_id, tags) with a house number and a street.
+
+    obj_id is (0, node) or (1, way), so that nodes go before ways. A way lies at the mean of its located points (way_id, seq, lat7, lon7); a closed one
+    counts the point where it closes twice."""
+    t = R.of_map()
+    told = lambda kind, key: (F.struct(F.lit(kind).alias("type"), F.col(key).alias("id")).alias("obj_id"), t("addr:street").alias("street"), t("addr:housenumber").alias("hn"))
+    n = nodes.where(R.address(t)).select(*told(0, "node_id"), F.col("lat7").cast("double").alias("lat7"), F.col("lon7").cast("double").alias("lon7"))
+    w = ways.where(R.address(t))
+    mean = points.join(w.select("way_id"), "way_id", "left_semi").groupBy("way_id").agg(F.avg("lat7").alias("lat7"), F.avg("lon7").alias("lon7"))
+    return n.unionByName(w.join(mean, "way_id").select(*told(1, "way_id"), "lat7", "lon7"))
+
+
 def label_points(rings: DataFrame) -> DataFrame:
-    """(poly, lat, lon): mean of the vertices of the ring with the largest box. rings: (poly, ring, seq, lat7, lon7)."""
+    """(poly, lat, lon): mean of the vertices of the ring with the largest box, the one where it closes counted twice. rings: (poly, ring, seq, lat7, lon7)."""
     area = (F.max("lon7") - F.min("lon7")) * (F.max("lat7") - F.min("lat7"))
-    r = rings.groupBy("poly", "ring").agg(area.alias("box"), F.avg("lat7").alias("lat"), F.avg("lon7").alias("lon"))
+    mean = lambda c: (F.sum(c) + F.min_by(c, "seq")) / (F.count("*") + 1)
+    r = rings.groupBy("poly", "ring").agg(area.alias("box"), mean("lat7").alias("lat"), mean("lon7").alias("lon"))
     best = r.groupBy("poly").agg(F.max_by(F.struct("lat", "lon"), F.struct("box", -F.col("ring"))).alias("p"))
     return best.select("poly", "p.lat", "p.lon")
 
@@ -31,12 +52,12 @@ def kept_municipalities(munis: DataFrame, rings: DataFrame) -> DataFrame:
     return m.join(full, "muni_id", "left_anti")
 
 
-def street_ways(lines: DataFrame) -> DataFrame:
-    """(way_id, name, lat7, lon7, samples): the middle vertex, and every max(1, n // 12)-th one with the last. lines: (way_id, name, pts)."""
+def street_ways(lines: DataFrame, samples: int = 12) -> DataFrame:
+    """(way_id, name, lat7, lon7, samples): the middle vertex, and every max(1, n // ``samples``)-th one with the last. lines: (way_id, name, pts)."""
     mid = F.col("pts")[F.floor(F.size("pts") / 2).cast("int")]
-    every = F.greatest(F.lit(1), F.floor(F.size("pts") / 12)).cast("int")
-    samples = F.concat(F.filter("pts", lambda p, i: F.pmod(i, every) == 0), F.array(F.element_at("pts", -1)))
-    return lines.select("way_id", "name", mid["lat7"].alias("lat7"), mid["lon7"].alias("lon7"), samples.alias("samples"))
+    every = F.greatest(F.lit(1), F.floor(F.size("pts") / samples)).cast("int")
+    taken = F.concat(F.filter("pts", lambda p, i: F.pmod(i, every) == 0), F.array(F.element_at("pts", -1)))
+    return lines.select("way_id", "name", mid["lat7"].alias("lat7"), mid["lon7"].alias("lon7"), taken.alias("samples"))
 
 
 def municipality_of(streets: DataFrame, munis: DataFrame, rings: DataFrame) -> DataFrame:
@@ -62,10 +83,15 @@ def town_of(streets: DataFrame, munis: DataFrame, rings: DataFrame, places: Data
 
 
 def nearest_place(streets: DataFrame, places: DataFrame) -> DataFrame:
-    """(way_id, place_id): the nearest place nearer than 0.08 scaled degrees, the first of equal ones."""
+    """(way_id, place_id): the nearest place nearer than 0.08 scaled degrees, the first of equal ones.
+
+    An eighth of that is searched first, in cells as much smaller: where places are dense, few of them are met, and streets with an answer
+    take no part in the wide search."""
     o = places.select("place_id", F.col("lat7").alias("olat7"), F.col("lon7").alias("olon7"))
-    pairs = spatial.near(streets.select("way_id", "lat7", "lon7"), o, NEAREST_DEG).where(F.col("d2") < NEAREST_DEG**2)
-    return pairs.groupBy("way_id").agg(F.min_by("place_id", F.struct("d2", "place_id")).alias("place_id"))
+    best = lambda q, r: spatial.near(q, o, r).where(F.col("d2") < r**2).groupBy("way_id").agg(F.min_by("place_id", F.struct("d2", "place_id")).alias("place_id"))
+    q = streets.select("way_id", "lat7", "lon7")
+    close = cut(best(q, NEAREST_DEG / 8))
+    return close.unionByName(best(q.join(close, "way_id", "left_anti"), NEAREST_DEG))
 
 
 def streets(ways: DataFrame, munis: DataFrame, rings: DataFrame, places: DataFrame) -> DataFrame:
@@ -99,16 +125,27 @@ def house_numbers(addresses: DataFrame, streets: DataFrame) -> DataFrame:
     best = spatial.near(a, o, NUMBER_DEG, ["fold"]).groupBy("obj_id").agg(F.min_by("street_id", F.struct("d2", "street_id")).alias("street_id"), F.first(F.struct("number", "lat7", "lon7")).alias("n"))
     best = best.where("n.number <> ''")
     kept = best.groupBy("street_id", F.upper("n.number")).agg(F.min_by("n", "obj_id").alias("n"))
-    return kept.select("street_id", "n.number", "n.lat7", "n.lon7")
+    return kept.select("street_id", "n.number", F.rint("n.lat7").cast("long").alias("lat7"), F.rint("n.lon7").cast("long").alias("lon7"))
+
+
+def summary(places: DataFrame, streets: DataFrame, numbers: DataFrame) -> DataFrame:
+    """One row with the numbers of places, streets and house numbers of the written tables."""
+    count = lambda d, name: d.agg(F.count("*").alias(name))
+    return count(places, "places").join(F.broadcast(count(streets, "streets"))).join(F.broadcast(count(numbers, "numbers")))  # one row each
+
 
+def running_before(df: DataFrame, order: list, sums: dict[str, str]) -> DataFrame:
+    """df with, for each (name: value) of ``sums``, the sum of ``value`` over all rows before each one in ``order``.
 
-def running_before(df: DataFrame, part: Column, order: list, value: str, name: str) -> DataFrame:
-    """df with the sum of ``value`` over all rows before each one in the order (part, order): a prefix sum over the parts' totals, and one within each part."""
-    d = df.withColumn("__part", part)
-    totals = d.groupBy("__part").agg(F.sum(value).alias("__t"))
-    totals = totals.select("__part", F.coalesce(F.sum("__t").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__b"))
-    within = F.coalesce(F.sum(value).over(W.partitionBy("__part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return d.withColumn("__w", within).join(totals, "__part").withColumn(name, (F.col("__b") + F.col("__w")).cast("long")).drop("__part", "__w", "__b")
+    Rows are dealt into ranges of the order, about equal ones whatever the values; one window runs over the ranges' totals, and one within each range."""
+    d = cut(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    ahead = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    totals = d.groupBy("__part").agg(*[F.sum(v).alias(f"__t_{n}") for n, v in sums.items()])
+    totals = totals.select("__part", *[F.coalesce(F.sum(f"__t_{n}").over(ahead), F.lit(0)).alias(f"__b_{n}") for n in sums])
+    here = W.partitionBy("__part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    within = {f"__w_{n}": F.coalesce(F.sum(v).over(here), F.lit(0)) for n, v in sums.items()}
+    out = d.withColumns(within).join(totals, "__part").withColumns({n: (F.col(f"__b_{n}") + F.col(f"__w_{n}")).cast("long") for n in sums})
+    return out.drop("__part", *within, *[f"__b_{n}" for n in sums])
 
 
 def address_tables(streets: DataFrame, numbers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -116,16 +153,14 @@ def address_tables(streets: DataFrame, numbers: DataFrame) -> tuple[DataFrame, D
 
     places: pos, fold, name, lat7, lon7, first_street, streets. streets: pos, fold, name, sub, lat7, lon7, first_number, numbers. numbers: pos, number,
     lat7, lon7. Places go by folded name, streets by place, folded name and part of town, numbers by street, digits and text. Places without streets
-    do not occur. All running positions are two-phase sums by the first two letters of the place.
+    do not occur. All running positions are two-phase sums (``running_before``).
     """
     counts = numbers.groupBy("street_id").agg(F.count("*").alias("numbers"))
     s = streets.join(counts, "street_id", "left").withColumn("numbers", F.coalesce("numbers", F.lit(0))).withColumn("one", F.lit(1)).withColumn("mfold", X.fold(F.col("muni_name")))
-    letters = F.substring("mfold", 1, 2)
     order = ["mfold", "muni", "fold", F.coalesce("sub", F.lit("")), "street_id"]
-    s = cut(s)  # one row per street: the order, both sums and the places read it
-    s = running_before(running_before(s, letters, order, "one", "pos"), letters, order, "numbers", "first_number")
+    s = cut(running_before(s, order, {"pos": "one", "first_number": "numbers"}))  # the places and the numbers start from it
     p = s.groupBy("muni", "mfold", "muni_name", "mlat7", "mlon7").agg(F.min("pos").alias("first_street"), F.count("*").alias("streets")).withColumn("one", F.lit(1))
-    p = running_before(p, letters, ["mfold", "muni"], "one", "pos")
+    p = running_before(p, ["mfold", "muni"], {"pos": "one"})
     n = numbers.join(s.select("street_id", "first_number"), "street_id")
     rank = F.row_number().over(W.partitionBy("street_id").orderBy(X.number_key(F.col("number")), "number")) - 1
     whole = lambda c: F.rint(c).cast("long")
@@ -145,4 +180,4 @@ def name_pool(places: DataFrame, streets: DataFrame) -> DataFrame:
     every = s.unionByName(p).select("k", "kind", F.explode("ns").alias("n")).where("n.name is not null")
     first = every.groupBy("n.name").agg(F.min(F.struct("k", "kind", "n.i")).alias("u")).withColumn("name", X.cut_bytes(F.col("name"), 120))
     first = first.withColumn("bytes", (F.octet_length("name") + 1).cast("long"))
-    return running_before(first, F.floor(F.col("u.k") / 4096), ["u"], "bytes", "at").select("name", "at")
+    return running_before(first, ["u"], {"at": "bytes"}).select("name", "at")

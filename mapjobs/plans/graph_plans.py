@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from mapjobs.functions import geom as G, tags as R
-from mapjobs.operators import graph, tiles
+from mapjobs.operators import address, graph, tiles
 from mapjobs.plans import tag_plans as P
 from mapjobs.session import shared_dir
 from mapjobs.sources import objects, standins
@@ -158,11 +158,8 @@ def g9_inner_deltas(spark, sf_dir):
 
 
 def g10_midpoints(spark, sf_dir):
-    lines = objects.as_lines(standins.view(spark, sf_dir, "way_nodes"))
-    mid = F.col("pts")[F.floor(F.size("pts") / 2).cast("int")]
-    every = F.greatest(F.lit(1), F.floor(F.size("pts") / 3)).cast("int")
-    samples = F.concat(F.filter("pts", lambda p, i: F.pmod(i, every) == 0), F.array(F.element_at("pts", -1)))
-    return lines.select("way_id", mid["lat7"].alias("lat7"), mid["lon7"].alias("lon7"), _text(samples, "lat7", "lon7").alias("samples"))
+    lines = objects.as_lines(standins.view(spark, sf_dir, "way_nodes")).withColumn("name", F.lit(""))
+    return address.street_ways(lines, samples=3).select("way_id", "lat7", "lon7", _text("samples", "lat7", "lon7").alias("samples"))
 
 
 _SEG = "hypot((lon7 - lag(lon7) OVER w) / 1e7 * 111320.0 * cos(radians(first_value(lat7) OVER w / 1e7)), (lat7 - lag(lat7) OVER w) / 1e7 * 110574.0)"

@@ -283,11 +283,174 @@ def test_far_pairs_and_both_profiles(spark, monkeypatch):
 
     rows = [(1, 0, 0, 1, 2, [9000, 9000, 15000, 15000]), (1, 1, 0, 2, 3, [9000, 9000, 15000, 15000]), (2, 0, 0, 4, 5, [7, None, None, None]), (3, 0, 0, 3, 1, [40000, 40000, 5, None])]
     e = spark.createDataFrame(rows, "way_id long, edge_no int, piece int, a long, b long, cost array<int>")
-    monkeypatch.setattr(area_plans, "_edges", lambda spark, sf_dir: e)
-    got = {(r.profile, r.pair_id): r.cost for r in area_plans.h2_shortest_paths(spark, "").collect()}
-    assert got == {(0, 1): 18000, (0, 2): 7, (0, 3): 18000, (1, 1): 30000, (1, 2): None, (1, 3): 5}
-    counts = {}
-    for r in area_plans.h3_h4_h5_h6_hierarchy(spark, "").collect():
-        counts.setdefault(r.profile, {})[r.status] = r.n
-    assert set(counts) == {0, 1} and all("wrong" not in c for c in counts.values())
-    assert [sum(counts[p].values()) for p in (0, 1)] == [4, 3]
+    monkeypatch.setattr(area_plans.GP, "_edges", lambda spark, sf_dir: e)
+    far = 10**9
+    for p, nodes in ((0, (1, 2, 3, 4)), (1, (1, 2, 3))):
+        d = {(a, b): 0 if a == b else far for a in range(1, 6) for b in range(1, 6)}
+        for _, _, _, a, b, c in rows:
+            d[a, b], d[b, a] = min(d[a, b], c[2 * p] or far), min(d[b, a], c[2 * p + 1] or far)
+        for k in range(1, 6):
+            for a, b in d:
+                d[a, b] = min(d[a, b], d[a, k] + d[k, b])
+        got = [r for r in area_plans.h2_shortest_paths(spark, "").collect() if r.profile == p]
+        assert sorted(r.s for r in got) == sorted(r.t for r in got) == list(nodes)
+        assert all((far if r.cost is None else r.cost) == d[r.s, r.t] for r in got)
+    counts = {r.status: r.n for r in area_plans.h3_h4_h5_h6_hierarchy(spark, "").collect()}
+    assert set(counts) <= {"ok", "unreachable"} and sum(counts.values()) == 7
+
+
+def test_costs_must_settle(spark):
+    arcs = spark.createDataFrame([(i, i + 1, 1) for i in range(9)], "from long, to long, w long")
+    s = spark.createDataFrame([(0,)], "source long")
+    assert {r.node: r.d for r in network.distances(arcs, s).collect()} == {i: i for i in range(10)}
+    assert {r.node for r in network.distances(arcs, s, hops=1, limit=3).collect()} == {0, 1, 2, 3}
+    with pytest.raises(RuntimeError):
+        network.distances(arcs, s, hops=1, most_rounds=4)
+
+
+def polygon_area(p):
+    x, y = np.asarray(p, float).T
+    return abs((x * np.roll(y, 1) - y * np.roll(x, 1)).sum()) / 2
+
+
+def test_areas_from_ways_and_relations(spark):
+    at = {i: (i * 10, 0) for i in range(100)}
+    square = lambda first, y, x, size: {first: (y, x), first + 1: (y, x + size), first + 2: (y + size, x + size), first + 3: (y + size, x)}
+    pos = square(0, 0, 0, 100_000) | square(10, 20_000, 20_000, 10_000) | square(20, 500_000, 500_000, 200_000) | square(30, 550_000, 550_000, 1000) | square(40, 900_000, 0, 10) | square(50, 510_000, 510_000, 100_000)
+    nodes = spark.createDataFrame([(i, *p) for i, p in pos.items()], "node_id long, lat7 long, lon7 long")
+    ways = [(1, [0, 1, 2, 3, 0], {"landuse": "forest"}), (2, [0, 1, 2, 3, 0], {"area": "no", "leisure": "park"}), (3, [0, 1, 2], {"natural": "water"}), (4, [0, 1, 0], {"natural": "water"}),
+            (11, [0, 1, 2], {}), (12, [0, 3, 2], {}), (13, [10, 11, 12, 13, 10], {}), (14, [20, 21, 22, 23, 20], {}), (15, [33, 32, 31, 30, 33], {}), (16, [40, 41, 42, 43, 40], {}), (17, [50, 51, 52, 53, 50], {})]
+    m = lambda *x: [Row(type="way", ref=r, role=role) for r, role in x]
+    relations = [(7, m((11, "outer"), (13, "inner"), (16, "inner"), (12, ""), (14, "outer"), (15, "inner"), (17, "outer")), {"type": "multipolygon", "natural": "water"}), (8, m((14, "outer")), {"type": "route"})]
+    w = spark.createDataFrame(ways, "way_id long, refs array<long>, tags map<string,string>")
+    r = spark.createDataFrame(relations, "rel_id long, members array<struct<type:string,ref:long,role:string>>, tags map<string,string>")
+    rings = areas.located_rings(areas.assembled(w, r), nodes)
+    got = areas.with_outer(rings).collect()
+    by = {}
+    for x in got:
+        by.setdefault(x.area_id, []).append(x)
+    assert set(by) == {2, 15, 26, 28, 30, 32, 34} and len(by[2]) == 1  # way 2 is no area, ways 3 and 4 are none
+    corner = lambda x: min((p.lat7, p.lon7) for p in x.pts)
+    name = {x.ring: corner(x) for x in by[15]}
+    assert sorted(corner(x) for x in by[15] if x.role == "outer") == [(0, 0), (500_000, 500_000), (510_000, 510_000)]
+    holes = {corner(x): name[x.outer] for x in by[15] if x.role == "inner"}
+    assert holes == {(20_000, 20_000): (0, 0), (550_000, 550_000): (510_000, 510_000)}  # the smaller of two; the third hole lies in none
+
+
+def test_stitching_is_linear(spark):
+    n = 20_000
+    rows = [(1, i, "outer", [i, (i + 1) % n] if i % 2 else [(i + 1) % n, i]) for i in range(n)]
+    random.Random(1).shuffle(rows)
+    d = spark.createDataFrame([(a, k, b, c) for k, (a, _, b, c) in enumerate(rows)], "area_id long, seq int, role string, refs array<long>")
+    assert [len(r.refs) for r in areas.stitched(d).collect()] == [n]
+
+
+def test_clipping_by_halves():
+    r = np.random.default_rng(3)
+    angle = np.sort(r.uniform(0, 2 * math.pi, 400))
+    radius = r.uniform(0.3, 1.0, 400)
+    p = np.stack([np.cos(angle) * radius * 9_000_000 - 100_000, np.sin(angle) * radius * 5_000_000 + 50_000], 1).round()
+    got = {(ix, iy): q for ix, iy, q in areas.tiles_of(p)}
+    assert len(got) > 1000 and math.isclose(sum(map(polygon_area, got.values())), polygon_area(p), rel_tol=1e-9)
+    for ix, iy in [*got][::37]:
+        x, y, q = ix * G.TILE_LON7, iy * G.TILE_LAT7, p
+        for axis, at, above in ((0, x, True), (0, x + G.TILE_LON7, False), (1, y, True), (1, y + G.TILE_LAT7, False)):
+            q = areas.clip_half(q, axis, at, above)
+        assert math.isclose(polygon_area(q), polygon_area(got[ix, iy]), rel_tol=1e-6, abs_tol=1.0)
+
+
+def test_holes_and_buildings(spark):
+    ring = lambda y, x, size: [Row(seq=k, lat7=y + a * size, lon7=x + b * size) for k, (a, b) in enumerate(((0, 0), (0, 1), (1, 1), (1, 0)))]
+    rows = [(1, 0, "outer", 0, 2, ring(0, 0, 150_000)), (1, 1, "inner", 0, 2, ring(20_000, 20_000, 50_000)), (2, 0, "outer", 0, 2, ring(0, 0, 10)), (2, 1, "inner", 0, 2, ring(0, 0, 90_000)), (3, 0, "outer", 0, 4, ring(0, 0, 5000)), (3, 1, "inner", 0, 4, ring(1000, 1000, 1000))]
+    d = spark.createDataFrame(rows, "area_id long, ring int, role string, outer int, typ int, pts array<struct<seq:int,lat7:long,lon7:long>>")
+    of = lambda x: sorted((r.area_id, r.ring, r.hole) for r in x.collect())
+    assert of(areas.drawn(d)) == [(1, 0, 0), (1, 1, 1)]  # the tiny outer ring takes its large hole along
+    both = areas.drawn(d, buildings=True)
+    assert of(both) == [(1, 0, 0), (1, 1, 1), (3, 0, 0)]
+    p = areas.clipped(both)
+    (a,), (b,) = areas.area_tiles(p).collect(), areas.area_tiles(p, True).collect()
+    assert [(x.typ, x.hole) for x in a.polygons] == [(2, 0), (2, 1)] and [(x.typ, x.hole) for x in b.polygons] == [(4, 0)]
+    assert tiles.pack_area_tile(b.polygons, building=True)[:4] == b"B\x01\x01\x00"
+
+
+def test_points_in_odd_polygons(spark):
+    r = random.Random(5)
+    polys = []
+    for k in range(12):
+        cx, cy, n = r.randint(-2_000_000, 2_000_000), r.randint(-1_000_000, 1_000_000), r.randint(3, 40)
+        size = r.choice((30_000, 300_000, 3_000_000))
+        polys.append([(cx + int(math.cos(a) * size * q), cy + int(math.sin(a) * size * q)) for a, q in zip(sorted(r.uniform(0, 6.283) for _ in range(n)), (r.uniform(0.2, 1) for _ in range(n)))])
+    polys.append([(0, 0), (600_000, 0), (600_000, 400_000), (0, 400_000)])  # along grid lines
+    points = [(r.randint(-3_000_000, 3_000_000), r.randint(-2_000_000, 2_000_000)) for _ in range(600)] + [p for q in polys for p in q] + [(300_000 * i, 200_000 * j) for i in range(-3, 4) for j in range(-3, 4)]
+    rings = spark.createDataFrame([(k, 0, i, y, x) for k, q in enumerate(polys) for i, (x, y) in enumerate(q)], "poly int, ring int, seq int, lat7 long, lon7 long")
+    d = spark.createDataFrame([(i, y, x) for i, (x, y) in enumerate(points)], "pid int, lat7 long, lon7 long")
+
+    def inside(x, y, q):
+        odd = False
+        for (x0, y0), (x1, y1) in zip(q, [q[-1], *q]):
+            if (y0 > y) != (y1 > y) and x < (x1 - x0) * (y - y0) / (y1 - y0) + x0:
+                odd = not odd
+        return odd
+    want = {(i, k) for i, (x, y) in enumerate(points) for k, q in enumerate(polys) if inside(x, y, q)}
+    assert {(r.pid, r.poly) for r in spatial.points_in_polygons(d, spatial.ring_edges(rings)).collect()} == want
+
+
+def test_running_sums(spark):
+    r = random.Random(6)
+    rows = [(i, r.choice("abcdefgh") * r.randint(1, 3), r.randint(0, 9)) for i in range(500)]
+    d = spark.createDataFrame(rows, "i int, k string, v long").withColumn("one", F.lit(1)).repartition(7)
+    got = {x.i: (x.pos, x.before) for x in address.running_before(d, ["k", "i"], {"pos": "one", "before": "v"}).collect()}
+    total = 0
+    for pos, (i, _, v) in enumerate(sorted(rows, key=lambda x: (x[1], x[0]))):
+        assert got[i] == (pos, total)
+        total += v
+
+
+def test_routing_tiles(spark):
+    import struct
+
+    from mapjobs.operators import routing_tiles
+
+    p = lambda *x: [Row(lat7=a, lon7=b) for a, b in x]
+    rows = [(1, 0, 0, 10, 11, 123.44, p((100, 100), (5000, 5000), (100, 9000)), 3, 1, "High Street", [50, None, 70, 70], 3), (1, 1, 0, 11, 12, 7000.0, p((100, 9000), (100, 400_000)), 3, 0, None, [70_000, 70_000, None, None], 1), (2, 0, 0, 12, 10, 10.0, p((100, 400_000), (100, 100)), 5, 2, "High Street", [1, 1, 1, 1], 3)]
+    e = spark.createDataFrame(rows, "way_id long, edge_no int, piece int, a long, b long, length double, pts array<struct<lat7:long,lon7:long>>, cls int, flags int, name string, cost array<long>, main_mask int")
+    nodes, edges = routing_tiles.numbered(e)
+    ids = {r.node_id: r.new_id for r in nodes.collect()}
+    assert ids == {10: 0, 11: 1, 12: 2}
+    packed = {(r.ix, r.iy): r.data for r in tiles.with_bytes(routing_tiles.geometry_tiles(nodes, edges), routing_tiles.pack_geometry_tile, "nodes", "edges", "strings").collect()}
+    assert set(packed) == {(0, 0), (1, 0)}
+    b = packed[0, 0]
+    magic, version, n, m, names, strings = struct.unpack_from("<BBHHHI", b)
+    assert (chr(magic), version, n, m, names) == ("G", 1, 2, 2, 1)
+    assert [struct.unpack_from("<iiB3x", b, 12 + 12 * i) for i in range(2)] == [(100, 100, 2), (100, 9000, 2)]
+    first = struct.unpack_from("<IIiiiiHBBBBHH4H", b, 36)
+    assert first == (0, 1, 100, 100, 100, 9000, 1234, 3, 1, 1, 3, 0, 0, 50, 65535, 70, 70)
+    second = struct.unpack_from("<IIiiiiHBBBBHH4H", b, 36 + 42)
+    assert second[6:] == (65535, 3, 0, second[9], 1, 65535, 1, 65534, 65534, 65535, 65535)
+    assert struct.unpack_from("<hh", b, 36 + 84) == (490, 490) and b[strings:] == struct.pack("<H", 0) + bytes([11]) + b"High Street"
+    # the hierarchy: arcs 10 -> 11 -> 12 on foot-like costs, 11 contracted first
+    arcs = spark.createDataFrame([(10, 11, 5, None), (11, 12, 6, None), (10, 12, 11, 11)], "from long, to long, w long, mid long")
+    ranks = spark.createDataFrame([(11, 0), (10, 1), (12, 2)], "node long, turn int")
+    via = routing_tiles.arcs_with_via(arcs, nodes, edges.withColumn("costs", F.array(F.lit(5).cast("long"), F.lit(None).cast("long"))))
+    up, down = routing_tiles.sides(via, ranks)
+    got = {}
+    for r in tiles.with_bytes(routing_tiles.hierarchy_tiles(nodes, up, down), routing_tiles.pack_hierarchy_tile, "nodes").collect():
+        magic, version, n, _ = struct.unpack_from("<BBHH", r.data)
+        at = struct.unpack_from(f"<{n + 1}I", r.data, 6)
+        assert chr(magic) == "C" and at[-1] == len(r.data)
+        for i in range(n):
+            out, into = struct.unpack_from("<HH", r.data, at[i])
+            got[(r.ix, i)] = [[struct.unpack_from("<III", r.data, at[i] + 4 + 12 * k) for k in range(a, z)] for a, z in ((0, out), (out, out + into))]
+    original = routing_tiles.ORIGINAL
+    assert got[0, 0] == [[(2, 11, 1)], []] and got[1, 0] == [[], []]  # 10: the shortcut over 11
+    assert got[0, 1] == [[(2, 6, original + 2 * 1)], [(0, 5, original + 0)]]
+
+
+def test_address_objects(spark):
+    nodes = spark.createDataFrame([(1, 10, 20, {"addr:housenumber": "4", "addr:street": "A"}), (2, 10, 20, {"addr:housenumber": "5"}), (3, 1, 1, {})], "node_id long, lat7 long, lon7 long, tags map<string,string>")
+    ways = spark.createDataFrame([(1, {"addr:housenumber": "6", "addr:street": "B", "building": "yes"}), (2, {"addr:street": "B"})], "way_id long, tags map<string,string>")
+    points = spark.createDataFrame([(1, 0, 0, 0), (1, 1, 0, 30), (1, 2, 30, 30), (1, 3, 0, 0), (2, 0, 5, 5)], "way_id long, seq int, lat7 long, lon7 long")
+    got = sorted((r.obj_id.type, r.obj_id.id, r.street, r.hn, r.lat7, r.lon7) for r in address.address_objects(nodes, ways, points).collect())
+    assert got == [(0, 1, "A", "4", 10.0, 20.0), (1, 1, "B", "6", 7.5, 15.0)]
+    streets = spark.createDataFrame([(9, "B", [Row(lat7=0, lon7=0)])], "street_id long, fold string, samples array<struct<lat7:long,lon7:long>>")
+    assert [tuple(r) for r in address.house_numbers(address.address_objects(nodes, ways, points), streets).collect()] == [(9, "6", 8, 15)]
