@@ -42,9 +42,9 @@ def spans(points: DataFrame, from_edge: bool = False) -> DataFrame:
     lines = p.groupBy("way_id").agg(F.array_sort(F.collect_list(F.struct("seq", "ref", "lat7", "lon7", "cum", "is_break"))).alias("pts"))
     at = F.filter(F.transform("pts", lambda x, i: F.when(x["is_break"], i)), lambda i: i.isNotNull())
     e = lines.withColumn("at", at).where(F.size("at") >= 2)
-    e = e.select("way_id", "pts", "at", F.explode(F.sequence(F.lit(0), F.size("at") - 2)).alias("edge_no"))
-    s, t = F.col("at")[F.col("edge_no")], F.col("at")[F.col("edge_no") + 1]
-    e = e.select("way_id", "edge_no", F.slice("pts", s + 1, t - s + 1).alias("pts"))
+    # points are cut before rows are made, so no row carries more than its own
+    cut = lambda i: F.struct(i.alias("edge_no"), F.slice("pts", F.col("at")[i] + 1, F.col("at")[i + 1] - F.col("at")[i] + 1).alias("pts"))
+    e = e.select("way_id", F.explode(F.transform(F.sequence(F.lit(0), F.size("at") - 2), cut)).alias("x")).select("way_id", "x.edge_no", "x.pts")
     head, tail = F.col("pts")[0], F.element_at("pts", -1)
     e = e.withColumn("total", tail["cum"] - head["cum"]).where((F.col("total") > 0) | (head["ref"] != tail["ref"]))
     last = F.size("pts") - 1

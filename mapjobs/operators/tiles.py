@@ -126,6 +126,10 @@ def bundle_directory(tiles: DataFrame, side: int = G.SIDE) -> DataFrame:
 # --- binary tiles: the little-endian layouts of the device, packed row by row from nested rows ---------------------------------
 
 
+class TooMany(ValueError):
+    """A tile has more members than its layout can count."""
+
+
 def _strings(items) -> bytes:
     return b"".join(bytes([len(b)]) + b for b in (s.encode() for s in items))
 
@@ -133,7 +137,7 @@ def _strings(items) -> bytes:
 def pack_road_tile(ways, strings) -> bytes:
     """B1: header 'M', version, counts; per way class, flags, name index (65535 for none), points; string table."""
     if len(ways) > 65535 or len(strings) > 65534:
-        raise ValueError("too many ways or names for one tile")
+        raise TooMany("too many ways or names for one tile")
     out = [struct.pack("<BBHH", ord("M"), 1, len(ways), len(strings))]
     for w in ways:
         out.append(struct.pack("<BBHH", w["cls"], w["flags"], 65535 if w["name_idx"] is None else int(w["name_idx"]), len(w["pts"])))
@@ -144,7 +148,7 @@ def pack_road_tile(ways, strings) -> bytes:
 def pack_area_tile(polygons, building: bool = False) -> bytes:
     """B2: header 'A' or 'B'; per polygon type, hole flag, points."""
     if len(polygons) > 65535:
-        raise ValueError("too many polygons for one tile")
+        raise TooMany("too many polygons for one tile")
     out = [struct.pack("<BBH", ord("B" if building else "A"), 1, len(polygons))]
     for g in polygons:
         out.append(struct.pack("<BBH", g["typ"], g["hole"], len(g["pts"])))
@@ -164,12 +168,19 @@ def pack_bundle(slots, side: int = G.SIDE) -> bytes:
 
 
 def with_bytes(tiles: DataFrame, pack, *columns: str) -> DataFrame:
-    """tiles with ``data``, packed from nested columns; Arrow batches of tiles, no shuffle."""
+    """tiles with ``data``, packed from nested columns; Arrow batches of tiles, no shuffle. A tile with more members than the device's layout can count has
+    null data; its nested row is whole, and no other tile suffers."""
     schema = "ix long, iy long, data binary"
 
+    def packed(*row) -> bytes | None:
+        try:
+            return pack(*row)
+        except TooMany:
+            return None
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"ix": b["ix"], "iy": b["iy"], "data": [pack(*r) for r in zip(*(b[c] for c in columns))]})
+            yield pd.DataFrame({"ix": b["ix"], "iy": b["iy"], "data": [packed(*r) for r in zip(*(b[c] for c in columns))]})
 
     return tiles.select("ix", "iy", *columns).mapInPandas(run, schema)
 

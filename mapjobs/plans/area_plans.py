@@ -135,6 +135,19 @@ def h4_split(spark, sf_dir):
     return up.withColumn("side", F.lit("out")).unionByName(down.withColumn("side", F.lit("in")))
 
 
+def s6_route_summary(spark, sf_dir):
+    return routing_tiles.summary(*routing_tiles.numbered(_edges(spark, sf_dir)))
+
+
+def b3_tile_rows(spark, sf_dir):
+    """The geometry tiles' nested rows: counts, ends, masks, saturated lengths and costs, names."""
+    t = routing_tiles.geometry_tiles(*routing_tiles.numbered(network.main_mask(_edges(spark, sf_dir))))
+    text = lambda *xs: F.concat_ws(":", *[x.cast("string") for x in xs])
+    nodes = F.array_join(F.transform("nodes", lambda n: text(n["lat7"], n["lon7"], n["degree"])), ";")
+    edges = F.array_join(F.transform("edges", lambda e: F.concat_ws(":", text(e["new_a"], e["new_b"], e["dm"], e["cls"], e["flags"], e["main_mask"]), F.array_join(e["costs"].cast("array<string>"), ":"))), ";")
+    return t.select("ix", "iy", nodes.alias("nodes"), edges.alias("edges"), F.array_join(F.array_sort("strings"), "|").alias("strings"))
+
+
 def b3_geometry_tiles(spark, sf_dir):
     nodes, edges = routing_tiles.numbered(network.main_mask(_edges(spark, sf_dir)))
     packed = tiles.with_bytes(routing_tiles.geometry_tiles(cut(nodes), cut(edges)), routing_tiles.pack_geometry_tile, "nodes", "edges", "strings")
@@ -223,6 +236,18 @@ _F = lambda x, d: f"cast(floor({x} / {d}.0) AS BIGINT)"
 _AREAS = f"""{standins.oracle('area_points')}, s4 AS (SELECT CASE WHEN area_id % 3 = 0 THEN area_id * 2 + 1 ELSE area_id * 16 END AS area_id, CASE WHEN area_id % 3 = 0 THEN 1 - ring ELSE 0 END AS ring, CASE ring WHEN 0 THEN 'outer' ELSE 'inner' END AS role,
   CASE WHEN area_id % 3 = 0 THEN 1 ELSE 0 END AS outer_no, {_TYP} AS typ, seq, lat7, lon7 FROM area_points)"""
 _ARCS = f"{GP._EDGES}, arcs AS (SELECT 0 AS profile, a AS f, b AS t, c0 AS w FROM edges UNION ALL SELECT 0, b, a, c1 FROM edges UNION ALL SELECT 1, a, b, c2 FROM edges UNION ALL SELECT 1, b, a, c3 FROM edges), best AS (SELECT profile, f, t, min(w) AS w FROM arcs WHERE w IS NOT NULL AND f <> t GROUP BY ALL)"
+_MAIN = f"""{GP._EDGES}, ue AS (SELECT 0 AS p, a, b FROM edges WHERE coalesce(c0, c1) IS NOT NULL UNION ALL SELECT 1, a, b FROM edges WHERE coalesce(c2, c3) IS NOT NULL), und AS (SELECT p, a, b FROM ue WHERE a <> b UNION SELECT p, b, a FROM ue WHERE a <> b),
+  lab(p, node, root) USING KEY (p, node) AS (
+    SELECT DISTINCT p, a, a FROM und
+    UNION
+    SELECT l.p, u.b, min(l.root) FROM lab l JOIN und u ON u.p = l.p AND u.a = l.node LEFT JOIN recurring.lab k ON k.p = l.p AND k.node = u.b
+    GROUP BY l.p, u.b HAVING min(l.root) < min(k.root)),
+  sz AS (SELECT p, root, count(*) AS n FROM lab GROUP BY ALL), big AS (SELECT p, root FROM (SELECT *, max(n) OVER (PARTITION BY p) AS largest FROM sz) z WHERE n >= greatest(300, cast(floor(largest * 0.02) AS BIGINT))),
+  mn AS (SELECT lab.p, lab.node FROM lab JOIN big USING (p, root)),
+  masked AS (SELECT e.*, (CASE WHEN coalesce(c0, c1) IS NOT NULL AND EXISTS (FROM mn WHERE mn.p = 0 AND mn.node = e.a) THEN 1 ELSE 0 END + CASE WHEN coalesce(c2, c3) IS NOT NULL AND EXISTS (FROM mn WHERE mn.p = 1 AND mn.node = e.a) THEN 2 ELSE 0 END)::INTEGER AS main_mask FROM edges e)"""
+_NUMBERED = f"""u AS (SELECT DISTINCT n.ref, n.lat7, n.lon7, {_F('lon7', 300000)} AS ix, {_F('lat7', 200000)} AS iy FROM way_nodes n WHERE n.ref IN (SELECT a FROM edges UNION SELECT b FROM edges)),
+  i AS (SELECT *, row_number() OVER (ORDER BY ix, iy, ref) - 1 AS id FROM u)"""
+_SAT = lambda c: f"CASE WHEN {c} IS NULL THEN 65535 ELSE least({c}, 65534) END"
 _PICKED = "SELECT {p} AS profile, row_number() OVER (ORDER BY md5('{c}' || node)) - 1 AS pair_id, node FROM (SELECT DISTINCT f AS node FROM best WHERE profile = {p}) z QUALIFY pair_id < 100"
 _H2 = f"""{_ARCS}, ps AS ({_PICKED.format(p=0, c='s')} UNION ALL {_PICKED.format(p=1, c='s')}), pt AS ({_PICKED.format(p=0, c='t')} UNION ALL {_PICKED.format(p=1, c='t')}),
   reach(profile, source, node, d) USING KEY (profile, source, node) AS (
@@ -247,6 +272,13 @@ ORACLES = {
     "g6_cleaned": f"{_R} SELECT area_id, ring, typ, n::INTEGER AS n FROM c",
     "g7_cover": f"{_R} SELECT area_id, ring, ix, iy, {_F('w', 300000)} = {_F('e', 300000)} AND {_F('s', 200000)} = {_F('nn', 200000)} AS alone FROM c, unnest(range({_F('w', 300000)}, {_F('e', 300000)} + 1)) AS x(ix), unnest(range({_F('s', 200000)}, {_F('nn', 200000)} + 1)) AS y(iy)",
     "a5_h1_arcs": f'{_ARCS} SELECT profile, f AS "from", t AS "to", w FROM best',
+    "a6_main_mask": f"{_MAIN} SELECT way_id, edge_no, piece, main_mask FROM masked",
+    "s6_route_summary": f"{GP._EDGES}, {_NUMBERED} SELECT (SELECT count(*) FROM i) AS nodes, (SELECT count(*) FROM (SELECT DISTINCT ix, iy FROM i) z) AS tiles, (SELECT count(*) FROM edges) AS edges",
+    "b3_tile_rows": f"""{_MAIN}, {_NUMBERED}, dg AS (SELECT ref, count(*) AS degree FROM (SELECT a AS ref FROM edges UNION ALL SELECT b FROM edges) z GROUP BY ref),
+        nt AS (SELECT ix, iy, string_agg(lat7 || ':' || lon7 || ':' || least(degree, 255), ';' ORDER BY id) AS nodes FROM i JOIN dg USING (ref) GROUP BY ix, iy),
+        et AS (SELECT p.ix, p.iy, string_agg(p.id || ':' || q.id || ':' || least(round_even(length * 10, 0), 65535)::INTEGER || ':' || cls || ':' || flags || ':' || main_mask || ':' || {_SAT('c0')} || ':' || {_SAT('c1')} || ':' || {_SAT('c2')} || ':' || {_SAT('c3')}, ';' ORDER BY way_id, edge_no, piece) AS edges,
+          string_agg(DISTINCT m.name, '|' ORDER BY m.name) AS strings FROM masked m JOIN i p ON p.ref = m.a JOIN i q ON q.ref = m.b GROUP BY p.ix, p.iy)
+        SELECT nt.ix, nt.iy, nodes, coalesce(edges, '') AS edges, coalesce(strings, '') AS strings FROM nt LEFT JOIN et ON et.ix = nt.ix AND et.iy = nt.iy""",
     "h2_shortest_paths": f"{_H2} SELECT profile, pair_id, s, t, cost FROM paths",
     "h3_h4_h5_h6_hierarchy": f"{_H2} SELECT CASE WHEN cost IS NULL THEN 'unreachable' ELSE 'ok' END AS status, count(*) AS n FROM paths GROUP BY 1",
     "h4_split": f"""{_ARCS}, w AS (SELECT f, t, w, f * 7919 % 50 AS rf, t * 7919 % 50 AS rt FROM best WHERE profile = 1)
@@ -262,4 +294,4 @@ ORACLES = {
         i AS (SELECT *, row_number() OVER (ORDER BY {_F('lon7', 300000)}, {_F('lat7', 200000)}, ref) - 1 AS id FROM u)
         SELECT e.way_id, e.edge_no, e.piece, p.id AS new_a, q.id AS new_b, p.lat7 AS a_lat7, p.lon7 AS a_lon7, q.lat7 AS b_lat7, q.lon7 AS b_lon7 FROM edges e JOIN i p ON p.ref = e.a JOIN i q ON q.ref = e.b""",
 }
-QUERIES = {f.__name__: f for f in (s4_areas, t2_b2_drawing_order, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, h4_split, b3_geometry_tiles, b4_hierarchy_tiles, s7_file_manifest, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_j9_remapped_edges)}
+QUERIES = {f.__name__: f for f in (s4_areas, t2_b2_drawing_order, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, h4_split, s6_route_summary, b3_tile_rows, b3_geometry_tiles, b4_hierarchy_tiles, s7_file_manifest, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_j9_remapped_edges)}
