@@ -109,7 +109,7 @@ def links(fps: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by key; a key's rows may reach over several batches."""
-        rest_k, rest_f = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        rest: list[tuple[np.ndarray, np.ndarray]] = []  # of the last key so far
 
         def found(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
             new = np.concatenate([[True], k[1:] != k[:-1]]) if len(k) else np.zeros(0, bool)
@@ -123,15 +123,19 @@ def links(fps: DataFrame) -> DataFrame:
                 src.append(a), dst.append(b)
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64), pa.int64()) for x in (src, dst)], ["src", "dst"])
 
+        release()
         for batch in batches:
-            k = np.concatenate([rest_k, batch.column("key").to_numpy(zero_copy_only=False)])
-            f = np.concatenate([rest_f, batch.column("fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)])
+            k = batch.column("key").to_numpy(zero_copy_only=False)
+            f = batch.column("fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             if not len(k):
                 continue
             last = int(np.searchsorted(k, k[-1]))
-            yield found(k[:last], f[:last])
-            rest_k, rest_f = k[last:], f[last:]
-        yield found(rest_k, rest_f)
+            if last or (rest and rest[0][0][0] != k[0]):
+                yield found(*(np.concatenate(x) for x in zip(*rest, (k[:last], f[:last]))))
+                rest = []
+            rest.append((k[last:].copy(), f[last:].copy()))
+        if rest:
+            yield found(*(np.concatenate(x) for x in zip(*rest)))
 
     spread = fps.select(F.explode(keys).alias("key"), "fp")
     return spread.repartition("key").sortWithinPartitions("key").mapInArrow(run, "src long, dst long").distinct()
