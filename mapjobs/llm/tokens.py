@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from mapjobs.llm.common import crc32, held, slices, texts
+from mapjobs.llm.common import crc32, held, release, slices, texts
 from mapjobs.session import partitions, shared_dir
 
 CHUNKS = "shard long, chunk long, first long, n_ids long, planes string, plane_sizes array<int>, data binary, doc_no array<long>, doc_id array<long>, doc_at array<int>, doc_part array<int>"
@@ -184,7 +184,8 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int = 0,
 
     schema = _arrow(docs.sparkSession, CHUNKS)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    d = d.repartitionByRange(shards or partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")
+    # the second key deals rows that share one doc_id to as many tasks as they need; equal seeds give equal draws where a task is run again
+    d = d.repartitionByRange(shards or partitions(docs.sparkSession), "doc_id", F.rand(5)).sortWithinPartitions("doc_id")
     d.mapInArrow(chunks, CHUNKS).write.option("compression", "uncompressed").parquet(path)
 
 
@@ -197,7 +198,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     schema = _arrow(spark, PARTS)
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        release()
+        for batch in slices(batches, "data", 1 << 20):
             for r in batch.to_pylist():
                 ids = from_planes(r["data"], r["plane_sizes"], r["n_ids"], r["planes"])
                 ends = [*r["doc_at"][1:], r["n_ids"]]

@@ -295,6 +295,55 @@ def test_language_identification(spark, none):
     assert langid.predict(none, empty).count() == 0 and {r.lang_pred for r in langid.predict(d, empty).collect()} == {"und"}
 
 
+def test_language_identification_by_brute_force(spark):
+    rows = [(i, prose(i, r, s), lang) for i, (r, s, lang) in enumerate([(30, "der sch ung ü".split(), "de"), (40, "the ing er".split(), "en"), (35, "ción el que".split(), "es"), (20, "der sch".split(), "de"), (3, "the".split(), "en")])] + [(7, "Ŝ the der", "en"), (8, "x" * 300, "es")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(d, PIECES)
+    pieces, _ = public_pieces(PIECES)
+    whole = [p for p in pieces if not re.fullmatch("<0x..>", p)]
+    byte = {int(p[3:5], 16): p for p in pieces if re.fullmatch("<0x..>", p)}
+
+    def arcs(w):
+        """(start, end, pieces) of every arc."""
+        known = set(whole)
+        for j in range(1, len(w) + 1):
+            for i in range(max(0, j - 16), j):
+                if w[i:j] in known:
+                    yield i, j, [w[i:j]]
+            if w[j - 1] not in known:
+                yield j - 1, j, [byte[b] for b in w[j - 1].encode()]
+
+    def forward(w, p):
+        a = [1.0] + [0.0] * len(w)
+        for i, j, used in arcs(w):
+            a[j] += a[i] * math.prod(p[x] for x in used)
+        return a
+    words_of = lambda t: ["▁" + w for w in re.findall(r"[^\W\d_]+", t.lower())]
+    best = {}
+    for lang in ("de", "en", "es"):
+        p = dict.fromkeys(pieces, 1 / len(pieces))
+        for _ in range(2):
+            use = dict.fromkeys(pieces, 0.05)
+            for w in [w for _, t, x in rows if x == lang for w in words_of(t) if len(w) < 100]:
+                a, back = forward(w, p), [0.0] * len(w) + [1.0]
+                for i, j, used in sorted(arcs(w), key=lambda x: -x[1]):
+                    back[i] += back[j] * math.prod(p[x] for x in used)
+                for i, j, used in arcs(w):
+                    for x in used:
+                        use[x] += a[i] * math.prod(p[y] for y in used) * back[j] / a[-1]
+            p = {x: n / sum(use.values()) for x, n in use.items()}
+        best[lang] = p
+    at = [i for i, p in enumerate(pieces)]
+    for lang in ("de", "en"):
+        k = model.languages.index(lang)
+        assert np.allclose(np.exp(model.logp[at, k]), [best[lang][p] for p in pieces], rtol=1e-6)
+    for r in langid.predict(d.where("doc_id < 8"), model).collect():
+        t = rows[[x[0] for x in rows].index(r.doc_id)][1]
+        total = {k: math.log(sum(x == lang for *_, x in rows) / len(rows)) + sum(math.log(forward(w, {p: math.exp(model.logp[i, k]) for i, p in enumerate(pieces)})[-1]) for w in words_of(t)) for k, lang in enumerate(model.languages)}
+        top = max(total, key=total.get)
+        assert r.lang_pred == model.languages[top] and math.isclose(r.score, 1 / sum(math.exp(v - total[top]) for v in total.values()), rel_tol=1e-6)
+
+
 def test_toxicity(spark, none):
     rows = [(i, prose(i, 80) + (" you loser." if i % 4 == 0 else "") + (" the gay woman came. " if i % 7 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
     d = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(900, None), (901, ""), (3, "again")], "doc_id long, text string")
