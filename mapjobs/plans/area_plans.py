@@ -219,11 +219,23 @@ def u3_two_hops(spark, sf_dir):
     return network.cheapest(both).select("from", "to", "w")
 
 
-def j8_j9_remapped_edges(spark, sf_dir):
-    e = _edges(spark, sf_dir)
+def _dense(e):
     n = graph.node_table(e)
     n = n.withColumn("ix", F.floor(F.col("lon7") / 300000.0)).withColumn("iy", F.floor(F.col("lat7") / 200000.0))
-    ids = cut(tiles.with_dense_ids(n, ["node_id"], "new_id"))
+    return cut(tiles.with_dense_ids(n, ["node_id"], "new_id"))
+
+
+def j8_remapped_arcs(spark, sf_dir):
+    """Arcs on foot and paths of two of them, with the nodes' new numbers."""
+    e = _edges(spark, sf_dir)
+    a = cut(network.profile_arcs(e).where("profile = 1").select("from", "to", "w"))
+    both = a.withColumn("mid", F.lit(None).cast("long")).unionByName(network.two_hops(a, a.select(F.col("from").alias("node")).distinct()))
+    return network.remapped(both, _dense(e)).select("from", "to", "w", F.col("mid").isNull().alias("plain")).distinct()
+
+
+def j8_j9_remapped_edges(spark, sf_dir):
+    e = _edges(spark, sf_dir)
+    ids = _dense(e)
     for end in ("a", "b"):
         e = e.join(ids.select(F.col("node_id").alias(end), F.col("new_id").alias(f"new_{end}"), F.col("lat7").alias(f"{end}_lat7"), F.col("lon7").alias(f"{end}_lon7")), end)
     return e.select("way_id", "edge_no", "piece", "new_a", "new_b", "a_lat7", "a_lon7", "b_lat7", "b_lon7")
@@ -263,6 +275,18 @@ _M = """WITH p AS (SELECT page_id, url || '#' || page_id AS path, encode(html) A
   cp AS (SELECT path, strlen(h)::BIGINT AS size, md5(h) AS md5 FROM ch UNION ALL SELECT path || '.extra', 1, '' FROM p WHERE page_id % 13 = 0),
   cmp AS (SELECT coalesce(s.path, c.path) AS path, CASE WHEN s.path IS NULL THEN 'extra' WHEN c.path IS NULL THEN 'missing' WHEN s.size <> c.size THEN 'wrong size' WHEN s.md5 <> c.md5 THEN 'wrong content' ELSE 'ok' END AS status FROM src s FULL JOIN cp c ON s.path = c.path)"""
 ORACLES = {
+    "g5_simplified_ways": f"""{standins.oracle('way_nodes')}, ln AS (SELECT way_id, seq, lat7 / 1e7 * 110574.0 AS y, lon7 / 1e7 * (111320.0 * cos(radians(first_value(lat7) OVER (PARTITION BY way_id ORDER BY seq) / 1e7))) AS x, count(*) OVER (PARTITION BY way_id) AS n FROM way_nodes),
+        seg(way_id, a, b) AS (
+          SELECT way_id, min(seq), max(seq) FROM ln WHERE n >= 2 GROUP BY way_id
+          UNION ALL
+          SELECT way_id, CASE k WHEN 0 THEN a ELSE m END, CASE k WHEN 0 THEN m ELSE b END FROM (
+            SELECT way_id, a, b, arg_max(seq, (d2, -seq)) AS m FROM (
+              SELECT way_id, a, b, seq, pow(px - t * dx, 2) + pow(py - t * dy, 2) AS d2 FROM (
+                SELECT way_id, a, b, seq, px, py, dx, dy, CASE WHEN dx = 0 AND dy = 0 THEN 0 ELSE least(1, greatest(0, (px * dx + py * dy) / (dx * dx + dy * dy))) END AS t FROM (
+                  SELECT s.way_id, s.a, s.b, p.seq, p.x - f.x AS px, p.y - f.y AS py, e.x - f.x AS dx, e.y - f.y AS dy
+                  FROM seg s JOIN ln f ON f.way_id = s.way_id AND f.seq = s.a JOIN ln e ON e.way_id = s.way_id AND e.seq = s.b JOIN ln p ON p.way_id = s.way_id AND p.seq > s.a AND p.seq < s.b) z1) z2) z3
+            GROUP BY way_id, a, b HAVING max(d2) > 2000.0 * 2000.0) z4, (VALUES (0), (1)) AS v(k))
+        SELECT way_id, (2 + (count(*) - 1) // 2)::INTEGER AS n FROM seg GROUP BY way_id""",
     "s4_areas": f"{_AREAS} SELECT area_id, ring, role, outer_no AS outer, typ, count(*)::INTEGER AS n, string_agg(lat7 || ',' || lon7, ';' ORDER BY seq) AS line FROM s4 WHERE typ IS NOT NULL GROUP BY ALL",
     "t2_b2_drawing_order": f"""{_AREAS}, r4 AS (SELECT area_id, ring, role, outer_no, typ, min(lat7) AS s, max(lat7) AS nn, min(lon7) AS w, max(lon7) AS e, arg_min(lat7, seq) AS lat0 FROM s4 WHERE typ IS NOT NULL AND NOT (typ = 4 AND role = 'inner') GROUP BY ALL),
         c4 AS (SELECT * FROM r4 WHERE (nn - s) / 1e7 * 110574.0 * ((e - w) / 1e7 * (111320.0 * cos(radians(lat0 / 1e7)))) >= ([3000, 400, 800, 4000, 0])[typ + 1]),
@@ -290,8 +314,11 @@ ORACLES = {
     "s2_merged": "SELECT 'way' AS type, o_orderkey AS id, CASE WHEN o_orderkey % 3 > 0 AND o_custkey % 5 = 0 THEN 2 ELSE 1 END AS version FROM orders",
     "u3_two_hops": f"""{_ARCS}, foot1 AS (SELECT f, t, w FROM best WHERE profile = 1), y AS (SELECT f, t, w FROM foot1 UNION ALL SELECT i.f, o.t, i.w + o.w FROM foot1 i JOIN foot1 o ON i.t = o.f WHERE i.f <> o.t)
         SELECT f AS "from", t AS "to", min(w) AS w FROM y GROUP BY f, t""",
+    "j8_remapped_arcs": f"""{_ARCS}, {_NUMBERED}, foot1 AS (SELECT f, t, w FROM best WHERE profile = 1),
+        y AS (SELECT f, t, w, true AS plain FROM foot1 UNION ALL SELECT i.f, o.t, min(i.w + o.w), false FROM foot1 i JOIN foot1 o ON i.t = o.f WHERE i.f <> o.t GROUP BY i.f, o.t)
+        SELECT p.id AS "from", q.id AS "to", w, plain FROM y JOIN i p ON p.ref = y.f JOIN i q ON q.ref = y.t""",
     "j8_j9_remapped_edges": f"""{GP._EDGES}, u AS (SELECT DISTINCT n.ref, n.lat7, n.lon7 FROM way_nodes n WHERE n.ref IN (SELECT a FROM edges UNION SELECT b FROM edges)),
         i AS (SELECT *, row_number() OVER (ORDER BY {_F('lon7', 300000)}, {_F('lat7', 200000)}, ref) - 1 AS id FROM u)
         SELECT e.way_id, e.edge_no, e.piece, p.id AS new_a, q.id AS new_b, p.lat7 AS a_lat7, p.lon7 AS a_lon7, q.lat7 AS b_lat7, q.lon7 AS b_lon7 FROM edges e JOIN i p ON p.ref = e.a JOIN i q ON q.ref = e.b""",
 }
-QUERIES = {f.__name__: f for f in (s4_areas, t2_b2_drawing_order, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, h4_split, s6_route_summary, b3_tile_rows, b3_geometry_tiles, b4_hierarchy_tiles, s7_file_manifest, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_j9_remapped_edges)}
+QUERIES = {f.__name__: f for f in (s4_areas, t2_b2_drawing_order, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, h4_split, s6_route_summary, b3_tile_rows, b3_geometry_tiles, b4_hierarchy_tiles, s7_file_manifest, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_remapped_arcs, j8_j9_remapped_edges)}

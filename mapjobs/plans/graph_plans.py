@@ -36,7 +36,8 @@ def _text(pts, a="x", b="y"):
 def s3_j1_located_ways(spark, sf_dir):
     """Nodes whose id is a multiple of 7 have no position."""
     nodes = _nodes(spark, sf_dir).where("node_id % 7 <> 0")
-    lines = objects.as_lines(objects.located(_refs(spark, sf_dir), nodes))
+    ways = _refs(spark, sf_dir).groupBy("way_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "ref"))), lambda x: x["ref"]).alias("refs"))
+    lines = objects.as_lines(objects.located(objects.way_refs(ways), nodes))
     return lines.select("way_id", F.size("pts").alias("n"), _text("pts", "lat7", "lon7").alias("line"))
 
 
@@ -203,6 +204,16 @@ _FEATURES = f"""{BOTH}, {_SPLIT}, w AS (SELECT way_id, {P.CLASS_SQL} AS cls, (CA
 _COUNTS = f"{WN}, {_TILED}, t AS (SELECT ix, iy, count(*) AS n, (coalesce(sum(count(*)) OVER (ORDER BY ix, iy ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS first FROM n GROUP BY ix, iy)"
 
 ORACLES = {
+    "g9_inner_deltas": f"""{WN}, q AS (SELECT *, lag(lat7) OVER w AS pa, lag(lon7) OVER w AS po, max(seq) OVER (PARTITION BY way_id) AS last FROM way_nodes WINDOW w AS (PARTITION BY way_id ORDER BY seq)),
+        st AS (SELECT *, (floor(greatest(abs((lat7 - pa) / 10.0), abs((lon7 - po) / 10.0)) / 30000) + 1)::BIGINT AS steps FROM q WHERE seq > 0 AND seq < last),
+        stops AS (SELECT way_id, row_number() OVER (PARTITION BY way_id ORDER BY seq, k) AS i, (pa + floor((lat7 - pa) * k / steps::DOUBLE))::BIGINT AS la, (po + floor((lon7 - po) * k / steps::DOUBLE))::BIGINT AS lo FROM st, unnest(range(1, steps + 1)) AS u(k)),
+        fold(way_id, i, la, lo, dlat, dlon) AS (
+          SELECT way_id, 0::BIGINT, lat7, lon7, 0::BIGINT, 0::BIGINT FROM way_nodes WHERE seq = 0
+          UNION ALL
+          SELECT f.way_id, s.i, f.la + 10 * round_even((s.la - f.la) / 10.0, 0)::BIGINT, f.lo + 10 * round_even((s.lo - f.lo) / 10.0, 0)::BIGINT, round_even((s.la - f.la) / 10.0, 0)::BIGINT, round_even((s.lo - f.lo) / 10.0, 0)::BIGINT
+          FROM fold f JOIN stops s ON s.way_id = f.way_id AND s.i = f.i + 1),
+        d AS (SELECT *, count(*) OVER (PARTITION BY way_id) AS n FROM fold WHERE i > 0)
+        SELECT way_id, string_agg(dlat || ',' || dlon, ';' ORDER BY i) AS deltas FROM d WHERE n <= 12 OR i % (n // 12 + 1) = 0 GROUP BY way_id""",
     "s3_j1_located_ways": f"{WN} SELECT way_id, count(*)::INTEGER AS n, string_agg(lat7 || ',' || lon7, ';' ORDER BY seq) AS line FROM way_nodes WHERE ref % 7 <> 0 GROUP BY way_id HAVING count(*) >= 2",
     "a1_u1_breaks": f"{WN}, {_BREAKS.format(src='way_nodes')} SELECT ref, uses, is_break FROM br",
     "g1_tile_keys": f"{WN}, {_TILED} SELECT node_id, ix, iy, cast(floor(ix / 2.0) AS BIGINT) AS bx, cast(floor(iy / 2.0) AS BIGINT) AS by, (((iy % 2 + 2) % 2) * 2 + (ix % 2 + 2) % 2)::INTEGER AS slot FROM n",
