@@ -208,15 +208,16 @@ def _start(nodes: DataFrame, dim: int, tables: int, leaf: int, whole: int) -> Da
 
 
 def _messages(graph: DataFrame, most: int, hear: int, turn: int, all_centers: bool) -> DataFrame:
-    """(center, member, vec, kth, fresh), sorted by center: the vectors of the nodes that a center lists, and of ``hear`` of those that list it, drawn by a
-    hash of the turn. Centers to which nothing is fresh are left out, unless ``all_centers``."""
-    listed = graph.select(F.col("id").alias("center"), F.explode(F.arrays_zip("ids", "fresh")).alias("e")).select("center", F.col("e.ids").alias("member"), F.col("e.fresh").alias("fresh"))
-    back = listed.select(F.col("member").alias("center"), F.col("center").alias("member"), "fresh")
-    # the limit on the rank is applied before the shuffle too, so a hub gets few rows from each task
-    draw = F.row_number().over(W.partitionBy("center").orderBy(F.xxhash64("member", F.lit(turn)), "member"))
-    both = listed.unionByName(back.withColumn("r", draw).where(F.col("r") <= hear).drop("r"))
+    """(center, member, vec, kth, fresh), sorted by center: the vectors of the nodes that a center lists, and of some that list it, ``most`` + ``hear``
+    together, drawn by a hash of the turn. Centers to which nothing is fresh are left out, unless ``all_centers``."""
+    e = graph.select("id", F.explode(F.arrays_zip("ids", "fresh")).alias("e"))
+    way = lambda center, back, member: F.struct(F.col(center).alias("center"), F.lit(back).alias("back"), F.col(member).alias("member"), F.col("e.fresh").alias("fresh"))
+    both = e.select(F.explode(F.array(way("id", 0, "e.ids"), way("e.ids", 1, "id"))).alias("x")).select("x.*")
+    # one shuffle of ids; the limit on the rank is applied before it too, so a hub gets few rows from each task
+    w = W.partitionBy("center")
+    both = both.withColumn("r", F.row_number().over(w.orderBy("back", F.xxhash64("member", F.lit(turn)), "member"))).where(F.col("r") <= most + hear)
     if not all_centers:
-        both = both.join(both.where("fresh").select("center").distinct(), "center", "left_semi")
+        both = both.withColumn("any", F.max("fresh").over(w)).where("any")
     kth = F.when(F.size("ds") < most, F.lit(float("inf"))).otherwise(F.element_at("ds", -1))
     sent = both.join(graph.select(F.col("id").alias("member"), "vec", kth.alias("kth")), "member").select("center", "member", "vec", "kth", "fresh")
     return sent.repartition("center").sortWithinPartitions("center")
