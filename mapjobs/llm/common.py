@@ -53,8 +53,9 @@ def held(key: object, make: Callable[[], object]) -> object:
 
 def release() -> None:
     """Gives up what ``held`` keeps."""
-    _held.clear()
-    pa.default_memory_pool().release_unused()
+    if _held:
+        _held.clear()
+        pa.default_memory_pool().release_unused()
 
 
 def crc32(data: bytes) -> int:

@@ -49,3 +49,24 @@ def test_pipeline(spark, tmp_path):
     empty.write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_rows_that_share_an_id(spark, tmp_path):
+    """Every row is judged by itself: near copies, benchmark passages and mixing of rows that share a doc_id, or have none; columns of clashing names."""
+    item = prose(900, 40)
+    rows = [(9, prose(1, 80), "en", "a", "mine", 1, 5), (9, prose(2, 80), "en", "a", "mine", 2, 5), (9, f"{prose(3, 80)} {item}", "en", "b", "k", 3, 5), (9, prose(1, 80), "en", "a", "mine", 1, 5),
+            (None, prose(4, 80), "en", None, "x", 4, 5), (None, prose(5, 80), "de", "b", "y", 5, 5), (3, prose(5, 80), "de", "b", "z", 6, 5), (4, None, None, None, None, None, None), (5, "", "en", "a", "e", 1, 5)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, __key string, __times long, row int")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    same = lambda x: sorted(map(str, map(tuple, x)))
+    # null and empty texts are one group, and so are the two equal rows, and the copy without an id and row 3
+    got = corpus_pipeline.near_dedup(spark, d, str(tmp_path))
+    assert got.columns == d.columns and same(got.collect()) == same([rows[0], rows[1], rows[2], rows[4], rows[6], rows[7]])
+    got = corpus_pipeline.decontaminated(spark, d, str(tmp_path))
+    assert got.columns == d.columns and same(got.collect()) == same([r for r in rows if r != rows[2]])
+    got = corpus_pipeline.mixed(spark, d, str(tmp_path)).collect()
+    times = {}
+    for r in mixing.mix(d).collect():
+        times[r.doc_id, r.source] = r.repeats
+    assert same(got) == same([r for r in rows for _ in range(times[r[0], r[3]])])
+    assert same(corpus_pipeline.near_dedup(spark, d.limit(0), str(tmp_path)).collect()) == []
