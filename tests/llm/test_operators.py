@@ -300,12 +300,11 @@ def test_language_identification_by_brute_force(spark):
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = langid.train(d, PIECES)
     pieces, _ = public_pieces(PIECES)
-    whole = [p for p in pieces if not re.fullmatch("<0x..>", p)]
+    known = {p for p in pieces if not re.fullmatch("<0x..>", p)}
     byte = {int(p[3:5], 16): p for p in pieces if re.fullmatch("<0x..>", p)}
 
     def arcs(w):
         """(start, end, pieces) of every arc."""
-        known = set(whole)
         for j in range(1, len(w) + 1):
             for i in range(max(0, j - 16), j):
                 if w[i:j] in known:
@@ -331,15 +330,17 @@ def test_language_identification_by_brute_force(spark):
                 for i, j, used in arcs(w):
                     for x in used:
                         use[x] += a[i] * math.prod(p[y] for y in used) * back[j] / a[-1]
-            p = {x: n / sum(use.values()) for x, n in use.items()}
+            total = sum(use.values())
+            p = {x: n / total for x, n in use.items()}
         best[lang] = p
     at = [i for i, p in enumerate(pieces)]
     for lang in ("de", "en"):
         k = model.languages.index(lang)
         assert np.allclose(np.exp(model.logp[at, k]), [best[lang][p] for p in pieces], rtol=1e-6)
+    given = [{p: math.exp(model.logp[i, k]) for i, p in enumerate(pieces)} for k in range(3)]
     for r in langid.predict(d.where("doc_id < 8"), model).collect():
         t = rows[[x[0] for x in rows].index(r.doc_id)][1]
-        total = {k: math.log(sum(x == lang for *_, x in rows) / len(rows)) + sum(math.log(forward(w, {p: math.exp(model.logp[i, k]) for i, p in enumerate(pieces)})[-1]) for w in words_of(t)) for k, lang in enumerate(model.languages)}
+        total = {k: math.log(sum(x == lang for *_, x in rows) / len(rows)) + sum(math.log(forward(w, given[k])[-1]) for w in words_of(t)) for k, lang in enumerate(model.languages)}
         top = max(total, key=total.get)
         assert r.lang_pred == model.languages[top] and math.isclose(r.score, 1 / sum(math.exp(v - total[top]) for v in total.values()), rel_tol=1e-6)
 
