@@ -47,7 +47,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     d = keyed(docs)
     found = simhash.near_duplicates(d.select("doc_id", "text"))
     keep = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return d.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("row.*")
+    return d.select("doc_id", "row").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     null and word-less texts stay."""
     d = keyed(docs)
     judged = winnow.contamination(d.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return d.join(judged.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select("row.*")
+    return d.select("doc_id", "row").join(judged.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select("row.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
