@@ -75,4 +75,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": mixing.SQL}
+    return {"op9_mixing": mixing.SQL, "op10_winnowing": winnow.SQL}

@@ -242,3 +242,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, span: int = 13, k: i
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     sha = F.sha2(F.coalesce("items", F.lit("")).cast("binary"), 256)
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), sha.alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
+
+
+#: The contract's rule told plainly: every window of every item against every window of every document.
+SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT DISTINCT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[k:k + least(13, len(w)) - 1], ' ') AS t FROM i, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS u(k) WHERE len(w) > 0),
+dw AS (SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS t FROM d, (SELECT DISTINCT n FROM iw) s, unnest(range(1, len(w) - n + 2)) AS u(k)),
+hit AS (SELECT r, n, k, item FROM dw JOIN iw USING (n, t)),
+cov AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, p FROM (SELECT DISTINCT r, n, k FROM hit) h, unnest(range(k, k + n)) AS u(p)) z GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) z GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
+"""
