@@ -249,10 +249,17 @@ def neighbour_graph(nodes: DataFrame, dim: int, *, most: int = 28, tables: int =
     blank = nodes.select("id", "vec", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<double>").alias("ds"), F.lit(None).cast("array<boolean>").alias("fresh"))
     graph = cut(_merged(blank.unionByName(_start(nodes, dim, tables, leaf, whole)), most, False))
     for turn in range(rounds):
+        if _settled(graph):
+            break
         graph = cut(_merged(graph.unionByName(_join_lists(graph, dim, most, hear, offer, turn)), most, False))
     return graph
 
 
+def _settled(lists: DataFrame) -> bool:
+    """Nothing in the lists is fresh, so another round would change nothing."""
+    return lists.where(F.exists("fresh", lambda x: x)).isEmpty()
+
+
 def _adjacency(graph: DataFrame, dim: int, most: int, hear: int) -> DataFrame:
     """(node, near, vecs): neighbours either way, and their vectors in a row; some 2 KB a row, so that batches stay small."""
     wide = 8 + 2 * dim
@@ -272,27 +279,6 @@ def _adjacency(graph: DataFrame, dim: int, most: int, hear: int) -> DataFrame:
 
 def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, *, beam: int, expand: int, rounds: int) -> DataFrame:
     """LISTS of the ``beam`` nearest nodes found for each query. queries: LISTS with the nodes to start from, all fresh."""
-    def frontier(batches):
-        for b in batches:
-            ids, row = _flat(b, "ids")
-            ds, fresh = _flat(b, "ds")[0], _flat(b, "fresh")[0].astype(bool)
-            sizes = np.bincount(row, minlength=len(b)) if len(ids) else np.zeros(len(b), np.int64)
-            bound = np.array([ds[e - 1] if s >= beam else FAR for s, e in zip(sizes, np.cumsum(sizes))])
-            open_ = np.flatnonzero(fresh)
-            rank = np.arange(len(open_)) - np.searchsorted(row[open_], row[open_])
-            go = open_[rank < expand]
-            who = pa.array(row[go])
-            yield pa.RecordBatch.from_arrays([b.column("id").take(who), b.column("vec").take(who), pa.array(bound[row[go]], pa.float64()), pa.array(ids[go].astype(np.int64))], ["id", "vec", "bound", "node"])
-
-    def expanded(batches):
-        for b in batches:
-            ids, row = _flat(b, "ids")
-            fresh = _flat(b, "fresh")[0].astype(bool)
-            open_ = np.flatnonzero(fresh)
-            rank = np.arange(len(open_)) - np.searchsorted(row[open_], row[open_])
-            fresh[open_[rank < expand]] = False
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("vec"), b.column("ids"), b.column("ds"), *_lists(row, len(b), (fresh, pa.bool_()))], ["id", "vec", "ids", "ds", "fresh"])
-
     def look(batches):
         for b in batches:
             for a in range(0, len(b), 1000):
@@ -310,9 +296,17 @@ def greedy_search(queries: DataFrame, adjacency: DataFrame, dim: int, *, beam: i
                     yield _proposals(me[used], at, near[good], d[good])
 
     for _ in range(rounds):
-        edge = queries.mapInArrow(frontier, "id long, vec binary, bound double, node long")
+        if _settled(queries):
+            break
+        # the nearest fresh nodes of each list are expanded; lists are sorted, so those behind the last of them stay fresh
+        go = F.slice(F.filter(F.arrays_zip("ids", "fresh"), lambda x: x["fresh"]), 1, expand)
+        q = queries.withColumn("go", F.transform(go, lambda x: x["ids"]))
+        bound = F.when(F.size("ids") >= beam, F.element_at("ds", -1)).otherwise(F.lit(FAR))
+        edge = q.select("id", "vec", bound.alias("bound"), F.explode("go").alias("node"))
         found = edge.join(adjacency, "node").mapInArrow(look, LISTS)
-        queries = cut(_merged(queries.mapInArrow(expanded, LISTS).unionByName(found), beam, True))
+        last = F.when(F.size("go") > 0, F.array_position("ids", F.element_at("go", -1))).otherwise(0)
+        left = q.select("id", "vec", "ids", "ds", F.transform("fresh", lambda x, i: x & (i >= last)).alias("fresh"))
+        queries = cut(_merged(left.unionByName(found), beam, True))
     return queries
 
 
