@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mapjobs.llm import ann, html_text, langid, lm, mixing, pii, simhash, tokens, toxicity, winnow
+from mapjobs.llm import ann, html_text, importance, langid, lm, mixing, pii, repair, simhash, token_counts, tokens, toxicity, winnow
 from mapjobs.llm.common import crc_mod
 from mapjobs.session import table
 
@@ -70,9 +70,22 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_langid, op3_feistel_pii, op4_lattice_lm, op5_token_planes, op6_simhash, op7_html_crf, op8_nn_descent, op9_mixing, op10_winnowing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_langid, op3_feistel_pii, op4_lattice_lm, op5_token_planes, op6_simhash, op7_html_crf, op8_nn_descent, op9_mixing, op10_winnowing, op11_token_counts, op12_repair, op13_importance)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": mixing.SQL, "op10_winnowing": winnow.SQL}
+    return {"op9_mixing": mixing.SQL, "op10_winnowing": winnow.SQL, "op12_repair": repair.SQL, "op13_importance": importance.SQL}
