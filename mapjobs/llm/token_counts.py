@@ -97,7 +97,7 @@ def encoded(rows: DataFrame, tokenizer: str) -> DataFrame:
     return rows.select("digest", "text").mapInArrow(run, "digest binary, n_tokens long")
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, *, cache: str | None = None, limit: int = 512, broadcast_misses: int = 50_000) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer: str, *, cache: str | None = None, limit: int = 512, few: float = 0.02, broadcast_misses: int = 500_000) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row of docs (doc_id, text).
 
     cache: folder of a Parquet table (version, digest, n_tokens) that all executors reach; a new one in the shared folder unless given.
@@ -105,9 +105,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, cache: str | None = None, l
     lacks, one row (the smallest doc_id) is encoded, and the counts are appended by Spark's committer, so a lost task leaves nothing behind. Then every row's
     count comes from the cache.
 
-    Texts move only to be encoded: not at all while the misses are ``broadcast_misses`` at most (their digests are sent instead, 50 bytes each);
-    beyond, by digest and doc_id, so the copies of one text do not meet in one task, and only the chosen row of each passes. Rows are streamed
-    past the digests, never sorted. The last join is plain, and can be split at a digest that many rows share.
+    Texts move only to be encoded, by digest and doc_id, so the copies of one text do not meet in one task, and only the chosen row of each passes. Rows are streamed
+    past the digests, never sorted. Where the cache knows nearly all texts (misses are a share of ``few`` of the rows, and ``broadcast_misses`` at most), the texts stay where they are and the
+    digests are sent to them instead, some 50 bytes each. The last join is plain, and can be split at a digest that many rows share.
 
     Null text is the empty text: 0 bytes, 0 tokens. A null doc_id stays null, and may be chosen like any other. Rows that repeat id
     and text come back repeated, and are encoded once by each task that has them. An
@@ -121,7 +121,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, cache: str | None = None, l
     misses = cut(misses.select(F.col("digest").alias("miss"), F.col("doc_id").alias("chosen")))
     n = misses.count()
     if n:
-        side = F.broadcast(misses) if n <= broadcast_misses else misses.hint("shuffle_hash")
+        side = F.broadcast(misses) if n <= min(broadcast_misses, few * keyed.count()) else misses.hint("shuffle_hash")
         wanted = d.join(side, (F.col("digest") == F.col("miss")) & F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi")
         new = encoded(wanted, tokenizer).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
         new.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache)

@@ -49,8 +49,8 @@ def test_token_counts(spark, rows, path):
         library = Tokenizer.from_file(path)
         count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
     want = [(i, len((t or "").encode()), count(t or ""), count(t or "") > 512) for i, t in rows]
-    for most in (0, 50_000):  # the texts are shuffled; the digests are sent
-        got = token_counts.count_tokens(frame(spark, rows), path, broadcast_misses=most).collect()
+    for few in (0, 1):  # the texts are shuffled; the digests are sent
+        got = token_counts.count_tokens(frame(spark, rows), path, few=few).collect()
         assert in_order(tuple(r) for r in got) == in_order(want)
 
 
@@ -61,7 +61,7 @@ def test_count_cache(spark, rows, tmp_path):
     assert stored().count() == len({t or "" for _, t in rows})  # copies are encoded once
     assert in_order(token_counts.count_tokens(frame(spark, rows), BPE, cache=cache).collect()) == in_order(first)
     assert stored().count() == len({t or "" for _, t in rows})  # nothing is new
-    more = token_counts.count_tokens(frame(spark, [*rows, (90, "quite new"), (91, "quite new")]), BPE, cache=cache, broadcast_misses=0)
+    more = token_counts.count_tokens(frame(spark, [*rows, (90, "quite new"), (91, "quite new")]), BPE, cache=cache, few=0)
     assert more.count() == len(rows) + 2 and stored().count() == len({t or "" for _, t in rows}) + 1
     # counts are taken from the cache, but only those of the tokenizer's own version
     version = token_counts.version_of(BPE)
