@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from mapjobs.functions import tags as R
-from mapjobs.operators import areas, graph, manifest, network, routing_tiles, tiles
+from mapjobs.operators import areas, graph, manifest, network, overlay, routing_tiles, tiles
 from mapjobs.plans import graph_plans as GP
 from mapjobs.session import cut, table
 from mapjobs.sources import objects, standins
@@ -108,23 +108,28 @@ PAIRS = 100
 
 
 def _graph(spark, sf_dir):
-    """(arcs of both profiles as one graph, pairs of its nodes picked by hash)."""
-    every = cut(network.profile_arcs(GP._edges(spark, sf_dir)).select("profile", "from", "to", "w"))
+    """(arcs of both profiles as one graph, pairs of its nodes picked by hash, cells of its nodes)."""
+    e = _edges(spark, sf_dir)
+    every = cut(network.profile_arcs(e).select("profile", "from", "to", "w"))
     picked = [network.picked_pairs(every.where(F.col("profile") == p), PAIRS).select((F.col("pair_id") + p * PAIRS).alias("pair_id"), (F.col("s") * 2 + p).alias("s"), (F.col("t") * 2 + p).alias("t")) for p in network.PROFILES]
-    return cut(network.apart(every).select("from", "to", "w")), cut(picked[0].unionByName(picked[1]))
+    # edges without shapes have no positions: their cells go by ids
+    places = graph.node_table(e) if "pts" in e.columns else graph.used_nodes(e).select("node_id", F.lit(None).cast("long").alias("lat7"), F.lit(None).cast("long").alias("lon7"))
+    places = places.select(F.explode(F.array(*[F.col("node_id") * 2 + p for p in network.PROFILES])).alias("node"), "lat7", "lon7")
+    return cut(network.apart(every).select("from", "to", "w")), cut(picked[0].unionByName(picked[1])), cut(overlay.cells_of(places))
 
 
 def h2_shortest_paths(spark, sf_dir):
     """Costs between pairs of all nodes, picked by hash, by bicycle and on foot, however far apart."""
-    found = network.shortest_paths(*_graph(spark, sf_dir))
+    arcs, pairs, cells = _graph(spark, sf_dir)
+    found = network.shortest_paths(arcs, pairs, cells=cells)
     return found.select((F.col("s") % 2).cast("int").alias("profile"), (F.col("pair_id") % PAIRS).cast("int").alias("pair_id"), F.floor(F.col("s") / 2).alias("s"), F.floor(F.col("t") / 2).alias("t"), "cost")
 
 
 def h3_h4_h5_h6_hierarchy(spark, sf_dir):
     """The same pairs by the hierarchy against plain search: the counts of outcomes."""
-    arcs, pairs = _graph(spark, sf_dir)
+    arcs, pairs, cells = _graph(spark, sf_dir)
     found = network.hierarchy_query(*[cut(x) for x in network.split_by_rank(*network.hierarchy(arcs))], pairs)
-    return network.compared(found, network.shortest_paths(arcs, pairs))
+    return network.compared(found, network.shortest_paths(arcs, pairs, cells=cells))
 
 
 def h4_split(spark, sf_dir):
