@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from mapjobs.functions import tags as R
-from mapjobs.operators import areas, graph, manifest, network, overlay, routing_tiles, tiles
+from mapjobs.operators import areas, contraction, graph, manifest, network, overlay, routing_tiles, tiles
 from mapjobs.plans import graph_plans as GP
 from mapjobs.session import cut, table
 from mapjobs.sources import objects, standins
@@ -107,15 +107,18 @@ def a6_main_mask(spark, sf_dir):
 PAIRS = 100
 
 
+def _cells(e):
+    """Cells of the nodes of both profiles' graph. Edges without shapes have no positions: their cells go by ids."""
+    places = graph.node_table(e) if "pts" in e.columns else graph.used_nodes(e).select("node_id", F.lit(None).cast("long").alias("lat7"), F.lit(None).cast("long").alias("lon7"))
+    return cut(overlay.cells_of(places.select(F.explode(F.array(*[F.col("node_id") * 2 + p for p in network.PROFILES])).alias("node"), "lat7", "lon7")))
+
+
 def _graph(spark, sf_dir):
     """(arcs of both profiles as one graph, pairs of its nodes picked by hash, cells of its nodes)."""
     e = _edges(spark, sf_dir)
     every = cut(network.profile_arcs(e).select("profile", "from", "to", "w"))
     picked = [network.picked_pairs(every.where(F.col("profile") == p), PAIRS).select((F.col("pair_id") + p * PAIRS).alias("pair_id"), (F.col("s") * 2 + p).alias("s"), (F.col("t") * 2 + p).alias("t")) for p in network.PROFILES]
-    # edges without shapes have no positions: their cells go by ids
-    places = graph.node_table(e) if "pts" in e.columns else graph.used_nodes(e).select("node_id", F.lit(None).cast("long").alias("lat7"), F.lit(None).cast("long").alias("lon7"))
-    places = places.select(F.explode(F.array(*[F.col("node_id") * 2 + p for p in network.PROFILES])).alias("node"), "lat7", "lon7")
-    return cut(network.apart(every).select("from", "to", "w")), cut(picked[0].unionByName(picked[1])), cut(overlay.cells_of(places))
+    return cut(network.apart(every).select("from", "to", "w")), cut(picked[0].unionByName(picked[1])), _cells(e)
 
 
 def h2_shortest_paths(spark, sf_dir):
@@ -128,7 +131,8 @@ def h2_shortest_paths(spark, sf_dir):
 def h3_h4_h5_h6_hierarchy(spark, sf_dir):
     """The same pairs by the hierarchy against plain search: the counts of outcomes."""
     arcs, pairs, cells = _graph(spark, sf_dir)
-    found = network.hierarchy_query(*[cut(x) for x in network.split_by_rank(*network.hierarchy(arcs))], pairs)
+    every, ranks, _ = contraction.hierarchy(arcs, cells)
+    found = contraction.query(*network.split_by_rank(every, ranks), cut(contraction.places_of(ranks, cells)), pairs)
     return network.compared(found, network.shortest_paths(arcs, pairs, cells=cells))
 
 
@@ -163,7 +167,7 @@ def b4_hierarchy_tiles(spark, sf_dir):
     """Both profiles' hierarchies as tiles of the device."""
     e = _edges(spark, sf_dir)
     nodes, edges = map(cut, routing_tiles.numbered(e))
-    every, order = network.hierarchy(network.apart(network.profile_arcs(e)).select("from", "to", "w"))
+    every, order, _ = contraction.hierarchy(network.apart(network.profile_arcs(e)).select("from", "to", "w"), _cells(e))
 
     def written(p):
         mine = lambda d, *names: d.where(F.col(names[0]) % 2 == p).withColumns({c: F.floor(F.col(c) / 2) for c in names})
