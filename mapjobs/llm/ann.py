@@ -348,8 +348,10 @@ def nearest(vectors: DataFrame, is_query, *, k: int = 10, most: int = 28, rounds
     near = near.join(classes.select("id", F.col("embedding").alias("a")), "id")
     near = near.join(classes.select(F.col("id").alias("other"), F.col("embedding").alias("b"), "members"), "other")
     square = F.aggregate(F.zip_with("a", "b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-    near = near.select("id", F.sqrt(square).alias("score"), F.explode("members").alias("vec_id"))
-    best = near.groupBy("id").agg(F.slice(F.array_sort(F.collect_set(F.struct("score", "vec_id"))), 1, k + 1).alias("best"))
-    own = asked.join(best, "id").select("query_id", F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("best"))
+    near = near.select("id", "other", F.sqrt(square).alias("score"), F.explode("members").alias("vec_id"))
+    best = near.groupBy("id").agg(F.slice(F.array_sort(F.collect_set(F.struct("score", "vec_id", "other"))), 1, k + 1).alias("best"))
+    # a row is its id and its vector: one is taken out of the k + 1
+    mine = lambda x: (x["vec_id"] == F.col("query_id")) & (x["other"] == F.col("id"))
+    own = asked.join(best, "id").select("query_id", F.slice(F.filter("best", lambda x: ~mine(x)), 1, k).alias("best"))
     out = own.select("query_id", F.posexplode("best").alias("rank", "x"))
     return out.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")

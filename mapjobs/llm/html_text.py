@@ -29,8 +29,12 @@ RAW = frozenset("script style template textarea title iframe".split())
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = frozenset("ul ol dl table select html body".split())
 
-TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>)""", re.S)
-PLAIN_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)", re.S)
+#: White space of the HTML standard.
+WS = "\\t\\n\\f\\r "
+#: Attributes as the standard tells them apart: a value begins behind "=" and may be quoted; without a quote it runs to white space or ">". Quotes elsewhere are part of a name or
+#: value. A quote that the page never closes opens no value.
+ATTRIBUTES = rf"""(?:[{WS}/]++|[^{WS}/>][^{WS}/>=]*+(?:[{WS}]*+=[{WS}]*+(?:"[^"]*+"|'[^']*+'|[^{WS}>"'][^{WS}>]*+|(?=>)))?+)*+"""
+TAG = re.compile(rf"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^{WS}/>]*)({ATTRIBUTES})>)", re.S)
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME_PARTS = re.compile(r"[a-z]+")
 
@@ -56,7 +60,7 @@ def blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
     none: frozenset[str] = frozenset()
     open_tags: Counter = Counter()  # so that the stack is searched only for what is there
     held: list[str] = []
-    linked, in_link, at, pattern, size = 0, 0, 0, TAG, len(page)
+    linked, in_link, at, size = 0, 0, 0, len(page)
 
     def flush():
         nonlocal linked
@@ -86,10 +90,7 @@ def blocks(page: str, known: frozenset[str] | None = None) -> list[Block]:
             add("<")
             at = lt + 1
             continue
-        m = pattern.match(page, lt)
-        if not m and pattern is TAG:
-            pattern = PLAIN_TAG  # an open quote: from here on quotes mean nothing, so no text is read twice
-            m = pattern.match(page, lt)
+        m = TAG.match(page, lt)
         if not m:
             gt = page.find(">", lt)
             if page[lt + 1:lt + 2] == "/" and gt >= 0:  # "</" before no letter is a comment
@@ -334,6 +335,8 @@ def labelled_pages(n: int = 600) -> list[tuple[list[list[str]], list[int]]]:
 
 def main_text(page: str, crf: Crf) -> str:
     bs = blocks(page, crf.names)
+    if all(b.own == "none" for b in bs):  # no element around any text: a plain text, which has no menus
+        return "\n\n".join(b.text for b in bs)
     return "\n\n".join(b.text for b, y in zip(bs, crf.decode(features(bs))) if y)
 
 
@@ -341,7 +344,8 @@ def extract(pages: DataFrame, *, training_pages: int = 600) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of pages (page_id, url, html).
 
     text: the article's blocks in page order, two line feeds between them; empty if there is none, and for null or empty html.
-    n_chars counts code points. Row-wise: ids may be null or repeat; other columns are ignored.
+    n_chars counts code points. A page without block elements is its own text. Of equally likely labellings the last block is text, and a block before goes with the one behind it. A page is held and
+    decoded whole, in time linear in its length. Row-wise: ids may be null or repeat; other columns are ignored.
     """
     shared = pages.sparkSession.sparkContext.broadcast(train(labelled_pages(training_pages)))
 
