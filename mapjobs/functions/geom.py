@@ -50,30 +50,38 @@ def quantised(x7: Column, tile: Column, size7: int) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(65535), F.rint((x7 - tile * size7) / F.lit(float(size7)) * 65535).cast("int")))
 
 
+#: Points of a piece of a list that is built up one by one.
+PIECE = 128
+
+
 def inner_deltas(a_lat7: Column, a_lon7: Column, points: Column, most: int = 255) -> Column:
     """Steps in 1e-6 degrees from a over the points strictly between an edge's ends.
 
     points: array of struct(lat7, lon7). A step of more than 30000 units gets filler points; each delta is taken (half to even)
     from the position that the deltas so far have reached. More than ``most`` are thinned to every n-th.
     """
-    here = lambda p: (p["lat7"].cast("long"), p["lon7"].cast("long"))
-    n = F.size(points)
+    place = lambda lat, lon: F.struct(lat.cast("long").alias("lat7"), lon.cast("long").alias("lon7"))
+    there = F.transform(points, lambda p: place(p["lat7"], p["lon7"]))
+    before = F.slice(F.concat(F.array(place(a_lat7, a_lon7)), there), 1, F.size(points))
 
-    def filled(i):
-        before = F.when(i == 0, F.struct(a_lat7.cast("long").alias("lat7"), a_lon7.cast("long").alias("lon7"))).otherwise(F.transform(points, lambda p: F.struct(p["lat7"].cast("long").alias("lat7"), p["lon7"].cast("long").alias("lon7")))[i - 1])
-        (la, lo), (pa, po) = here(points[i]), (before["lat7"], before["lon7"])
+    def filled(q, p):
+        (pa, po), (la, lo) = (q["lat7"], q["lon7"]), (p["lat7"], p["lon7"])
         steps = (F.floor(F.greatest(F.abs((la - pa) / 10.0), F.abs((lo - po) / 10.0)) / 30000) + 1).cast("long")
-        return F.transform(F.sequence(F.lit(1).cast("long"), steps), lambda k: F.struct((pa + F.floor((la - pa) * k / steps)).cast("long").alias("lat7"), (po + F.floor((lo - po) * k / steps)).cast("long").alias("lon7")))
+        return F.transform(F.sequence(F.lit(1).cast("long"), steps), lambda k: place(pa + F.floor((la - pa) * k / steps), po + F.floor((lo - po) * k / steps)))
 
-    stops = F.when(n > 0, F.flatten(F.transform(F.sequence(F.lit(0), n - 1), filled))).otherwise(F.array().cast("array<struct<lat7:bigint,lon7:bigint>>"))
+    stops = F.when(F.size(points) > 0, F.flatten(F.zip_with(before, there, filled))).otherwise(F.array().cast("array<struct<lat7:bigint,lon7:bigint>>"))
     empty = F.array().cast("array<struct<dlat:int,dlon:int>>")
-    start = F.struct(a_lat7.cast("long").alias("lat7"), a_lon7.cast("long").alias("lon7"), empty.alias("out"))
+    # what is appended to is short: full pieces are laid aside, so a long edge is not copied at each point
+    start = F.struct(a_lat7.cast("long").alias("lat7"), a_lon7.cast("long").alias("lon7"), empty.alias("out"), F.array().cast("array<array<struct<dlat:int,dlon:int>>>").alias("full"))
 
     def step(s, p):
         dlat, dlon = F.rint((p["lat7"] - s["lat7"]) / 10.0).cast("int"), F.rint((p["lon7"] - s["lon7"]) / 10.0).cast("int")
-        return F.struct((s["lat7"] + dlat * 10).cast("long").alias("lat7"), (s["lon7"] + dlon * 10).cast("long").alias("lon7"), F.concat(s["out"], F.array(F.struct(dlat.alias("dlat"), dlon.alias("dlon")))).alias("out"))
+        aside = F.size(s["out"]) >= PIECE
+        out = F.concat(F.when(aside, empty).otherwise(s["out"]), F.array(F.struct(dlat.alias("dlat"), dlon.alias("dlon"))))
+        full = F.when(aside, F.concat(s["full"], F.array(s["out"]))).otherwise(s["full"])
+        return F.struct((s["lat7"] + dlat * 10).cast("long").alias("lat7"), (s["lon7"] + dlon * 10).cast("long").alias("lon7"), out.alias("out"), full.alias("full"))
 
-    deltas = F.aggregate(stops, start, step, lambda s: s["out"])
+    deltas = F.aggregate(stops, start, step, lambda s: F.flatten(F.concat(s["full"], F.array(s["out"]))))
     every = (F.floor(F.size(deltas) / most) + 1).cast("int")
     return F.when(F.size(deltas) > most, F.filter(deltas, lambda x, i: F.pmod(i + 1, every) == 0)).otherwise(deltas)
 

@@ -86,7 +86,7 @@ def t2_b2_area_tiles(spark, sf_dir):
 
 def g5_simplified_ways(spark, sf_dir):
     lines = objects.as_lines(standins.view(spark, sf_dir, "way_nodes"))
-    s = areas.simplified(lines, "way_id", 2000.0)
+    s = areas.simplified(lines, "way_id", 2.0)
     return s.select("way_id", F.size("pts").alias("n"))
 
 
@@ -204,7 +204,7 @@ def a10_outcomes(spark, sf_dir):
 
 
 def t4_report(spark, sf_dir):
-    return manifest.report(manifest.compare(*_manifests(spark, sf_dir)), 5)
+    return manifest.report(manifest.compare(*_manifests(spark, sf_dir)), 20)
 
 
 def u4_repair(spark, sf_dir):
@@ -294,7 +294,7 @@ ORACLES = {
                 SELECT way_id, a, b, seq, px, py, dx, dy, CASE WHEN dx = 0 AND dy = 0 THEN 0 ELSE least(1, greatest(0, (px * dx + py * dy) / (dx * dx + dy * dy))) END AS t FROM (
                   SELECT s.way_id, s.a, s.b, p.seq, p.x - f.x AS px, p.y - f.y AS py, e.x - f.x AS dx, e.y - f.y AS dy
                   FROM seg s JOIN ln f ON f.way_id = s.way_id AND f.seq = s.a JOIN ln e ON e.way_id = s.way_id AND e.seq = s.b JOIN ln p ON p.way_id = s.way_id AND p.seq > s.a AND p.seq < s.b) z1) z2) z3
-            GROUP BY way_id, a, b HAVING max(d2) > 2000.0 * 2000.0) z4, (VALUES (0), (1)) AS v(k))
+            GROUP BY way_id, a, b HAVING max(d2) > 2.0 * 2.0) z4, (VALUES (0), (1)) AS v(k))
         SELECT way_id, (2 + (count(*) - 1) // 2)::INTEGER AS n FROM seg GROUP BY way_id""",
     "s4_areas": f"{_AREAS} SELECT area_id, ring, role, outer_no AS outer, typ, count(*)::INTEGER AS n, string_agg(lat7 || ',' || lon7, ';' ORDER BY seq) AS line FROM s4 WHERE typ IS NOT NULL GROUP BY ALL",
     "t2_b2_drawing_order": f"""{_AREAS}, r4 AS (SELECT area_id, ring, role, outer_no, typ, min(lat7) AS s, max(lat7) AS nn, min(lon7) AS w, max(lon7) AS e, arg_min(lat7, seq) AS lat0 FROM s4 WHERE typ IS NOT NULL AND NOT (typ = 4 AND role = 'inner') GROUP BY ALL),
@@ -318,7 +318,7 @@ ORACLES = {
         SELECT f AS node, t AS "to", w, 'out' AS side FROM w WHERE rf <= rt UNION ALL SELECT t, f, w, 'in' FROM w WHERE rf >= rt""",
     "j11_comparison": f"{_M} SELECT * FROM cmp",
     "a10_outcomes": f"{_M} SELECT status, count(*) AS n FROM cmp GROUP BY status",
-    "t4_report": f"{_M}, r AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY path) AS r, count(*) OVER (PARTITION BY status) AS n FROM cmp) SELECT status, path, greatest(n - 5, 0) AS rest FROM r WHERE r <= 5",
+    "t4_report": f"{_M}, r AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY path) AS r, count(*) OVER (PARTITION BY status) AS n FROM cmp) SELECT status, path, greatest(n - 20, 0) AS rest FROM r WHERE r <= 20",
     "u4_repair": f"{_M} SELECT path, CASE status WHEN 'extra' THEN 'extra' ELSE 'repair' END AS kind FROM cmp WHERE status <> 'ok'",
     "s2_merged": "SELECT 'way' AS type, o_orderkey AS id, CASE WHEN o_orderkey % 3 > 0 AND o_custkey % 5 = 0 THEN 2 ELSE 1 END AS version FROM orders",
     "u3_two_hops": f"""{_ARCS}, foot1 AS (SELECT f, t, w FROM best WHERE profile = 1), y AS (SELECT f, t, w FROM foot1 UNION ALL SELECT i.f, o.t, i.w + o.w FROM foot1 i JOIN foot1 o ON i.t = o.f WHERE i.f <> o.t)

@@ -105,7 +105,7 @@ def a9_b5_tile_index(spark, sf_dir):
 
 
 def w4_sparse_index(spark, sf_dir):
-    return tiles.sparse_index(tiles.tile_counts(_tiled(spark, sf_dir)), 16)
+    return tiles.sparse_index(tiles.tile_counts(_tiled(spark, sf_dir)), 64)
 
 
 def a7_size_statistics(spark, sf_dir):
@@ -227,7 +227,7 @@ ORACLES = {
     "w6_string_tables": f"{_FEATURES} SELECT * FROM st",
     "w2_dense_ids": f"{WN}, {_TILED} SELECT node_id, row_number() OVER (ORDER BY ix, iy, node_id) - 1 AS new_id FROM n",
     "a9_b5_tile_index": f"{_COUNTS} SELECT * FROM t",
-    "w4_sparse_index": f"{_COUNTS} SELECT ix, iy, n, first, tile_no FROM (SELECT *, row_number() OVER (ORDER BY ix, iy) - 1 AS tile_no FROM t) z WHERE tile_no % 16 = 0",
+    "w4_sparse_index": f"{_COUNTS} SELECT ix, iy, n, first, tile_no FROM (SELECT *, row_number() OVER (ORDER BY ix, iy) - 1 AS tile_no FROM t) z WHERE tile_no % 64 = 0",
     "a7_size_statistics": f"""{_COUNTS}, s AS (SELECT 'c' || ((ix % 3 + 3) % 3) AS layer, n AS size, row_number() OVER (PARTITION BY (ix % 3 + 3) % 3 ORDER BY n) - 1 AS i, count(*) OVER (PARTITION BY (ix % 3 + 3) % 3) AS m FROM t)
         SELECT layer, count(*) AS n, sum(size)::BIGINT AS total, max(size) FILTER (WHERE i = m // 2) AS median, max(size) FILTER (WHERE i = floor(m * 0.95)) AS p95, max(size) AS largest FROM s GROUP BY layer""",
     "w8_b6_bundles": f"""{_COUNTS}, b AS (SELECT cast(floor(ix / 2.0) AS BIGINT) AS bx, cast(floor(iy / 2.0) AS BIGINT) AS by, ((iy % 2 + 2) % 2) * 2 + (ix % 2 + 2) % 2 AS slot, n FROM t),
