@@ -136,12 +136,21 @@ def h3_h4_h5_h6_hierarchy(spark, sf_dir):
     return network.compared(found, network.shortest_paths(arcs, pairs, cells=cells))
 
 
+def _told_apart(df, *nodes):
+    """Rows of the graph of both profiles (``network.apart``) with the profile and the nodes' own ids."""
+    return df.withColumn("profile", (F.col(nodes[0]) % 2).cast("int")).withColumns({c: F.floor(F.col(c) / 2).cast("long") for c in nodes})
+
+
+def _both_profiles(edges):
+    return network.apart(network.profile_arcs(edges)).select("from", "to", "w")
+
+
 def h4_split(spark, sf_dir):
-    """Arcs on foot split by given ranks; nodes of one rank are a core."""
-    arcs = cut(network.profile_arcs(GP._edges(spark, sf_dir)).where("profile = 1").select("from", "to", "w"))
-    ranks = arcs.select(F.explode(F.array("from", "to")).alias("node")).distinct().withColumn("turn", F.pmod(F.col("node") * 7919, F.lit(50)))
+    """Arcs of both profiles split by given ranks; nodes of one rank are a core."""
+    arcs = cut(_both_profiles(GP._edges(spark, sf_dir)))
+    ranks = arcs.select(F.explode(F.array("from", "to")).alias("node")).distinct().withColumn("turn", F.pmod(F.floor(F.col("node") / 2) * 7919, F.lit(50)))
     up, down = network.split_by_rank(arcs, ranks)
-    return up.withColumn("side", F.lit("out")).unionByName(down.withColumn("side", F.lit("in")))
+    return _told_apart(up.withColumn("side", F.lit("out")).unionByName(down.withColumn("side", F.lit("in"))), "node", "to")
 
 
 def s6_route_summary(spark, sf_dir):
@@ -221,11 +230,11 @@ def s2_merged(spark, sf_dir):
 
 
 def u3_two_hops(spark, sf_dir):
-    """Paths of two arcs over any node, put together with the arcs."""
-    a = network.profile_arcs(GP._edges(spark, sf_dir)).where("profile = 1").select("from", "to", "w")
+    """Paths of two arcs over any node, put together with the arcs, for both profiles."""
+    a = cut(_both_profiles(GP._edges(spark, sf_dir)))
     new = network.two_hops(a, a.select(F.col("from").alias("node")).distinct())
     both = a.withColumn("mid", F.lit(None).cast("long")).unionByName(new).withColumn("profile", F.lit(1))
-    return network.cheapest(both).select("from", "to", "w")
+    return _told_apart(network.cheapest(both).select("from", "to", "w"), "from", "to")
 
 
 def _dense(e):
@@ -235,11 +244,12 @@ def _dense(e):
 
 
 def j8_remapped_arcs(spark, sf_dir):
-    """Arcs on foot and paths of two of them, with the nodes' new numbers."""
+    """Arcs of both profiles and paths of two of them, with the nodes' new numbers."""
     e = _edges(spark, sf_dir)
-    a = cut(network.profile_arcs(e).where("profile = 1").select("from", "to", "w"))
+    a = cut(_both_profiles(e))
+    ids = _dense(e).select(F.explode(F.array(*[F.struct((F.col("node_id") * 2 + p).alias("node_id"), (F.col("new_id") * 2 + p).alias("new_id")) for p in network.PROFILES])).alias("x")).select("x.*")
     both = a.withColumn("mid", F.lit(None).cast("long")).unionByName(network.two_hops(a, a.select(F.col("from").alias("node")).distinct()))
-    return network.remapped(both, _dense(e)).select("from", "to", "w", F.col("mid").isNull().alias("plain")).distinct()
+    return _told_apart(network.remapped(both, ids).select("from", "to", "w", F.col("mid").isNull().alias("plain")).distinct(), "from", "to")
 
 
 def j8_j9_remapped_edges(spark, sf_dir):
@@ -314,18 +324,18 @@ ORACLES = {
         SELECT nt.ix, nt.iy, nodes, coalesce(edges, '') AS edges, coalesce(strings, '') AS strings FROM nt LEFT JOIN et ON et.ix = nt.ix AND et.iy = nt.iy""",
     "h2_shortest_paths": f"{_H2} SELECT profile, pair_id, s, t, cost FROM paths",
     "h3_h4_h5_h6_hierarchy": f"{_H2} SELECT CASE WHEN cost IS NULL THEN 'unreachable' ELSE 'ok' END AS status, count(*) AS n FROM paths GROUP BY 1",
-    "h4_split": f"""{_ARCS}, w AS (SELECT f, t, w, f * 7919 % 50 AS rf, t * 7919 % 50 AS rt FROM best WHERE profile = 1)
-        SELECT f AS node, t AS "to", w, 'out' AS side FROM w WHERE rf <= rt UNION ALL SELECT t, f, w, 'in' FROM w WHERE rf >= rt""",
+    "h4_split": f"""{_ARCS}, w AS (SELECT profile, f, t, w, f * 7919 % 50 AS rf, t * 7919 % 50 AS rt FROM best)
+        SELECT profile, f AS node, t AS "to", w, 'out' AS side FROM w WHERE rf <= rt UNION ALL SELECT profile, t, f, w, 'in' FROM w WHERE rf >= rt""",
     "j11_comparison": f"{_M} SELECT * FROM cmp",
     "a10_outcomes": f"{_M} SELECT status, count(*) AS n FROM cmp GROUP BY status",
     "t4_report": f"{_M}, r AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY path) AS r, count(*) OVER (PARTITION BY status) AS n FROM cmp) SELECT status, path, greatest(n - 20, 0) AS rest FROM r WHERE r <= 20",
     "u4_repair": f"{_M} SELECT path, CASE status WHEN 'extra' THEN 'extra' ELSE 'repair' END AS kind FROM cmp WHERE status <> 'ok'",
     "s2_merged": "SELECT 'way' AS type, o_orderkey AS id, CASE WHEN o_orderkey % 3 > 0 AND o_custkey % 5 = 0 THEN 2 ELSE 1 END AS version FROM orders",
-    "u3_two_hops": f"""{_ARCS}, foot1 AS (SELECT f, t, w FROM best WHERE profile = 1), y AS (SELECT f, t, w FROM foot1 UNION ALL SELECT i.f, o.t, i.w + o.w FROM foot1 i JOIN foot1 o ON i.t = o.f WHERE i.f <> o.t)
-        SELECT f AS "from", t AS "to", min(w) AS w FROM y GROUP BY f, t""",
-    "j8_remapped_arcs": f"""{_ARCS}, {_NUMBERED}, foot1 AS (SELECT f, t, w FROM best WHERE profile = 1),
-        y AS (SELECT f, t, w, true AS plain FROM foot1 UNION ALL SELECT i.f, o.t, min(i.w + o.w), false FROM foot1 i JOIN foot1 o ON i.t = o.f WHERE i.f <> o.t GROUP BY i.f, o.t)
-        SELECT p.id AS "from", q.id AS "to", w, plain FROM y JOIN i p ON p.ref = y.f JOIN i q ON q.ref = y.t""",
+    "u3_two_hops": f"""{_ARCS}, y AS (SELECT profile, f, t, w FROM best UNION ALL SELECT i.profile, i.f, o.t, i.w + o.w FROM best i JOIN best o ON i.profile = o.profile AND i.t = o.f WHERE i.f <> o.t)
+        SELECT profile, f AS "from", t AS "to", min(w) AS w FROM y GROUP BY profile, f, t""",
+    "j8_remapped_arcs": f"""{_ARCS}, {_NUMBERED},
+        y AS (SELECT profile, f, t, w, true AS plain FROM best UNION ALL SELECT i.profile, i.f, o.t, min(i.w + o.w), false FROM best i JOIN best o ON i.profile = o.profile AND i.t = o.f WHERE i.f <> o.t GROUP BY i.profile, i.f, o.t)
+        SELECT profile, p.id AS "from", q.id AS "to", w, plain FROM y JOIN i p ON p.ref = y.f JOIN i q ON q.ref = y.t""",
     "j8_j9_remapped_edges": f"""{GP._EDGES}, u AS (SELECT DISTINCT n.ref, n.lat7, n.lon7 FROM way_nodes n WHERE n.ref IN (SELECT a FROM edges UNION SELECT b FROM edges)),
         i AS (SELECT *, row_number() OVER (ORDER BY {_F('lon7', 300000)}, {_F('lat7', 200000)}, ref) - 1 AS id FROM u)
         SELECT e.way_id, e.edge_no, e.piece, p.id AS new_a, q.id AS new_b, p.lat7 AS a_lat7, p.lon7 AS a_lon7, q.lat7 AS b_lat7, q.lon7 AS b_lon7 FROM edges e JOIN i p ON p.ref = e.a JOIN i q ON q.ref = e.b""",
