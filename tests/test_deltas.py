@@ -2,9 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import Row, functions as F
 
 from mapjobs.functions import geom as G
+from mapjobs.operators import routing_tiles, tiles
 
 
 def test_inner_deltas_of_long_edges(spark):
@@ -25,3 +27,12 @@ def test_inner_deltas_of_long_edges(spark):
             want.append(step)
             c = (c[0] + step[0] * 10, c[1] + step[1] * 10)
         assert [tuple(x) for x in found] == want
+
+
+def test_offsets_beyond_the_layout():
+    """An edge whose inner points lie beyond a 16-bit offset has no bytes; without inner points it needs none."""
+    edge = {"new_a": 0, "new_b": 1, "a_lat7": 0, "a_lon7": 0, "b_lat7": 1, "b_lon7": 1, "dm": 1, "cls": 0, "flags": 0, "main_mask": 0, "name_idx": None, "at": 65536, "costs": [1, 2, 3, 4], "deltas": []}
+    nodes = [{"lat7": 0, "lon7": 0, "degree": 1}] * 2
+    assert routing_tiles.pack_geometry_tile(nodes, [edge], [])[:1] == b"G"
+    with pytest.raises(tiles.TooMany):
+        routing_tiles.pack_geometry_tile(nodes, [edge | {"deltas": [{"dlat": 1, "dlon": 1}]}], [])
