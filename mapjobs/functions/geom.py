@@ -94,3 +94,9 @@ def box_misses(south: Column, west: Column, north: Column, east: Column, bbox: t
 def point_in_box(lat7: Column, lon7: Column, bbox: tuple[int, int, int, int]) -> Column:
     """P10: the point is inside ``bbox`` or on its edge."""
     return lat7.between(bbox[0], bbox[2]) & lon7.between(bbox[1], bbox[3])
+
+
+def line_misses(pts: Column, bbox: tuple[int, int, int, int]) -> Column:
+    """P10: the box of a line or ring (a list of points) lies wholly outside ``bbox``."""
+    lat, lon = F.transform(pts, lambda p: p["lat7"]), F.transform(pts, lambda p: p["lon7"])
+    return box_misses(F.array_min(lat), F.array_min(lon), F.array_max(lat), F.array_max(lon), bbox)

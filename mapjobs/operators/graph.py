@@ -31,15 +31,18 @@ def measured(points: DataFrame) -> DataFrame:
     return p.withColumn("cum", F.sum("seg").over(w.rowsBetween(W.unboundedPreceding, 0)))
 
 
-def spans(points: DataFrame, from_edge: bool = False) -> DataFrame:
+def spans(points: DataFrame, from_edge: bool = False, bbox: tuple[int, int, int, int] | None = None) -> DataFrame:
     """(way_id, edge_no, piece, a, b, length, pts) from located points with ``is_break``.
 
     A way is split at its break points; an edge over 500 m with an inner vertex is cut into about equal pieces of 400 m at existing vertices,
     never twice at one. A cut is the first vertex that lies a share of the edge's length behind the start of the way
-    (``from_edge``: of the edge). A zero-length edge from a node to itself is left out. All of it works on one row per way.
+    (``from_edge``: of the edge). A zero-length edge from a node to itself is left out. All of it works on one row per way. Ways whose
+    box lies outside ``bbox`` are left out; those that meet it stay whole.
     """
     p = measured(points)
     lines = p.groupBy("way_id").agg(F.array_sort(F.collect_list(F.struct("seq", "ref", "lat7", "lon7", "cum", "is_break"))).alias("pts"))
+    if bbox is not None:
+        lines = lines.where(~G.line_misses(F.col("pts"), bbox))
     at = F.filter(F.transform("pts", lambda x, i: F.when(x["is_break"], i)), lambda i: i.isNotNull())
     e = lines.withColumn("at", at).where(F.size("at") >= 2)
     # points are cut before rows are made, so no row carries more than its own
@@ -71,7 +74,7 @@ def edges(refs: DataFrame, nodes: DataFrame, ways: DataFrame, **options) -> Data
     """Graph edges of the routable ways: spans with class, flags, name and the four costs; edges that no profile may use are left out.
 
     refs (way_id, seq, ref), nodes (node_id, lat7, lon7), ways (way_id, tags). Ways are filtered before any join; counts and positions share
-    the exchange on ref. The edge key is (way_id, edge_no, piece); nodes keep their ids.
+    the exchange on ref. Where edges may end is told by all ways, whatever the ``bbox`` (see ``spans``), so neighbouring extracts agree. The edge key is (way_id, edge_no, piece); nodes keep their ids.
     """
     t = R.of_map()
     roads = ways.where(R.routable(t)).select("way_id", R.travel(t).alias("travel"), R.edge_class(t).alias("cls"), R.edge_flags(t).alias("flags"), R.display_name(t).alias("name"))

@@ -6,6 +6,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
+from mapjobs import jobs
 from mapjobs.functions import tags as R
 from mapjobs.operators import areas, contraction, graph, manifest, network, overlay, routing_tiles, tiles
 from mapjobs.plans import graph_plans as GP
@@ -38,10 +39,8 @@ def _objects(spark, sf_dir):
     return p.select("node_id", "lat7", "lon7"), whole.unionByName(members), relations
 
 
-def _assembled(spark, sf_dir):
-    nodes, ways, relations = _objects(spark, sf_dir)
-    rings = areas.assembled(ways, relations).withColumn("typ", R.area_type(R.of_map())).where("typ is not null").drop("tags")
-    return cut(areas.with_outer(cut(areas.located_rings(rings, nodes))))
+def _assembled(spark, sf_dir, bbox=None):
+    return cut(jobs.area_rings(*_objects(spark, sf_dir), bbox))
 
 
 def s4_areas(spark, sf_dir):
@@ -85,8 +84,8 @@ def t2_b2_area_tiles(spark, sf_dir):
 
 
 def g5_simplified_ways(spark, sf_dir):
-    lines = objects.as_lines(standins.view(spark, sf_dir, "way_nodes"))
-    s = areas.simplified(lines, "way_id", 2.0)
+    lines = objects.as_lines(standins.view(spark, sf_dir, "shape_nodes"))
+    s = areas.simplified(lines, "way_id", tiles.ROAD_M)
     return s.select("way_id", F.size("pts").alias("n"))
 
 
@@ -294,18 +293,7 @@ _M = """WITH p AS (SELECT page_id, url || '#' || page_id AS path, encode(html) A
   cp AS (SELECT path, strlen(h)::BIGINT AS size, md5(h) AS md5 FROM ch UNION ALL SELECT path || '.extra', 1, '' FROM p WHERE page_id % 13 = 0),
   cmp AS (SELECT coalesce(s.path, c.path) AS path, CASE WHEN s.path IS NULL THEN 'extra' WHEN c.path IS NULL THEN 'missing' WHEN s.size <> c.size THEN 'wrong size' WHEN s.md5 <> c.md5 THEN 'wrong content' ELSE 'ok' END AS status FROM src s FULL JOIN cp c ON s.path = c.path)"""
 ORACLES = {
-    "g5_simplified_ways": f"""{standins.oracle('way_nodes')}, ln AS (SELECT way_id, seq, lat7 / 1e7 * 110574.0 AS y, lon7 / 1e7 * (111320.0 * cos(radians(first_value(lat7) OVER (PARTITION BY way_id ORDER BY seq) / 1e7))) AS x, count(*) OVER (PARTITION BY way_id) AS n FROM way_nodes),
-        seg(way_id, a, b) AS (
-          SELECT way_id, min(seq), max(seq) FROM ln WHERE n >= 2 GROUP BY way_id
-          UNION ALL
-          SELECT way_id, CASE k WHEN 0 THEN a ELSE m END, CASE k WHEN 0 THEN m ELSE b END FROM (
-            SELECT way_id, a, b, arg_max(seq, (d2, -seq)) AS m FROM (
-              SELECT way_id, a, b, seq, pow(px - t * dx, 2) + pow(py - t * dy, 2) AS d2 FROM (
-                SELECT way_id, a, b, seq, px, py, dx, dy, CASE WHEN dx = 0 AND dy = 0 THEN 0 ELSE least(1, greatest(0, (px * dx + py * dy) / (dx * dx + dy * dy))) END AS t FROM (
-                  SELECT s.way_id, s.a, s.b, p.seq, p.x - f.x AS px, p.y - f.y AS py, e.x - f.x AS dx, e.y - f.y AS dy
-                  FROM seg s JOIN ln f ON f.way_id = s.way_id AND f.seq = s.a JOIN ln e ON e.way_id = s.way_id AND e.seq = s.b JOIN ln p ON p.way_id = s.way_id AND p.seq > s.a AND p.seq < s.b) z1) z2) z3
-            GROUP BY way_id, a, b HAVING max(d2) > 2.0 * 2.0) z4, (VALUES (0), (1)) AS v(k))
-        SELECT way_id, (2 + (count(*) - 1) // 2)::INTEGER AS n FROM seg GROUP BY way_id""",
+    "g5_simplified_ways": f"{standins.oracle('way_nodes', 'shape_nodes')}, {GP.SIMPLIFY.format(src='shape_nodes')} SELECT way_id, count(*)::INTEGER AS n FROM simple GROUP BY way_id",
     "s4_areas": f"{_AREAS} SELECT area_id, ring, role, outer_no AS outer, typ, count(*)::INTEGER AS n, string_agg(lat7 || ',' || lon7, ';' ORDER BY seq) AS line FROM s4 WHERE typ IS NOT NULL GROUP BY ALL",
     "t2_b2_drawing_order": f"""{_AREAS}, r4 AS (SELECT area_id, ring, role, outer_no, typ, min(lat7) AS s, max(lat7) AS nn, min(lon7) AS w, max(lon7) AS e, arg_min(lat7, seq) AS lat0 FROM s4 WHERE typ IS NOT NULL AND NOT (typ = 4 AND role = 'inner') GROUP BY ALL),
         c4 AS (SELECT * FROM r4 WHERE (nn - s) / 1e7 * 110574.0 * ((e - w) / 1e7 * (111320.0 * cos(radians(lat0 / 1e7)))) >= ([3000, 400, 800, 4000, 0])[typ + 1]),

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from mapjobs import jobs
 from mapjobs.functions import geom as G, tags as R
 from mapjobs.operators import address, graph, tiles
 from mapjobs.plans import tag_plans as P
@@ -14,6 +15,7 @@ from mapjobs.sources import objects, standins
 
 WN = standins.oracle("way_nodes")
 BOTH = standins.oracle("way_nodes", "ways_flat")
+SHAPES = standins.oracle("way_nodes", "ways_flat", "shape_nodes")
 
 
 def _refs(spark, sf_dir):
@@ -79,17 +81,23 @@ def g3_g4_split(spark, sf_dir):
     return s.select("way_id", "piece", "ix", "iy", _text("pts").alias("line"))
 
 
-def t1_w6_b1_road_tiles(spark, sf_dir):
-    """The flagship: road pieces by tile, in drawing order, with the tile's names."""
-    f = tiles.road_features(objects.as_lines(standins.view(spark, sf_dir, "way_nodes")), standins.ways(spark, sf_dir))
-    t = tiles.road_tiles(f)
+def _roads(spark, sf_dir):
+    return jobs.road_layer(objects.as_lines(standins.view(spark, sf_dir, "shape_nodes")), standins.ways(spark, sf_dir))
+
+
+def tile_rows(t):
+    """Road tiles as text: class, flags, name's number and number of points of each way; names."""
     row = F.transform("ways", lambda w: F.concat_ws(":", w["cls"].cast("string"), w["flags"].cast("string"), F.coalesce(w["name_idx"], F.lit(65535)).cast("string"), F.size(w["pts"]).cast("string")))
     return t.select("ix", "iy", F.array_join(row, ";").alias("ways"), F.array_join("strings", "|").alias("strings"))
 
 
+def t1_w6_b1_road_tiles(spark, sf_dir):
+    """The flagship: simplified road pieces by tile, in drawing order, with the tile's names."""
+    return tile_rows(_roads(spark, sf_dir).tiles)
+
+
 def w6_string_tables(spark, sf_dir):
-    f = tiles.road_features(objects.as_lines(standins.view(spark, sf_dir, "way_nodes")), standins.ways(spark, sf_dir))
-    return tiles.string_table(f, [F.col("cls").desc(), F.col("way_id"), F.col("piece")])
+    return tiles.string_table(_roads(spark, sf_dir).features, [F.col("cls").desc(), F.col("way_id"), F.col("piece")])
 
 
 def _tiled(spark, sf_dir):
@@ -120,8 +128,7 @@ def w8_b6_bundles(spark, sf_dir):
 
 
 def b1_b6_road_bundles(spark, sf_dir):
-    f = tiles.road_features(objects.as_lines(standins.view(spark, sf_dir, "way_nodes")), standins.ways(spark, sf_dir))
-    packed = tiles.with_bytes(tiles.road_tiles(f), tiles.pack_road_tile, "ways", "strings")
+    packed = tiles.with_bytes(_roads(spark, sf_dir).tiles, tiles.pack_road_tile, "ways", "strings")
     return tiles.bundles(packed, "m").select("layer", "bx", "by", F.length("data").alias("size"), F.md5("data").alias("md5"))
 
 
@@ -136,17 +143,12 @@ def p10_boxes(spark, sf_dir):
 
 
 def s6_g11_region(spark, sf_dir):
-    ways, n = standins.ways(spark, sf_dir), standins.view(spark, sf_dir, "way_nodes")
-    f = tiles.road_features(objects.as_lines(n), ways)
-    drawn = ways.where(R.road_class(R.of_map()).isNotNull()).select("way_id")
-    kept = objects.as_lines(n).join(drawn, "way_id", "left_semi").select(F.explode("pts").alias("p")).select("p.lat7", "p.lon7")
-    return tiles.region_summary(f, kept)
+    return _roads(spark, sf_dir).summary
 
 
 def s5_layers(spark, sf_dir):
     """Bundles written by layer and column, and read back."""
-    f = tiles.road_features(objects.as_lines(standins.view(spark, sf_dir, "way_nodes")), standins.ways(spark, sf_dir))
-    packed = tiles.with_bytes(tiles.road_tiles(f), tiles.pack_road_tile, "ways", "strings")
+    packed = tiles.with_bytes(_roads(spark, sf_dir).tiles, tiles.pack_road_tile, "ways", "strings")
     path = f"{shared_dir(spark)}/layers-{uuid.uuid4().hex}"
     tiles.write_layers(tiles.bundles(packed, "m"), path)
     return spark.read.parquet(path).select("layer", F.col("bx").cast("long").alias("bx"), "by")
@@ -198,7 +200,20 @@ _SPLIT = """sg AS (SELECT way_id, seq AS seg, lon7 AS x0, lat7 AS y0, lead(lon7)
   pos AS (SELECT way_id, piece, ix, iy, seg, j, 1 AS e, t1 AS t, x0, y0, dx, dy FROM num UNION ALL SELECT way_id, piece, ix, iy, seg, j, 0, t0, x0, y0, dx, dy FROM num WHERE new = 1),
   qz AS (SELECT *, greatest(0, least(65535, round_even((x0 + dx * t - ix * 300000) / 300000.0 * 65535, 0)::INTEGER)) AS x, greatest(0, least(65535, round_even((y0 + dy * t - iy * 200000) / 200000.0 * 65535, 0)::INTEGER)) AS y FROM pos),
   pieces AS (SELECT way_id, piece, ix, iy, count(*) AS n, string_agg(x || ',' || y, ';' ORDER BY seg, j, e) AS line FROM qz GROUP BY way_id, piece, ix, iy)"""
-_FEATURES = f"""{BOTH}, {_SPLIT}, w AS (SELECT way_id, {P.CLASS_SQL} AS cls, (CASE WHEN coalesce(oneway IN ('yes', '1', 'true'), false) OR coalesce(junction, '') = 'roundabout' OR highway IN ('motorway', 'motorway_link') THEN 1 ELSE 0 END + CASE WHEN bridge <> 'no' THEN 2 ELSE 0 END + CASE WHEN tunnel <> 'no' THEN 4 ELSE 0 END) AS flags, coalesce(nullif(name, ''), nullif(ref, '')) AS name FROM ways_flat),
+#: G5 by recursion: of each range the farthest point beyond 2 m, the first of equal ones.
+SIMPLIFY = """ln AS (SELECT way_id, seq, lat7 / 1e7 * 110574.0 AS y, lon7 / 1e7 * (111320.0 * cos(radians(first_value(lat7) OVER (PARTITION BY way_id ORDER BY seq) / 1e7))) AS x, count(*) OVER (PARTITION BY way_id) AS n FROM {src}),
+  seg(way_id, a, b) AS (
+    SELECT way_id, min(seq), max(seq) FROM ln WHERE n >= 2 GROUP BY way_id
+    UNION ALL
+    SELECT way_id, CASE k WHEN 0 THEN a ELSE m END, CASE k WHEN 0 THEN m ELSE b END FROM (
+      SELECT way_id, a, b, arg_max(seq, (d2, -seq)) AS m FROM (
+        SELECT way_id, a, b, seq, pow(px - t * dx, 2) + pow(py - t * dy, 2) AS d2 FROM (
+          SELECT way_id, a, b, seq, px, py, dx, dy, CASE WHEN dx = 0 AND dy = 0 THEN 0 ELSE least(1, greatest(0, (px * dx + py * dy) / (dx * dx + dy * dy))) END AS t FROM (
+            SELECT s.way_id, s.a, s.b, p.seq, p.x - f.x AS px, p.y - f.y AS py, e.x - f.x AS dx, e.y - f.y AS dy
+            FROM seg s JOIN ln f ON f.way_id = s.way_id AND f.seq = s.a JOIN ln e ON e.way_id = s.way_id AND e.seq = s.b JOIN ln p ON p.way_id = s.way_id AND p.seq > s.a AND p.seq < s.b) z1) z2) z3
+      GROUP BY way_id, a, b HAVING max(d2) > 2.0 * 2.0) z4, (VALUES (0), (1)) AS v(k)),
+  simple AS (SELECT n.* FROM {src} n JOIN (SELECT way_id, a AS seq FROM seg UNION SELECT way_id, b FROM seg) k USING (way_id, seq))"""
+_FEATURES = f"""{SHAPES}, {SIMPLIFY.format(src='shape_nodes')}, {_SPLIT.replace('FROM way_nodes', 'FROM simple')}, w AS (SELECT way_id, {P.CLASS_SQL} AS cls, (CASE WHEN coalesce(oneway IN ('yes', '1', 'true'), false) OR coalesce(junction, '') = 'roundabout' OR highway IN ('motorway', 'motorway_link') THEN 1 ELSE 0 END + CASE WHEN bridge <> 'no' THEN 2 ELSE 0 END + CASE WHEN tunnel <> 'no' THEN 4 ELSE 0 END) AS flags, coalesce(nullif(name, ''), nullif(ref, '')) AS name FROM ways_flat),
   f AS (SELECT p.*, cls, flags, name, row_number() OVER (PARTITION BY ix, iy ORDER BY cls DESC, way_id, piece) AS pos FROM pieces p JOIN w USING (way_id) WHERE cls IS NOT NULL),
   st AS (SELECT ix, iy, name, (row_number() OVER (PARTITION BY ix, iy ORDER BY min(pos)) - 1)::INTEGER AS idx FROM f WHERE name IS NOT NULL GROUP BY ix, iy, name)"""
 _COUNTS = f"{WN}, {_TILED}, t AS (SELECT ix, iy, count(*) AS n, (coalesce(sum(count(*)) OVER (ORDER BY ix, iy ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS first FROM n GROUP BY ix, iy)"
@@ -236,7 +251,7 @@ ORACLES = {
     "p10_boxes": f"""{WN} SELECT way_id, NOT (max(lat7) >= {BBOX[0]} AND min(lat7) <= {BBOX[2]} AND max(lon7) >= {BBOX[1]} AND min(lon7) <= {BBOX[3]}) AS outside,
         arg_min(lat7, seq) >= {BBOX[0]} AND arg_min(lat7, seq) <= {BBOX[2]} AND arg_min(lon7, seq) >= {BBOX[1]} AND arg_min(lon7, seq) <= {BBOX[3]} AS inside FROM way_nodes GROUP BY way_id""",
     "s6_g11_region": f"""{_FEATURES}, tl AS (SELECT count(DISTINCT ix * 1000000 + iy) AS tiles, count(*) AS features, sum(n)::BIGINT AS points FROM f),
-        kp AS (SELECT way_id FROM way_nodes GROUP BY way_id HAVING count(*) >= 2), bx AS (SELECT min(lat7) AS south, min(lon7) AS west, max(lat7) AS north, max(lon7) AS east FROM way_nodes WHERE way_id IN (SELECT way_id FROM kp) AND way_id IN (SELECT way_id FROM w WHERE cls IS NOT NULL)) SELECT * FROM tl, bx""",
+        bx AS (SELECT min(lat7) AS south, min(lon7) AS west, max(lat7) AS north, max(lon7) AS east FROM simple WHERE way_id IN (SELECT way_id FROM w WHERE cls IS NOT NULL)) SELECT * FROM tl, bx""",
     "s5_layers": f"""{_FEATURES} SELECT DISTINCT 'm' AS layer, cast(floor(ix / 2.0) AS BIGINT) AS bx, cast(floor(iy / 2.0) AS BIGINT) AS "by" FROM f""",
     "g10_midpoints": f"""{WN}, l AS (SELECT *, count(*) OVER (PARTITION BY way_id) AS n FROM way_nodes)
         SELECT way_id, max(lat7) FILTER (WHERE seq = n // 2) AS lat7, max(lon7) FILTER (WHERE seq = n // 2) AS lon7, string_agg(lat7 || ',' || lon7, ';' ORDER BY seq) FILTER (WHERE seq % greatest(1, n // 3) = 0) || ';' || max(lat7 || ',' || lon7) FILTER (WHERE seq = n - 1) AS samples

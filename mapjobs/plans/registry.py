@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from mapjobs.plans import address_plans, area_plans, graph_plans, tag_plans
+from mapjobs.plans import address_plans, area_plans, graph_plans, job_plans, tag_plans
 
-PLANS = (tag_plans, graph_plans, address_plans, area_plans)
+PLANS = (tag_plans, graph_plans, address_plans, area_plans, job_plans)
 FLAGSHIP = graph_plans.t1_w6_b1_road_tiles
 
 

@@ -61,6 +61,12 @@ def sql(dialect: str) -> dict[str, str]:
                    {p(NAMES, f'(o_orderkey*13 + {div("o_orderkey", 30)}) % 12')} AS name,
                    {", ".join(f"{p(v, i)} AS {k}" for k, v, i in TAGS)}
             FROM orders""",
+        "shape_nodes": f"""
+            SELECT way_id, seq * 2 AS seq, ref, lat7, lon7 FROM way_nodes
+            UNION ALL
+            SELECT way_id, seq * 2 + 1, cast(2000000000000 + way_id * 64 + seq as bigint), cast({div('(lat7 + lat2)', 2)} + (way_id + seq) % 5 * 100 as bigint), {div('(lon7 + lon2)', 2)}
+            FROM (SELECT way_id, seq, lat7, lon7, lead(lat7) OVER (PARTITION BY way_id ORDER BY seq) AS lat2, lead(lon7) OVER (PARTITION BY way_id ORDER BY seq) AS lon2 FROM way_nodes) z
+            WHERE lat2 IS NOT NULL""",
         "addresses": f"""
             SELECT o.o_orderkey AS obj_id, w.name AS street, cast(o.o_custkey % 120 + 1 as {'string' if dialect == 'spark' else 'varchar'}) || {p(['', 'a', ' b', '²', ''], 'o.o_orderkey % 5')} AS hn,
                    cast(490000000 + {div(div('o.o_orderkey', 30), 25)} * 100000 + (n.ref * 7919) % 100000 + (o.o_custkey % 600) * 100 as bigint) AS lat7, n.lon7 AS lon7
@@ -99,8 +105,8 @@ def sql(dialect: str) -> dict[str, str]:
     }
 
 
-USES = {"addresses": ("ways_flat", "way_nodes"), "muni_points": ("munis",)}
-TABLES = {"way_nodes": ("lineitem",), "ways_flat": ("orders",), "addresses": ("orders",), "places": ("supplier",), "munis": ("supplier",), "muni_points": (), "area_points": ("part",)}
+USES = {"shape_nodes": ("way_nodes",), "addresses": ("ways_flat", "way_nodes"), "muni_points": ("munis",)}
+TABLES = {"way_nodes": ("lineitem",), "ways_flat": ("orders",), "shape_nodes": (), "addresses": ("orders",), "places": ("supplier",), "munis": ("supplier",), "muni_points": (), "area_points": ("part",)}
 
 
 def needed(names: tuple[str, ...]) -> list[str]:
