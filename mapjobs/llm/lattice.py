@@ -143,24 +143,33 @@ class Lattice:
                 reach = lp + alpha[j - k:j][::-1]
                 top = reach.max(0)
                 alpha[j] = top + np.log(np.exp(reach - top).sum(0))
-            beta = np.full((length + 1, n, models), -np.inf)
-            beta[length] = 0
-            for j in range(length, 0, -1):
-                lp = arcs.pop(j)
-                k = lp.shape[0]
-                use = np.exp(lp + alpha[j - k:j][::-1] + beta[j] - alpha[length]) * weight[ids]
-                hit = found[j, :k] >= 0
+            beta = np.zeros((length + 1, n, models))
+            for i in range(length - 1, -1, -1):  # arcs that start at i, by where they end
+                steps = range(min(found.shape[1], length - i))
+                reach = np.stack([arcs[i + 1 + k][k] + beta[i + 1 + k] for k in steps])
+                arcs.pop(i + 1 + found.shape[1], None)
+                top = reach.max(0)
+                use = np.exp(reach - top)
+                beta[i] = top + np.log(use.sum(0))
+                use *= np.exp(top + alpha[i] - alpha[length]) * weight[ids]
+                piece = np.stack([found[i + 1 + k, k] for k in steps])
+                hit = piece >= 0
                 for m in range(models):
-                    total[:, m] += np.bincount(found[j, :k][hit], use[..., m][hit], minlength=len(logp))
-                for w in np.flatnonzero(~hit[0]):  # a character spelt in bytes
-                    for b in chr(int(codes[w, j - 1])).encode("utf-8", "surrogatepass"):
-                        total[self.byte_piece[b]] += use[0, w]
-                before = lp + beta[j]
-                for step in range(k):
-                    beta[j - 1 - step] = np.logaddexp(beta[j - 1 - step], before[step])
+                    total[:, m] += np.bincount(piece[hit], use[..., m][hit], minlength=len(logp))
+                spelt = np.flatnonzero(~hit[0])  # characters spelt in bytes
+                for c, of in zip(*_groups(codes[spelt, i])):
+                    for byte in chr(c).encode("utf-8", "surrogatepass"):
+                        total[self.byte_piece[byte]] += use[0, spelt[of]].sum(0)
         return total
 
 
+def _groups(codes: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Distinct codes, and the places of each."""
+    order = np.argsort(codes, kind="stable")
+    value, first = np.unique(codes[order], return_index=True)
+    return value.tolist(), np.split(order, first[1:]) if len(value) else []
+
+
 def normalised(counts: np.ndarray, smooth: float) -> np.ndarray:
     """Natural log probabilities of pieces from (expected) counts, each model by itself."""
     c = counts + smooth

@@ -1,7 +1,9 @@
 """Language-model scores (operator 4): subword lattice likelihood.
 
-The model is a stream of pieces of a public unigram vocabulary, each drawn by the vocabulary's own score, and an end. The file's scores
-are ranks (minus the place in order of frequency), so a piece weighs 1 / (10 + rank), by Zipf's law; nothing about the pieces is learnt here. A text's
+The model is a stream of pieces of a public unigram vocabulary and an end. The vocabulary's own scores are the start and the prior: the file's scores
+are ranks (minus the place in order of frequency), so a piece weighs 1 / (10 + rank), by Zipf's law. The weights are then fitted to the training words by
+expectation maximisation: the lattice gives the expected uses of every piece over all segmentations, they are added up over all distinct words in Spark, and
+the prior counts as ``prior`` further uses (a Dirichlet prior, maximum a posteriori up to the one use that its mode leaves off). A text's
 probability is the sum over all its segmentations into pieces. No piece reaches over white space, so the sum is a product over words,
 each worked out by the forward recursion in log space (``lattice``). The end's probability is its share of the training tokens.
 
@@ -54,15 +56,37 @@ def word_counts(docs: DataFrame, most: int = 200_000) -> DataFrame:
     return docs.select("text", "held_out").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def piece_weights(vocabulary: str, end: float) -> tuple[list[str], np.ndarray]:
-    """The pieces and their natural log probabilities, which share 1 - end."""
-    pieces, published = public_pieces(vocabulary)
-    return pieces, normalised((1 / (10 - published))[:, None], 0.0) + math.log1p(-end)
-
+def piece_weights(counts: DataFrame, vocabulary: str, rounds: int, prior: float) -> tuple[list[str], np.ndarray]:
+    """The pieces and their natural log probabilities, which share 1, fitted to the words of ``counts`` (word, c) in ``rounds`` steps.
 
-def word_scores(words: DataFrame, vocabulary: str, end: float) -> DataFrame:
-    """(word, c, lp): words (word, c) with the log10 of their probability over all segmentations. Bad UTF-8 is read as U+FFFD."""
-    shared = words.sparkSession.sparkContext.broadcast(piece_weights(vocabulary, end))
+    A task adds up its words' expected uses; the driver gets one number a piece, which is the size of the vocabulary. No words, or no rounds, leave the prior's weights."""
+    pieces, published = public_pieces(vocabulary)
+    share = 1 / (10 - published)
+    share /= share.sum()
+    logp = np.log(share)[:, None]
+    known = counts.where("c > 0")
+    for _ in range(rounds):
+        shared = counts.sparkSession.sparkContext.broadcast((pieces, logp))
+
+        def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            pieces, logp = shared.value
+            lattice, total = Lattice(pieces), np.zeros(len(pieces))
+            for batch in slices(batches, "word"):
+                words = [START + w.decode("utf-8", "replace") for w in texts(batch, "word")]
+                total += lattice.expected(words, batch.column("c").to_numpy(zero_copy_only=False).astype(float)[:, None], logp)[:, 0]
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["piece", "n"])
+
+        got = known.mapInArrow(expect, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
+        uses = prior * share
+        uses[got.column("piece").to_numpy()] += got.column("n").to_numpy()
+        logp = normalised(uses[:, None], 0.0)
+    return pieces, logp
+
+
+def word_scores(words: DataFrame, weights: tuple[list[str], np.ndarray], end: float) -> DataFrame:
+    """(word, c, lp): words (word, c) with the log10 of their probability over all segmentations, under weights that share 1 - end. Bad UTF-8 is read as U+FFFD."""
+    shared = words.sparkSession.sparkContext.broadcast((weights[0], weights[1] + math.log1p(-end)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, logp = shared.value
@@ -74,16 +98,17 @@ def word_scores(words: DataFrame, vocabulary: str, end: float) -> DataFrame:
     return words.mapInArrow(run, "word binary, c long, lp double")
 
 
-def score(docs: DataFrame, vocabulary: str, *, held_out: Column, hot_words: int = 400_000) -> DataFrame:
+def score(docs: DataFrame, vocabulary: str, *, held_out: Column, rounds: int = 2, prior: float = 1000.0, hot_words: int = 400_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of docs (doc_id, text).
 
-    held_out: a condition on doc_id; those rows are scored but not learnt from. Counts cover all other rows.
+    held_out: a condition on doc_id; those rows are scored but not learnt from. Counts cover all other rows, and so do the ``rounds`` in which
+    pieces' weights are fitted; the published weights count as ``prior`` uses.
     The tokens of a text are its words and one end. Words with ``1 / hot_words`` of all training tokens or more are
     ``hot_words`` at most; they are broadcast with their scores and take most tokens of any text out of the shuffle, and with them every
     hot key. The rest meet their scores in a join on the word, and add up by document.
 
     Null and empty texts have the end alone. Repeated rows and ids are scored one by one. With no training rows
-    every word is unknown and the end weighs a half; no rows give no rows. Other columns are ignored.
+    every word is unknown, pieces keep the published weights and the end weighs a half; no rows give no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
@@ -92,7 +117,7 @@ def score(docs: DataFrame, vocabulary: str, *, held_out: Column, hot_words: int
     of_words = counts.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
     n, v = (of_words[0] or 0) + ends, of_words[1] + (ends > 0)
     end = (ends + 0.5) / (n + 1)
-    words = cut(word_scores(counts, vocabulary, end))
+    words = cut(word_scores(counts, piece_weights(counts, vocabulary, rounds, prior), end))
     base_of = lambda c: np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
     is_hot = F.col("c") * hot_words >= max(n, 1)
     found = words.where(is_hot).toArrow()

@@ -249,31 +249,62 @@ def test_language_model(docs, none, texts):
         c = [count.get(w, 0) for w in words(t)] + [n_docs]
         want.append((str(i), out(i), len(c), sum(x > 0 for x in c), n, round(sum(math.log10((x + 0.5) / (n + 0.5 * (v + 1))) for x in c), 4)))
     assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == sorted(want)
-    # the score, by a plain sum over all segmentations under the vocabulary's own weights
+    # the score, by plain sums over all segmentations; two steps of the fit, each by cutting every word at every arc
     pieces, published = public_pieces(PIECES)
     end = (n_docs + 0.5) / (n + 1)
-    weight = 1 / (10 - published)
-    weight = dict(zip(pieces, (1 - end) * weight / weight.sum()))
-
-    def word_probability(word):
-        s = "▁" + word
-        p = [1.0] + [0.0] * len(s)
+    share = 1 / (10 - published)
+    share = dict(zip(pieces, share / share.sum()))
+    weight = dict(share)
+
+    def arcs(s, j, i):
+        """The pieces of the arc from i to j, or none."""
+        if s[i:j] in weight:
+            return [s[i:j]]
+        return [f"<0x{b:02X}>" for b in s[i:j].encode()] if j - i == 1 else []
+
+    def add(a, b):
+        low, high = sorted((a, b))
+        return high if low == -math.inf else high + math.log1p(math.exp(low - high))
+
+    def sums(s):
+        """Log of the sum over all ways to each place."""
+        ahead = [0.0] + [-math.inf] * len(s)
         for j in range(1, len(s) + 1):
             for i in range(max(0, j - 20), j):
-                if s[i:j] in weight:
-                    p[j] += p[i] * weight[s[i:j]]
-            if s[j - 1] not in weight:
-                p[j] += p[j - 1] * math.prod(weight[f"<0x{b:02X}>"] for b in s[j - 1].encode())
-        return p[-1]
+                a = arcs(s, j, i)
+                if a:
+                    ahead[j] = add(ahead[j], ahead[i] + sum(weight[x] for x in a))
+        return ahead
+
+    weight = {p: math.log(x) for p, x in share.items()}
+    for _ in range(2):
+        uses = {p: 1000.0 * x for p, x in share.items()}
+        for w, c in count.items():
+            s = "▁" + w
+            ahead, back = sums(s), [-math.inf] * len(s) + [0.0]
+            for i in range(len(s) - 1, -1, -1):
+                for j in range(i + 1, min(len(s), i + 20) + 1):
+                    a = arcs(s, j, i)
+                    if a:
+                        p = sum(weight[x] for x in a) + back[j]
+                        back[i] = add(back[i], p)
+                        for x in a:
+                            uses[x] += c * math.exp(ahead[i] + p - ahead[-1])
+        total = sum(uses.values())
+        weight = {p: math.log(x / total) for p, x in uses.items()}
+    weight = {p: x + math.log1p(-end) for p, x in weight.items()}
+    word_probability = lambda word: sums("▁" + word)[-1] / math.log(10)
     score = {}
     for i, t, *_ in texts:
         if len(t or "") < 5000:
-            score.setdefault(str(i), []).append(sum(math.log10(word_probability(w)) for w in words(t)) + math.log10(end))
+            score.setdefault(str(i), []).append(sum(word_probability(w) for w in words(t)) + math.log10(end))
     by_id = {}
     for r in got:
         by_id.setdefault(str(r.doc_id), []).append(r.score)
     assert all(np.allclose(sorted(by_id[i]), sorted(x), rtol=1e-9) for i, x in score.items())
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+    plain = lm.score(docs, PIECES, held_out=held, rounds=0).collect()
+    assert sum(r.score for r in got if r.held_out) > sum(r.score for r in plain if r.held_out)
     assert lm.score(none, PIECES, held_out=held).count() == 0
     few = {str(r.doc_id): r.score for r in lm.score(docs, PIECES, held_out=held, hot_words=1).where("doc_id <> 2").collect()}
     assert all(math.isclose(r.score, few[str(r.doc_id)], rel_tol=1e-9) for r in got if r.doc_id is not None and r.doc_id != 2)
