@@ -9,7 +9,8 @@ Within a key only links that join sets are kept (a star from the least member),
 compared directly; in a large one the same idea is applied again to the other half: members emit their
 ball of radius 1 in it, equal variants and variants one bit apart (three steps at most) are joined. That is linear in the
 members and complete, because what it leaves out (two members that differ from the key in the same bit)
-is found under the key that they share exactly.
+is found under the key that they share exactly. A key that very many fingerprints share does not go to one task: the balls
+of its members are shuffled on variants (``links_of_heavy_keys``).
 """
 
 from __future__ import annotations
@@ -101,11 +102,77 @@ def links_of_key(key: int, members: np.ndarray, direct: int = 64) -> tuple[np.nd
     return members[linked], members[root[linked]]
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """(src, dst): links that join all fingerprints within 3 bits of each other. fps: one row per distinct fp."""
-    low, high = F.col("fp").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("fp", 32)
-    flips = [0, *(1 << b for b in range(32))]
-    keys = F.array(*[low.bitwiseXOR(F.lit(f).cast("long")) for f in flips], *[high.bitwiseXOR(F.lit(f).cast("long")) + (1 << 32) for f in flips])
+LOW = 0xFFFFFFFF
+FLIPS = [0, *(1 << b for b in range(32))]
+
+
+def heavy_keys(fps: DataFrame, most: int) -> DataFrame:
+    """(key): every key with more than ``most`` members, and perhaps some with half as many.
+
+    Members are counted by their exact halves. A key's members come from 33 halves; those under a 64th of ``most`` give it little over half of ``most``
+    together, so a key over ``most`` has the rest from larger ones, which are few and alone are exploded."""
+    halves = fps.select(F.explode(F.array(F.col("fp").bitwiseAND(LOW), F.shiftrightunsigned("fp", 32) + (1 << 32))).alias("half"))
+    large = halves.groupBy("half").agg(F.count("*").alias("n")).where(F.col("n") * 64 > most)
+    keys = large.select(F.explode(F.array(*[F.col("half").bitwiseXOR(F.lit(f).cast("long")) for f in FLIPS])).alias("key"), "n")
+    return keys.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") * 64 > 31 * most).select("key")
+
+
+def links_of_heavy_keys(members: DataFrame) -> DataFrame:
+    """(src, dst): what ``links_of_key`` finds among the members (key, fp) of each key, without a key's members in one task.
+
+    Members emit their variants of the other half as there. A variant goes to two cells, one of its upper and one of its lower 16 bits; in a cell the other 16 bits
+    are compared, so two variants one bit apart meet in one of the two. Rows come sorted and stream by: of a variant only its first owner is
+    kept until its cell ends, so a task holds 65536 numbers at most.
+    """
+    high = F.shiftrightunsigned("key", 32) == 1
+    low32, high32 = F.col("fp").bitwiseAND(LOW), F.shiftrightunsigned("fp", 32)
+    exact = F.when(high, high32).otherwise(low32) == F.col("key").bitwiseAND(LOW)
+    other = F.when(high, low32).otherwise(high32)
+    variants = F.when(exact, F.array(*[other.bitwiseXOR(F.lit(f).cast("long")) for f in FLIPS])).otherwise(F.array(other))
+    v = members.select("key", "fp", F.explode(variants).alias("v"))
+    upper, lower = F.shiftright("v", 16), F.col("v").bitwiseAND(0xFFFF)
+    cells = F.array(F.struct(upper.alias("cell"), lower.alias("rest")), F.struct((lower + (1 << 16)).alias("cell"), upper.alias("rest")))
+    v = v.select("key", F.explode(cells).alias("x"), "fp").select("key", "x.cell", "x.rest", "fp")
+
+    def one_bit_apart(cell: np.ndarray, rest: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Owners of variants of one cell that differ in a bit. cell: ascending numbers; rest: ascending in a cell."""
+        place = cell << 16 | rest
+        src, dst = [], []
+        for bit in range(16):
+            at = np.searchsorted(place, place ^ (1 << bit))
+            at[at == len(place)] = 0
+            hit = np.flatnonzero((place[at] == place ^ (1 << bit)) & (at > np.arange(len(place))) & (owner[at] != owner))
+            src.append(owner[hit]), dst.append(owner[at[hit]])
+        return np.concatenate(src), np.concatenate(dst)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.zeros(0, np.int64)] * 4  # first owners of the variants of the last cell so far
+        for batch in batches:
+            if not len(batch):
+                continue
+            key, cell, rest, fp = (np.concatenate([a, batch.column(c).to_numpy(zero_copy_only=False)]) for a, c in zip(kept, ("key", "cell", "rest", "fp")))
+            new_cell = np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])])
+            new = new_cell | np.concatenate([[True], rest[1:] != rest[:-1]])
+            first = np.flatnonzero(new)[np.cumsum(new) - 1]
+            same = np.flatnonzero(~new & (cell < 1 << 16))  # the other cell of an owner tells the same
+            number = np.cumsum(new_cell) - 1
+            whole = new & (number < number[-1])
+            a, b = one_bit_apart(number[whole], rest[whole], fp[whole])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([fp[same], a])), pa.array(np.concatenate([fp[first[same]], b]))], ["src", "dst"])
+            last = new & (number == number[-1])
+            kept = [x[last] for x in (key, cell, rest, fp)]
+        a, b = one_bit_apart(np.zeros(len(kept[2]), np.int64), kept[2], kept[3])
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["src", "dst"])
+
+    return v.repartition("key", "cell").sortWithinPartitions("key", "cell", "rest", "fp").mapInArrow(run, "src long, dst long")
+
+
+def links(fps: DataFrame, most: int = 20_000, broadcast_keys: int = 100_000) -> DataFrame:
+    """(src, dst): links that join all fingerprints within 3 bits of each other. fps: one row per distinct fp.
+
+    Keys of up to ``most`` members are one task's; those above are split. The heavy keys are broadcast if they are ``broadcast_keys`` or fewer."""
+    low, high = F.col("fp").bitwiseAND(LOW), F.shiftrightunsigned("fp", 32)
+    keys = F.array(*[low.bitwiseXOR(F.lit(f).cast("long")) for f in FLIPS], *[high.bitwiseXOR(F.lit(f).cast("long")) + (1 << 32) for f in FLIPS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by key; a key's rows may reach over several batches."""
@@ -137,8 +204,17 @@ def links(fps: DataFrame) -> DataFrame:
         if rest:
             yield found(*(np.concatenate(x) for x in zip(*rest)))
 
+    def light(members: DataFrame) -> DataFrame:
+        return members.repartition("key").sortWithinPartitions("key").mapInArrow(run, "src long, dst long")
+
     spread = fps.select(F.explode(keys).alias("key"), "fp")
-    return spread.repartition("key").sortWithinPartitions("key").mapInArrow(run, "src long, dst long").distinct()
+    heavy = cut(heavy_keys(fps, most))
+    n = heavy.count()
+    if not n:
+        return light(spread).distinct()
+    told = F.broadcast(heavy) if n <= broadcast_keys else heavy
+    split = links_of_heavy_keys(spread.join(told, "key", "left_semi"))
+    return light(spread.join(told, "key", "left_anti")).unionByName(split).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

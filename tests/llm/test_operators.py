@@ -170,18 +170,39 @@ def test_simhash_links(spark):
         fps.append(x)
     fps = sorted(set(fps))
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    links = simhash.links(spark.createDataFrame([(s,) for s in signed], "fp long")).collect()
-    parent = {s: s for s in signed}
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-    for a, b in links:
-        parent[find(a)] = find(b)
     brute = brute_components(list(range(len(fps))), fps)
-    roots = [find(s) for s in signed]
-    assert len(set(zip(roots, brute))) == len(set(roots)) == len(set(brute))
+    heavy = simhash.heavy_keys(spark.createDataFrame([(s,) for s in signed], "fp long"), 40).count()
+    assert heavy > 60
+    for most, wide in ((20_000, 100_000), (40, 100_000), (40, 1), (1, 100_000)):  # no key is heavy; some are; they are joined; all are
+        links = simhash.links(spark.createDataFrame([(s,) for s in signed], "fp long"), most, wide).collect()
+        assert most > 1 or all(bin((a ^ b) & (1 << 64) - 1).count("1") <= 3 for a, b in links)
+        parent = {s: s for s in signed}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+        for a, b in links:
+            parent[find(a)] = find(b)
+        roots = [find(s) for s in signed]
+        assert len(set(zip(roots, brute))) == len(set(roots)) == len(set(brute))
+
+
+def test_simhash_heavy_keys(spark):
+    """A half shared by very many: each key over the limit is found, whichever halves its members have."""
+    r = random.Random(4)
+    fps = {(7 << 32 | r.getrandbits(32)) for _ in range(500)} | {((7 ^ 1 << r.randrange(31)) << 32 | r.getrandbits(32)) for _ in range(500)} | {r.getrandbits(63) for _ in range(500)}
+    members = {}
+    for f in fps:
+        for side in (0, 1):
+            half = f >> 32 if side else f & 0xFFFFFFFF
+            for flip in simhash.FLIPS:
+                members[half ^ flip | side << 32] = members.get(half ^ flip | side << 32, 0) + 1
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    for most in (2, 100, 400, 900):
+        heavy = {x.key for x in simhash.heavy_keys(df, most).collect()}
+        assert {k for k, n in members.items() if n > most} <= heavy and all(members[k] * 64 > 31 * most for k in heavy)
+
 
 
 @pytest.mark.parametrize("options", [{}, {"bits": 6, "text_slice": 1000}])
