@@ -188,6 +188,25 @@ def b4_hierarchy_tiles(spark, sf_dir):
     return bicycle.unionByName(foot)
 
 
+def b4_hierarchy_rows(spark, sf_dir):
+    """The hierarchy tiles' nested rows for given turns, of which the first is contracted: of each node its arcs up and those that come down to it, with what they stand for."""
+    e = _edges(spark, sf_dir)
+    nodes, edges = map(cut, routing_tiles.numbered(e))
+    every, turn = cut(network.profile_arcs(e).select("profile", "from", "to", "w")), F.pmod(F.col("node") * 7919, F.lit(50))
+    ranks = nodes.select("node_id").withColumnRenamed("node_id", "node").withColumn("turn", turn)
+
+    def written(p):
+        plain = every.where(F.col("profile") == p).withColumn("mid", F.lit(None).cast("long"))
+        arcs = network.cheapest(plain.unionByName(network.two_hops(plain, ranks.where("turn = 0")).withColumn("profile", F.lit(p))))
+        via = routing_tiles.arcs_with_via(arcs, nodes, edges.withColumn("costs", F.slice("cost", 2 * p + 1, 2)))
+        side = lambda n, k: F.coalesce(F.array_join(F.transform(n[k], lambda a: F.concat_ws(":", *[a[c].cast("string") for c in ("to", "w", "via")])), ","), F.lit(""))
+        t = routing_tiles.hierarchy_tiles(nodes, *routing_tiles.sides(cut(via), ranks))
+        return t.select(F.lit(p).alias("profile"), "ix", "iy", F.array_join(F.transform("nodes", lambda n: F.concat_ws("|", n["new_id"].cast("string"), side(n, "out"), side(n, "in"))), ";").alias("nodes"))
+
+    bicycle, foot = map(written, network.PROFILES)
+    return bicycle.unionByName(foot)
+
+
 def _manifests(spark, sf_dir):
     p = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").cast("binary").alias("b"))
     p = p.withColumn("path", F.concat_ws("#", "url", F.col("page_id").cast("string")))
@@ -312,6 +331,17 @@ ORACLES = {
         SELECT nt.ix, nt.iy, nodes, coalesce(edges, '') AS edges, coalesce(strings, '') AS strings FROM nt LEFT JOIN et ON et.ix = nt.ix AND et.iy = nt.iy""",
     "h2_shortest_paths": f"{_H2} SELECT profile, pair_id, s, t, cost FROM paths",
     "h3_h4_h5_h6_hierarchy": f"{_H2} SELECT CASE WHEN cost IS NULL THEN 'unreachable' ELSE 'ok' END AS status, count(*) AS n FROM paths GROUP BY 1",
+    "b4_hierarchy_rows": f"""{_ARCS}, {_NUMBERED},
+        ne AS (SELECT e.*, 2147483648 + 2 * (row_number() OVER (ORDER BY p.ix, p.iy, way_id, edge_no, piece) - 1) AS own FROM edges e JOIN i p ON p.ref = e.a),
+        oe AS (SELECT profile, f, t, arg_min(own, (c, own)) AS own FROM (SELECT 0 AS profile, a AS f, b AS t, c0 AS c, own FROM ne UNION ALL SELECT 0, b, a, c1, own + 1 FROM ne UNION ALL SELECT 1, a, b, c2, own FROM ne UNION ALL SELECT 1, b, a, c3, own + 1 FROM ne) x WHERE c IS NOT NULL GROUP BY ALL),
+        y AS (SELECT profile, f, t, w, -1 AS mid FROM best UNION ALL SELECT k.profile, k.f, o.t, k.w + o.w, k.t FROM best k JOIN best o ON k.profile = o.profile AND k.t = o.f WHERE k.f <> o.t AND k.t * 7919 % 50 = 0),
+        z AS (SELECT profile, f, t, min(w) AS w, arg_min(mid, (w, mid)) AS mid FROM y GROUP BY ALL),
+        v AS (SELECT z.profile, p.id AS nf, q.id AS nt, w, coalesce(m.id, oe.own) AS via, f * 7919 % 50 AS rf, t * 7919 % 50 AS rt
+              FROM z JOIN i p ON p.ref = f JOIN i q ON q.ref = t LEFT JOIN i m ON m.ref = z.mid LEFT JOIN oe USING (profile, f, t)),
+        sd AS (SELECT profile, nf AS id, nt AS other, w, via, 0 AS side FROM v WHERE rf <= rt UNION ALL SELECT profile, nt, nf, w, via, 1 FROM v WHERE rf >= rt),
+        tx AS (SELECT profile, id, string_agg(other || ':' || w || ':' || via, ',' ORDER BY other, w, via) FILTER (WHERE side = 0) AS up, string_agg(other || ':' || w || ':' || via, ',' ORDER BY other, w, via) FILTER (WHERE side = 1) AS down FROM sd GROUP BY ALL)
+        SELECT pr.profile::INTEGER AS profile, ix, iy, string_agg(i.id || '|' || coalesce(up, '') || '|' || coalesce(down, ''), ';' ORDER BY i.id) AS nodes
+        FROM i CROSS JOIN (VALUES (0), (1)) AS pr(profile) LEFT JOIN tx ON tx.profile = pr.profile AND tx.id = i.id GROUP BY ALL""",
     "h4_split": f"""{_ARCS}, w AS (SELECT profile, f, t, w, f * 7919 % 50 AS rf, t * 7919 % 50 AS rt FROM best)
         SELECT profile, f AS node, t AS "to", w, 'out' AS side FROM w WHERE rf <= rt UNION ALL SELECT profile, t, f, w, 'in' FROM w WHERE rf >= rt""",
     "j11_comparison": f"{_M} SELECT * FROM cmp",
@@ -328,4 +358,4 @@ ORACLES = {
         i AS (SELECT *, row_number() OVER (ORDER BY {_F('lon7', 300000)}, {_F('lat7', 200000)}, ref) - 1 AS id FROM u)
         SELECT e.way_id, e.edge_no, e.piece, p.id AS new_a, q.id AS new_b, p.lat7 AS a_lat7, p.lon7 AS a_lon7, q.lat7 AS b_lat7, q.lon7 AS b_lon7 FROM edges e JOIN i p ON p.ref = e.a JOIN i q ON q.ref = e.b""",
 }
-QUERIES = {f.__name__: f for f in (s4_areas, t2_b2_drawing_order, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, h4_split, s6_route_summary, b3_tile_rows, b3_geometry_tiles, b4_hierarchy_tiles, s7_file_manifest, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_remapped_arcs, j8_j9_remapped_edges)}
+QUERIES = {f.__name__: f for f in (s4_areas, t2_b2_drawing_order, g6_cleaned, g7_cover, g5_g7_clipped, t2_b2_area_tiles, g5_simplified_ways, a5_h1_arcs, a6_main_mask, h2_shortest_paths, h3_h4_h5_h6_hierarchy, h4_split, s6_route_summary, b3_tile_rows, b3_geometry_tiles, b4_hierarchy_rows, b4_hierarchy_tiles, s7_file_manifest, j11_comparison, a10_outcomes, t4_report, u4_repair, s2_merged, u3_two_hops, j8_remapped_arcs, j8_j9_remapped_edges)}
