@@ -19,6 +19,8 @@ doc_part     0 where a document begins in this chunk, else how many chunks it ha
 
 from __future__ import annotations
 
+import codecs
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -26,6 +28,7 @@ from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from mapjobs.llm.common import crc32, held, release, slices, texts
@@ -42,21 +45,29 @@ SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 ENTRY = 200
 #: The byte-level vocabulary never merges across these pieces of text.
 PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: Put between the pieces of texts that do not hold it.
+MARK = "\x01"
+#: Texts that are not cut at blanks and line feeds alone.
+ODD = f"[{SPACE}][{SPACE}]|[{SPACE.replace(' ', '').replace('\t-\r', '\t\x0b-\r')}{MARK}]"
+#: Words given to the model at a time.
+LISTED = 100
 
 
 class Encoder:
     """Ids of texts by a byte-level BPE of the tokenizers library.
 
     Its pre-tokenizer breaks before every run of white space and before the last blank in front of a word,
-    so the ids of a text are those of the pieces between these breaks. Pieces repeat, so the ids of each are
-    kept in ``most`` bytes, after which those not met again are forgotten. It also breaks between letters and ASCII punctuation (but for the apostrophe), so
-    a piece of letters is one input of the BPE model, and one with such signs behind it is two. Any other new pieces are
-    encoded whole.
+    so the ids of a text are those of the pieces between these breaks. It also breaks between letters and ASCII punctuation (but for the apostrophe), so
+    a piece of letters is one input of the BPE model, and one with such signs behind it is two. Any other pieces are
+    encoded whole. Pieces repeat: Arrow cuts a batch's texts and finds the different words in them, which go to the model many
+    at a time, once a batch. The few other inputs are kept in ``most`` bytes, after which those not met again are forgotten.
     """
 
-    def __init__(self, path: str, end_id: int, most: int = 64 << 20):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, end_id: int, most: int = 16 << 20):
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        # a task is one core's: the library shall not start threads of its own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end, self.most, self.known, self.older = np.uint32(end_id).tobytes(), most, {}, {}
@@ -64,48 +75,87 @@ class Encoder:
         # the byte-level alphabet: a printable character for each byte, as the vocabulary file spells them
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in shown]
-        self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.bpe = self.tokenizer.model.tokenize
-
-    def _ids(self, text: str) -> bytes:
+        alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.bpe, self.spelling = self.tokenizer.model.tokenize, "".join(alphabet[b] for b in range(256))
+        # the same model for lists of words with a blank in front of each, which only the first id of a word begins with
+        self.listed = Tokenizer(self.tokenizer.model)
+        self.listed.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(alphabet[10])
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token[:1] == alphabet[32]]] = True
+
+    def _spelt(self, text: str) -> str:
+        return codecs.charmap_decode(text.encode(), "strict", self.spelling)[0]
+
+    def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _one(self, piece: str) -> bytes:
-        if piece.isascii() and piece[1:].isalpha():
-            spelt = "\u0120" + piece[1:] if piece[0] == " " else piece
-        else:
-            spelt = piece.encode().decode("latin-1").translate(self.alphabet)
-        found = self.bpe(spelt)
+        found = self.bpe(self._spelt(piece))
         return pack(f"<{len(found)}I", *[x.id for x in found])
 
-    def _piece(self, piece: str) -> bytes:
-        word = piece.rstrip(SIGNS)
-        letters = word[1:] if word[:1] == " " else word
-        if not letters.isalpha():
-            return self._ids(piece)
-        if len(word) == len(piece):
-            return self._one(piece)
-        return self._kept(word, self._one) + self._kept(piece[len(word):], self._one)
-
-    def _kept(self, piece: str, make) -> bytes:
-        ids = self.known.get(piece)
-        if ids is None:
-            ids = self.known[piece] = self.older.get(piece) or make(piece)
-            self.size += len(piece) + len(ids) + ENTRY
-        return ids
-
-    def _learn(self, pieces: set[str]) -> None:
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Ids of different words of letters with a blank in front."""
+        lists = pa.ListArray.from_arrays([*range(0, len(words), LISTED), len(words)], words)
+        ids = [np.zeros(0, "<u4")]
+        for x in pc.binary_join(lists, pa.scalar("\n", words.type)).to_pylist():
+            ids.append(np.array(self.listed.encode_batch_fast([self._spelt(x)], add_special_tokens=False)[0].ids, "<u4"))
+        ids = np.concatenate(ids)
+        starts = np.flatnonzero(self.begins[ids])
+        if len(starts) != len(words):  # a vocabulary without the blank
+            return pa.array(map(self._one, words.to_pylist()), pa.large_binary())
+        bounds = np.append(starts, len(ids)) * 4
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids)])
+
+    def _others(self, pieces: pa.Array) -> pa.Array:
+        """Ids of different words without a blank, signs and whole pieces."""
         if self.size > self.most // 2:
             self.known, self.older, self.size = {}, self.known, 0
-        for p in pieces.difference(self.known):
-            self._kept(p, self._piece)
+        known, pieces = self.known, pieces.to_pylist()
+        for p in pieces:
+            if p not in known:
+                known[p] = ids = self.older.get(p) or (self._one(p) if p.isalpha() else self._whole(p))
+                self.size += len(p) + len(ids) + ENTRY
+        return pa.array([known[p] for p in pieces], pa.large_binary())
+
+    def _heads(self, heads: pa.Array) -> pa.Array:
+        found = heads.dictionary_encode()
+        listed = pc.match_substring_regex(found.dictionary, r"^ \pL+$")
+        words, others = found.dictionary.filter(listed), found.dictionary.filter(pc.invert(listed))
+        ids = pa.concat_arrays([self._words(words), self._others(others)])
+        mask = listed.to_numpy(zero_copy_only=False)
+        return ids.take(pa.array(np.where(mask, np.cumsum(mask) - 1, len(words) + np.cumsum(~mask) - 1))).take(found.indices)
+
+    def _pieces(self, pieces: pa.Array) -> pa.Array:
+        """Ids of different pieces."""
+        heads = pc.utf8_rtrim(pieces, SIGNS)
+        heads = pc.if_else(pc.match_substring_regex(heads, r"^ ?\pL+$"), heads, pieces)
+        signed = pc.not_equal(pc.binary_length(heads), pc.binary_length(pieces))
+        signs = pc.replace_substring_regex(pieces.filter(signed), r"^ ?\pL+", "").dictionary_encode()
+        ids = self._heads(heads)
+        behind = self._others(signs.dictionary).take(signs.indices)
+        return pc.replace_with_mask(ids, signed, pc.binary_join_element_wise(ids.filter(signed), behind, pa.scalar(b"", ids.type)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its little-endian unsigned 32-bit ids, with the end id."""
-        plain = [None if any(s in t for s in self.special) else PIECES.findall(t) for t in texts]
-        self._learn(set().union(*(p for p in plain if p)))
-        get = self.known.__getitem__
-        return [(self._ids(t) if p is None else b"".join(map(get, p))) + self.end for t, p in zip(texts, plain)]
+        given = pa.array(texts, pa.large_string())
+        # where white space stands singly and is blanks and line feeds alone, a piece ends before each and after a line feed
+        odd = pc.match_substring_regex(given, ODD)
+        for s in self.special:
+            odd = pc.or_(odd, pc.match_substring(given, s))
+        marked = pc.replace_substring(pc.replace_substring(given.filter(pc.invert(odd)), " ", MARK + " "), "\n", f"{MARK}\n{MARK}")
+        cut = pc.split_pattern(marked, MARK)
+        others = [None if any(s in t for s in self.special) else PIECES.findall(t) for t in given.filter(odd).to_pylist()]
+        cut = pa.concat_arrays([cut, pa.array([p or [] for p in others], cut.type)])
+        coded = cut.flatten().dictionary_encode()
+        ids = self._pieces(coded.dictionary).take(coded.indices)
+        joined = pc.binary_join(type(cut).from_arrays(cut.offsets, ids), pa.scalar(b"", ids.type)).to_pylist()
+        simple, rest = iter(joined[:len(marked)]), iter(zip(others, joined[len(marked):]))
+        out = []
+        for t, is_odd in zip(texts, odd.to_pylist()):
+            pieces, here = next(rest) if is_odd else ((), next(simple))
+            out.append((self._whole(t) if pieces is None else here) + self.end)
+        return out
 
 
 def encoder_of(path: str, end_id: int) -> Encoder:
@@ -167,7 +217,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int = 0,
             chunk, first, filled, held, rows = chunk + 1, first + filled, 0, [], []
             return out
 
-        for batch in slices(batches, most=2 << 20):
+        for batch in slices(batches):
             coded = encoder.encode([t.decode("utf-8", "replace") for t in texts(batch)])
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coded):
                 at = part = 0

@@ -116,6 +116,30 @@ def test_encoder_on_white_space_and_signs():
     assert e.encode(cases) == [np.array(t.encode(c, add_special_tokens=False).ids + [0], "<u4").tobytes() for c in cases]
 
 
+def test_encoder_gives_new_words_to_the_model_in_lists():
+    from tokenizers import Tokenizer
+
+    r, t, e = random.Random(6), Tokenizer.from_file(BPE), tokens.Encoder(BPE, 0)
+    fresh = ["".join(r.choices("abdeinorstéßç", k=8)) for _ in range(950)]
+    cases = ["", *["," + "".join(f" {w}{r.choice(['', '', '.', '**'])}" for w in fresh[i:i + 10]) for i in range(0, 950, 10)]]
+    want = [np.array(t.encode(c, add_special_tokens=False).ids + [0], "<u4").tobytes() for c in cases]
+    calls, bpe = [], e.bpe
+    e.bpe = lambda piece: calls.append(piece) or bpe(piece)
+    assert e.encode(cases) == want and len(calls) < 5
+
+
+def test_encoder_forgets_and_takes_any_letter():
+    import unicodedata
+    from tokenizers import Tokenizer
+
+    t, e = Tokenizer.from_file(BPE), tokens.Encoder(BPE, 0, most=1000)
+    assert e.encode([]) == []
+    letters = [chr(c) for c in range(0x30000) if unicodedata.category(chr(c))[0] == "L"][::7]
+    for at in range(0, len(letters), 2000):
+        cases = [f"of a{c}b, a{c}.{c}a {c}\n{c}, " for c in letters[at:at + 2000]]
+        assert e.encode(cases) == [np.array(t.encode(c, add_special_tokens=False).ids + [0], "<u4").tobytes() for c in cases]
+
+
 def brute_fingerprint(text):
     import xxhash
 
