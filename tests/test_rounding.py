@@ -27,3 +27,18 @@ def test_simplify_all_is_simplify_of_each():
     keep = areas.simplify_all(x, y, at, eps)
     for a, b, e in zip(at, at[1:], eps):
         assert a == b or np.flatnonzero(keep[a:b]).tolist() == areas.simplify(x[a:b], y[a:b], e).tolist()
+
+
+def test_lengths_round_in_the_order_of_the_sql(spark):
+    cases = [(554920363, -82871, -192336, 1520.1868979345722), (559538608, 16432, -276361, 1731.9397316737068), (492615056, -77266, -28725, 879.4777362238927)]
+    d = spark.createDataFrame(cases, "at long, dlat long, dlon long, want double")
+    for r in d.select("want", G.segment_metres(F.col("dlat"), F.col("dlon"), F.col("at")).alias("got")).collect():
+        assert r.got == r.want
+
+
+def test_factors_multiply_as_decimals(spark):
+    d = spark.createDataFrame([({"highway": "residential", "surface": "sett", "smoothness": "bad"},)], "tags map<string,string>")
+    t = R.of_map()
+    r = d.select(R.bike_speed(t).alias("v"), R.edge_costs(R.travel(t), F.lit(213.8942361111111)).alias("cost")).first()
+    assert r.v == 17 * 0.455
+    assert r.cost[0] == round((213.8942361111111 / (17 * 0.455 / 3.6) + 0.5) * 10) == 1000
