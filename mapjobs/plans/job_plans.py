@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from mapjobs import jobs
 from mapjobs.plans import address_plans as AP, area_plans as ARP, graph_plans as GP
-from mapjobs.session import cut
+from mapjobs.session import cut, shuffled
 from mapjobs.sources import standins
 
 #: South, west, north, east: about the middle half of the stand-in ways of every size.
@@ -26,7 +26,7 @@ def _roads(spark, sf_dir, view):
     """(nodes, ways) of the stand-in ways."""
     points = cut(standins.view(spark, sf_dir, view))
     nodes = points.groupBy(F.col("ref").alias("node_id")).agg(F.min("lat7").alias("lat7"), F.min("lon7").alias("lon7"))
-    return nodes, _refs(points).join(standins.ways(spark, sf_dir), "way_id")
+    return nodes, _refs(points).join(shuffled(standins.ways(spark, sf_dir)), "way_id")
 
 
 def _tags(**values):
@@ -64,7 +64,7 @@ def p10_t3_addresses_in_box(spark, sf_dir):
     numbers = standins.view(spark, sf_dir, "addresses").select((F.col("obj_id") + ADDRESS).alias("node_id"), "lat7", "lon7", _tags(addr__street=F.col("street"), addr__housenumber=F.col("hn")).alias("tags"))
     every = nodes.withColumn("tags", no_tags).unionByName(m.select(F.col("ref").alias("node_id"), "lat7", "lon7", no_tags.alias("tags"))).unionByName(places).unionByName(numbers)
     none = spark.createDataFrame([], "rel_id long, members array<struct<type:string,ref:bigint,role:string>>, tags map<string,string>")
-    index = jobs.address_index(cut(every), cut(ways.unionByName(outlines.join(munis, "way_id"))), none, BBOX)
+    index = jobs.address_index(cut(every), cut(ways.unionByName(outlines.join(shuffled(munis), "way_id"))), none, BBOX)
     return index.streets.select("fold", "name", "sub", "lat7", "lon7", "numbers")
 
 
