@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from mapjobs.session import cut
@@ -38,3 +42,38 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         before = after
     roots = e.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def _least_labels(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """Of each of n nodes the least node that edges (u, v) join it to: roots hang on lesser roots, then all paths are shortened."""
+    label = np.arange(n)
+    while len(u):
+        u, v = label[u], label[v]
+        apart = u != v
+        u, v = u[apart], v[apart]
+        np.minimum.at(label, np.maximum(u, v), np.minimum(u, v))
+        while (label[label] != label).any():
+            label = label[label]
+    return label
+
+
+def networks(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """(node, root) as ``connected_components``, for edges between longs, most of them near ones.
+
+    Edges are dealt into ranges of their lesser node. A task joins up its own edges in memory and gives each of its nodes the least one there; nodes that several tasks have
+    met then say which of these belong together. So the rounds of stars work on the borders of ranges, not on the graph; where numbers say nothing of nearness, on all of it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
+        if whole:
+            u, v = (np.concatenate(x) for x in zip(*whole))
+            names, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+            label = _least_labels(at[:len(u)], at[len(u):], len(names))
+            for a in range(0, len(names), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(names[a:a + 100_000]), pa.array(names[label[a:a + 100_000]])], ["node", "root"])
+
+    e = edges.select(F.greatest(src, dst).cast("long").alias("u"), F.least(src, dst).cast("long").alias("v")).where("u <> v")
+    near = cut(e.repartitionByRange("v").mapInArrow(run, "node long, root long").groupBy("node").agg(F.collect_set("root").alias("roots")))
+    least = F.array_min("roots")
+    joined = cut(connected_components(near.where(F.size("roots") > 1).select(F.explode("roots").alias("root"), least.alias("least")), "root", "least"))
+    found = near.select("node", least.alias("node_root")).join(joined.select(F.col("node").alias("node_root"), "root"), "node_root", "left")
+    return found.select("node", F.coalesce("root", "node_root").alias("root"))
