@@ -2,15 +2,44 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 
-def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, size, md5) of the files under a folder; path is relative to it."""
+#: Files of more bytes are read in pieces: Spark's reader of whole files ends at 2 GB.
+WHOLE = 256 << 20
+
+
+def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Checksums of files (uri) that are read in pieces of 8 MB."""
+    for b in batches:
+        for uri in b.column("uri").to_pylist():
+            # Spark gives names as they are, not escaped
+            local = re.match("file:/+(.*)", uri, re.DOTALL)
+            store, path = (fs.LocalFileSystem(), "/" + local[1]) if local else fs.FileSystem.from_uri(quote(uri, safe=":/@"))
+            found = hashlib.md5()
+            with store.open_input_stream(path) as f:
+                while piece := f.read(8 << 20):
+                    found.update(piece)
+            yield pa.RecordBatch.from_pydict({"uri": [uri], "md5": [found.hexdigest()]})
+
+
+def read_manifest(spark: SparkSession, folder: str, whole: int = WHOLE) -> DataFrame:
+    """(path, size, md5) of the files under a folder; path is relative to it. Files above ``whole`` bytes are streamed, each in one task, by Arrow's file systems (local, HDFS, S3)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     clean = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")
-    path = F.substring(clean(F.col("path")), F.length(F.concat(F.regexp_replace(clean(F.lit(folder)), "/+$", ""), F.lit("/"))) + 1, F.lit(1 << 30))
-    return files.select(path.alias("path"), F.col("length").alias("size"), F.md5("content").alias("md5"))
+    path = F.substring(clean(F.col("uri")), F.length(F.concat(F.regexp_replace(clean(F.lit(folder)), "/+$", ""), F.lit("/"))) + 1, F.lit(1 << 30))
+    # the condition on the length is told to the reader, which then leaves large files' content alone
+    small = files.where(F.col("length") <= whole).select(F.col("path").alias("uri"), F.col("length").alias("size"), F.md5("content").alias("md5"))
+    large = files.where(F.col("length") > whole).select(F.col("path").alias("uri"), F.col("length").alias("size"))
+    sums = large.select("uri").repartition("uri").mapInArrow(_streamed, "uri string, md5 string")
+    return small.unionByName(large.join(sums, "uri")).select(path.alias("path"), "size", "md5")
 
 
 def compare(source: DataFrame, copy: DataFrame) -> DataFrame:
