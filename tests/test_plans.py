@@ -1,7 +1,7 @@
 """Plans of queries whose tables grow: what must not reach the driver."""
 
 from mapjobs.operators import areas
-from mapjobs.plans import graph_plans, job_plans
+from mapjobs.plans import area_plans, graph_plans, job_plans
 
 DIR = "/root/testdata/sf0.001"
 
@@ -22,3 +22,13 @@ def test_relations_are_stitched_in_batches(spark):
     rings = areas.stitched(members)
     assert "InPandas" not in plan(rings)
     assert sorted(map(tuple, rings.collect())) == sorted((a, i, role, refs) for a in (1, 2) for i, (role, refs) in enumerate([("inner", [7, 8, 9]), ("outer", [1, 2, 3, 4])]))
+
+
+def test_paths_of_two_arcs_are_shuffled_once(spark):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for query in (area_plans.u3_two_hops, area_plans.j8_remapped_arcs):
+            assert plan(query(spark, DIR)).count("Exchange hashpartitioning") <= 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
